@@ -24,7 +24,7 @@ VALIDATION_EVENT = "premis:validation"
 def audit_events(df: DataFrame, keys: list[str], xml: str = "inline_xml") -> DataFrame:
     """One row per audit record, its action mapped to an event type (null for actions without one)."""
     parsed = F.from_xml(F.col(xml), AUDIT_SCHEMA, {"ignoreNamespace": "true", "ignoreSurroundingSpaces": "false"})
-    rows = df.select(*keys, F.posexplode(parsed["record"]).alias("pos", "_r"))
+    rows = df.select(*keys, F.posexplode_outer(parsed["record"]).alias("pos", "_r")).where(F.col("pos").isNotNull())
     mapped = F.try_element_at(F.create_map(*[F.lit(x) for kv in EVENT_TYPES.items() for x in kv]), F.col("_r.action"))
     event = F.when(
         (F.col("_r.action") == "modifyObject") & F.coalesce(F.col("_r.justification").contains("checksum"), F.lit(False)),

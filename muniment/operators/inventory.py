@@ -85,7 +85,7 @@ def inventory_json(
     history = per_version.groupBy(obj).agg(
         F.max("version").alias("_head"),
         F.transform(
-            F.sort_array(F.collect_list(F.struct("version", "body"))),
+            F.array_sort(F.collect_list(F.struct("version", "body")), lambda a, b: a["version"] - b["version"]),
             lambda e: F.struct(F.concat(F.lit("v"), e["version"].cast("string")).alias("key"), e["body"].alias("value")),
         ).alias("_versions"),
     )

@@ -28,11 +28,13 @@ def run_report(writes: DataFrame, rejects: DataFrame, by: list[str] | None = Non
         F.sum("bytes").alias("bytes"),
     )
     failed = rejects.select(*by, "pid", "path").distinct().groupBy(*by).agg(F.count(F.lit(1)).alias("failures"))
-    if by:
-        return totals.join(failed, by, "left").withColumn("failures", F.coalesce("failures", F.lit(0).cast("bigint")))
-    # Two one-row totals: the join is of one row with one row.
-    return totals.withColumn("_one", F.lit(1)).join(failed.withColumn("_one", F.lit(1)), "_one", "left").drop("_one").withColumn(
-        "failures", F.coalesce("failures", F.lit(0).cast("bigint"))
+    # Without dimensions both sides are one row, joined on a constant.
+    keys = by or ["_one"]
+    if not by:
+        totals, failed = totals.withColumn("_one", F.lit(1)), failed.withColumn("_one", F.lit(1))
+    counts = ("objects", "resources", "resource_versions", "bytes", "failures")
+    return totals.join(failed, keys, "full_outer").select(
+        *by, *[F.coalesce(F.col(c), F.lit(0).cast("bigint")).alias(c) for c in counts]
     )
 
 

@@ -104,8 +104,22 @@ def parse_records(raw: DataFrame) -> DataFrame:
         | F.col("_rec").isNull()
         | F.col("_rec._corrupt_record").isNotNull()
     )
+    # Each step below is a projection of its own, so an expensive text is made once and read often.
+    staged = (
+        staged.withColumn("_broken", broken)
+        .withColumn("_body", _after_properties(F.col("blanked")))
+        .withColumn("_names", F.regexp_extract_all("_body", F.lit(r"<(?:[\w.-]+:)?([\w.-]+)"), F.lit(1)))
+        .withColumn("_odd", F.array_except("_names", F.array(*[F.lit(n) for n in ELEMENTS])))
+        .withColumn("_attributes", _attribute_names(F.col("blanked")))
+    )
+    structure = (
+        F.when(F.size("_odd") > 0, F.concat(F.lit("Unexpected element: "), F.array_join("_odd", ",")))
+        .when(F.col("_body").contains("<!") | F.col("_body").contains("<?"), "Unexpected xml structure")
+        .when(F.col("_body").rlike(r"(?s)(^|>)[^<]*[^<\s][^<]*<"), "Unexpected character data")
+    )
+    whole = ~F.col("_broken")
     datastreams = F.transform(
-        F.coalesce(F.col("_rec.datastream"), F.expr("array()")),
+        F.when(whole, F.col("_rec.datastream")),
         lambda d: F.struct(
             d["_ID"].alias("ds_id"),
             d["_STATE"].alias("state"),
@@ -117,19 +131,20 @@ def parse_records(raw: DataFrame) -> DataFrame:
             ).alias("versions"),
         ),
     )
+    properties = F.transform(
+        F.when(whole, F.col("_rec.objectProperties.property")),
+        lambda p: F.struct(p["_NAME"].alias("name"), p["_VALUE"].alias("value")),
+    )
     return staged.select(
         *[c for c in raw.columns if c not in ("xml", "pid")],
         F.coalesce(F.col("_rec._PID"), record_pid(F.col("xml"))).alias("pid"),
         F.col("_rec._FEDORA_URI").alias("fedora_uri"),
-        F.transform(
-            F.coalesce(F.col("_rec.objectProperties.property"), F.expr("array()")),
-            lambda p: F.struct(p["_NAME"].alias("name"), p["_VALUE"].alias("value")),
-        ).alias("properties"),
-        datastreams.alias("datastreams"),
+        F.coalesce(properties, F.expr("array()")).alias("properties"),
+        F.coalesce(datastreams, F.expr("array()")).alias("datastreams"),
         F.size("_bodies").alias("n_inline"),
-        F.when(broken, "malformed record").when(F.col("_rec._PID").isNull(), "record without PID").alias("problem"),
-        F.when(~broken, structure_problem(F.col("blanked"))).alias("structure_problem"),
-        F.when(~broken, unexpected_attributes(F.col("blanked"))).alias("unexpected_attributes"),
+        F.when(F.col("_broken"), "malformed record").when(F.col("_rec._PID").isNull(), "record without PID").alias("problem"),
+        F.when(whole, structure).alias("structure_problem"),
+        F.when(whole, _unexpected(F.col("_attributes"))).alias("unexpected_attributes"),
     )
 
 
@@ -145,48 +160,43 @@ def unreadable(parsed: DataFrame) -> DataFrame:
 
 
 def _after_properties(blanked: Column) -> Column:
-    body = F.regexp_replace(blanked, r"(?s)^.*?(</(?:[\w.-]+:)?objectProperties>|<(?:[\w.-]+:)?objectProperties\s*/>)", "")
-    return F.regexp_replace(body, r"(?s)(<(?:[\w.-]+:)?(?:binaryContent|xmlContent)\b[^>]*>)[^<]*(</)", "$1$2")
-
-
-def structure_problem(blanked: Column) -> Column:
-    """First reason why the part after the properties is not regular, else null."""
-    body = _after_properties(blanked)
-    names = F.regexp_extract_all(body, F.lit(r"<(?:[\w.-]+:)?([\w.-]+)"), F.lit(1))
-    odd = F.array_except(names, F.array(*[F.lit(n) for n in ELEMENTS]))
-    return (
-        F.when(F.size(odd) > 0, F.concat(F.lit("Unexpected element: "), F.array_join(odd, ",")))
-        .when(body.contains("<!") | body.contains("<?"), "Unexpected xml structure")
-        .when(body.rlike(r"(?s)(^|>)[^<]*[^<\s][^<]*<"), "Unexpected character data")
-    )
+    """What follows the properties, with the text of content elements taken out. Plain string work."""
+    mark = "objectProperties>"
+    upto = F.length(F.substring_index(blanked, mark, 2))
+    rest = F.when(
+        blanked.contains("objectProperties/>"), F.substring_index(blanked, "objectProperties/>", -1)
+    ).otherwise(F.substring(blanked, upto + F.lit(len(mark) + 1), F.length(blanked)))
+    return F.regexp_replace(rest, r"(?s)(<(?:[\w.-]+:)?(?:binaryContent|xmlContent)\b[^>]*>)[^<]*(</)", "$1$2")
+
 
+def _attribute_names(blanked: Column) -> Column:
+    """Names before ``="``; the text of content elements holds none because no tag can be inside it."""
+    return F.regexp_extract_all(blanked, F.lit(r"""(?s)\s([\w.:-]+)\s*=\s*(?:"[^"]*"|'[^']*')"""), F.lit(1))
 
-def unexpected_attributes(blanked: Column) -> Column:
+
+def _unexpected(names: Column) -> Column:
     """Sorted names of attributes no reader asks for: a warning, never a reason to reject."""
-    tags = F.array_join(
-        F.regexp_extract_all(
-            F.regexp_replace(blanked, r"(?s)<!--.*?-->|<\?.*?\?>", ""), F.lit(r"(?s)<[\w.:-]+([^<>]*)>"), F.lit(1)
-        ),
-        " ",
-    )
-    bare = F.regexp_replace(tags, r"""(?s)("[^"]*"|'[^']*')""", "~")
-    names = F.regexp_extract_all(bare, F.lit(r"(?:^|\s)([\w.:-]+)\s*=\s*~"), F.lit(1))
     local = F.transform(F.filter(names, lambda n: ~n.startswith("xmlns")), lambda n: F.substring_index(n, ":", -1))
-    return F.sort_array(
-        F.array_except(F.array_distinct(local), F.array(*[F.lit(n) for n in (*ATTRIBUTES, "schemaLocation")]))
-    )
+    allowed = (*ATTRIBUTES, "schemaLocation", "version", "encoding")
+    return F.sort_array(F.array_except(F.array_distinct(local), F.array(*[F.lit(n) for n in allowed])))
+
+
+def _unnest(df: DataFrame, keep: list[str], array: Column, pos: str, item: str) -> DataFrame:
+    """One row per array element. The outer form, because an inner explode makes Spark test the array's
+    size in a filter below it, which would run the whole parse a second time."""
+    return df.select(*keep, F.posexplode_outer(array).alias(pos, item)).where(F.col(pos).isNotNull())
 
 
 def shred_objects(parsed: DataFrame) -> DataFrame:
-    return parsed.select("pid", "fedora_uri", "path")
+    return readable(parsed).select("pid", "fedora_uri", "path")
 
 
 def shred_properties(parsed: DataFrame) -> DataFrame:
-    return parsed.select("pid", F.posexplode("properties").alias("pos", "_p")).select("pid", "pos", "_p.name", "_p.value")
+    return _unnest(parsed, ["pid"], F.col("properties"), "pos", "_p").select("pid", "pos", "_p.name", "_p.value")
 
 
 def shred_datastreams(parsed: DataFrame) -> DataFrame:
-    return parsed.select("pid", F.posexplode("datastreams").alias("doc_pos", "_d")).select(
+    return _unnest(parsed, ["pid"], F.col("datastreams"), "doc_pos", "_d").select(
         "pid", "_d.ds_id", "_d.control_group", "_d.fedora_uri", "_d.state", "_d.versionable", "doc_pos"
     )
 
@@ -197,9 +207,9 @@ VERSION_ROOM = 1 << 20
 
 def shred_versions(parsed: DataFrame, host: str = M.DEFAULT_HOST, keep: list[str] | None = None) -> DataFrame:
     """One row per datastream version with its content classified."""
+    of_datastreams = _unnest(parsed, ["pid", *(keep or [])], F.col("datastreams"), "_dp", "_d")
     rows = (
-        parsed.select("pid", *(keep or []), F.posexplode("datastreams").alias("_dp", "_d"))
-        .select("*", F.posexplode("_d.versions").alias("_vp", "_v"))
+        _unnest(of_datastreams, ["*"], F.col("_d.versions"), "_vp", "_v")
         .select(
             "pid",
             *(keep or []),

@@ -100,11 +100,11 @@ def next_value(
         *keys, SLICE, F.lead("_first").over(Window.partitionBy(*keys).orderBy(SLICE)).alias("_after")
     )
     w = Window.partitionBy(*keys, SLICE).orderBy(*order)
-    local = df.select("*", F.lead(value).over(w).alias("_next"), F.lead(F.lit(True)).over(w).alias("_inside"))
+    local = df.select("*", F.lead(value).over(w).alias("_following"), F.lead(F.lit(True)).over(w).alias("_inside"))
     return (
         local.join(summary, [*keys, SLICE], "left")
-        .withColumn(out, F.when(F.col("_inside"), F.col("_next")).otherwise(F.col("_after")))
-        .drop(SLICE, "_next", "_inside", "_after")
+        .withColumn(out, F.when(F.col("_inside"), F.col("_following")).otherwise(F.col("_after")))
+        .drop(SLICE, "_following", "_inside", "_after")
     )
 
 

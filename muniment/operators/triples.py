@@ -27,7 +27,7 @@ def _triple(s: Column, p: str | Column, o: Column, datatype: str | Column) -> Co
 
 
 def _explode(df: DataFrame, keys: list[str], triples: Column) -> DataFrame:
-    return df.select(*keys, F.explode(triples).alias("_t")).select(*keys, "_t.*").where(F.col("o").isNotNull())
+    return df.select(*keys, F.explode_outer(triples).alias("_t")).select(*keys, "_t.*").where(F.col("o").isNotNull())
 
 
 def object_triple_array() -> Column:

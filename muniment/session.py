@@ -61,3 +61,13 @@ def stage(df: DataFrame, name: str, path: str | None = None, partition_by: list[
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread_rows(df: DataFrame) -> DataFrame:
+    """Give CPU-heavy work on compact rows at least one task per core.
+
+    A small columnar file is one input split however long its rows take to parse. Inputs that already
+    have enough splits are left alone, so nothing is moved at scale.
+    """
+    wanted = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= wanted else df.repartition(wanted)
