@@ -270,7 +270,8 @@ def version_problems(versions: DataFrame) -> DataFrame:
         .when(external & (F.col("content_kind") != "url"), F.concat(F.lit("no URL for "), "version_id"))
         .when(F.col("content_kind") == "none", F.concat(F.lit("no content for "), "version_id"))
     )
-    return versions.select("pid", "ds_id", "version_id", problem.alias("message")).where(F.col("message").isNotNull())
+    keep = [c for c in ("path",) if c in versions.columns]
+    return versions.select("pid", *keep, "ds_id", "version_id", problem.alias("message")).where(F.col("message").isNotNull())
 
 
 def inline_count_problems(parsed: DataFrame) -> DataFrame:
