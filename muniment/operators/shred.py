@@ -46,6 +46,12 @@ ATTRIBUTES = (
     "ALT_IDS", "CONTROL_GROUP", "CREATED", "DIGEST", "FEDORA_URI", "FORMAT_URI", "ID", "LABEL", "MIMETYPE",
     "NAME", "PID", "REF", "SIZE", "STATE", "TYPE", "VALUE", "VERSION", "VERSIONABLE",
 )
+# A known name is matched but not captured, so the scan stays in step with the text and returns odd names only.
+ODD_ELEMENT = r"<(?:[\w.-]+:)?(?:(?:" + "|".join(ELEMENTS) + r")(?=[\s/>])|([\w.-]+))"
+ODD_ATTRIBUTE = (
+    r"(?s)\s(?:xmlns(?::[\w.-]+)?|(?:[\w.-]+:)?(?:" + "|".join((*ATTRIBUTES, "schemaLocation", "version", "encoding"))
+    + r""")|([\w.:-]+))\s*=\s*(?:"[^"]*"|'[^']*')"""
+)
 
 
 def record_pid(xml: Column) -> Column:
@@ -108,9 +114,8 @@ def parse_records(raw: DataFrame) -> DataFrame:
     staged = (
         staged.withColumn("_broken", broken)
         .withColumn("_body", _after_properties(F.col("blanked")))
-        .withColumn("_names", F.regexp_extract_all("_body", F.lit(r"<(?:[\w.-]+:)?([\w.-]+)"), F.lit(1)))
-        .withColumn("_odd", F.array_except("_names", F.array(*[F.lit(n) for n in ELEMENTS])))
-        .withColumn("_attributes", _attribute_names(F.col("blanked")))
+        .withColumn("_odd", _unknown(F.col("_body"), ODD_ELEMENT))
+        .withColumn("_attributes", _unknown(F.col("blanked"), ODD_ATTRIBUTE))
     )
     structure = (
         F.when(F.size("_odd") > 0, F.concat(F.lit("Unexpected element: "), F.array_join("_odd", ",")))
@@ -144,7 +149,9 @@ def parse_records(raw: DataFrame) -> DataFrame:
         F.size("_bodies").alias("n_inline"),
         F.when(F.col("_broken"), "malformed record").when(F.col("_rec._PID").isNull(), "record without PID").alias("problem"),
         F.when(whole, structure).alias("structure_problem"),
-        F.when(whole, _unexpected(F.col("_attributes"))).alias("unexpected_attributes"),
+        F.when(
+            whole, F.sort_array(F.array_distinct(F.transform("_attributes", lambda n: F.substring_index(n, ":", -1))))
+        ).alias("unexpected_attributes"),
     )
 
 
@@ -169,16 +176,9 @@ def _after_properties(blanked: Column) -> Column:
     return F.regexp_replace(rest, r"(?s)(<(?:[\w.-]+:)?(?:binaryContent|xmlContent)\b[^>]*>)[^<]*(</)", "$1$2")
 
 
-def _attribute_names(blanked: Column) -> Column:
-    """Names before ``="``; the text of content elements holds none because no tag can be inside it."""
-    return F.regexp_extract_all(blanked, F.lit(r"""(?s)\s([\w.:-]+)\s*=\s*(?:"[^"]*"|'[^']*')"""), F.lit(1))
-
-
-def _unexpected(names: Column) -> Column:
-    """Sorted names of attributes no reader asks for: a warning, never a reason to reject."""
-    local = F.transform(F.filter(names, lambda n: ~n.startswith("xmlns")), lambda n: F.substring_index(n, ":", -1))
-    allowed = (*ATTRIBUTES, "schemaLocation", "version", "encoding")
-    return F.sort_array(F.array_except(F.array_distinct(local), F.array(*[F.lit(n) for n in allowed])))
+def _unknown(text: Column, pattern: str) -> Column:
+    """Distinct names a pattern captures; it matches known names too, without capturing them."""
+    return F.array_remove(F.array_distinct(F.regexp_extract_all(text, F.lit(pattern), F.lit(1))), "")
 
 
 def _unnest(df: DataFrame, keep: list[str], array: Column, pos: str, item: str) -> DataFrame:

@@ -42,17 +42,26 @@ def bad_names(index: DataFrame) -> DataFrame:
     )
 
 
+def _open(path: str):
+    """Input stream of a path as Spark lists it: unescaped, so names may hold ``%`` and other URI characters."""
+    import re
+    from urllib.parse import quote
+
+    from pyarrow import fs
+
+    root, inner = re.match(r"^([A-Za-z][\w+.-]*:(?://[^/]*)?)?(.*)$", path, re.DOTALL).groups()
+    filesystem, name = fs.FileSystem.from_uri((root or "file:") + quote(inner))
+    return filesystem.open_input_stream(name)
+
+
 def _hash_in_chunks(algorithms: list[str]):
     def run(batches: Iterable[pd.DataFrame]):
-        from pyarrow import fs
-
         for pdf in batches:
             rows = []
             for path, length in zip(pdf["path"], pdf["length"]):
-                filesystem, inner = fs.FileSystem.from_uri(path)
                 hashes = [hashlib.new(a) for a in algorithms]
                 head = b""
-                with filesystem.open_input_stream(inner) as stream:
+                with _open(path) as stream:
                     while chunk := stream.read(CHUNK_BYTES):
                         head = head or bytes(chunk[: mime.MAGIC_BYTES])
                         for h in hashes:
@@ -115,16 +124,13 @@ def read_texts(df: DataFrame, path: str, out: str) -> DataFrame:
     schema = df.withColumn(out, F.lit(None).cast("string")).schema
 
     def run(batches: Iterable[pd.DataFrame]):
-        from pyarrow import fs
-
         for pdf in batches:
             texts = []
             for p in pdf[path]:
                 if p is None:
                     texts.append(None)
                     continue
-                filesystem, inner = fs.FileSystem.from_uri(p)
-                with filesystem.open_input_stream(inner) as stream:
+                with _open(p) as stream:
                     texts.append(stream.read().decode("utf-8", "replace"))
             yield pdf.assign(**{out: texts})
 
