@@ -97,12 +97,15 @@ def head_only(df: DataFrame, object_key: str, resource: list[str], order: list[s
 
 
 def snapshot_at(
-    df: DataFrame, keys: list[str], order: list[str], upto: Column, deleted: Column | None = None
+    df: DataFrame, keys: list[str], order: list[str], upto: Column | None = None, deleted: Column | None = None
 ) -> DataFrame:
-    """Everything live at a point: the latest row of each resource at or before it, minus deleted ones."""
+    """Everything live at a point: the latest row of each resource at or before it, minus deleted ones.
+
+    ``upto`` is the condition of the point; leave it out when ``df`` is already filtered at its scan.
+    """
     rest = [c for c in df.columns if c not in keys]
     live = (
-        df.where(upto)
+        (df if upto is None else df.where(upto))
         .groupBy(*keys)
         .agg(F.max_by(F.struct(*rest), F.struct(*order)).alias("_row"))
         .select(*keys, "_row.*")

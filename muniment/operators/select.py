@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from muniment.operators import spread
 from muniment.session import stage
 
 # Up to this many rows a top-n merge holds nothing of note; beyond it positions are computed in parallel.
@@ -16,7 +17,8 @@ def filter_pids(df: DataFrame, pid_list: DataFrame | None, key: str) -> DataFram
     """Keep the listed ids; no list or an empty list accepts everything."""
     if pid_list is None or pid_list.isEmpty():
         return df
-    return df.join(pid_list.select(F.col(pid_list.columns[0]).alias(key)), key, "left_semi")
+    listed = pid_list.select(F.col(pid_list.columns[0]).alias(key)).distinct()
+    return spread.skew_join(df, listed, [key], "left_semi").select(*df.columns)
 
 
 def with_positions(ids: DataFrame, order: list[str], out: str = "position") -> DataFrame:

@@ -157,12 +157,3 @@ def ntriples_line(field: Callable[[str], Column] = F.col) -> Column:
 def to_ntriples(triples: DataFrame, keys: list[str]) -> DataFrame:
     """One line per distinct statement and key."""
     return triples.select(*keys, ntriples_line().alias("line")).distinct()
-
-
-def ntriples_document(triples: DataFrame, keys: list[str]) -> DataFrame:
-    """The whole text per key, lines sorted. For keys of one resource version, which one record bounds."""
-    return (
-        to_ntriples(triples, keys)
-        .groupBy(*keys)
-        .agg(F.concat(F.array_join(F.sort_array(F.collect_list("line")), "\n"), F.lit("\n")).alias("nt"))
-    )

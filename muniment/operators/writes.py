@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from muniment.operators import spread
+
 
 def resources_to_write(changed: DataFrame, touched: DataFrame, key: str, version: str, resource: str) -> DataFrame:
     """(key, version, resource) of every description or object a version (re)writes.
@@ -15,9 +17,7 @@ def resources_to_write(changed: DataFrame, touched: DataFrame, key: str, version
     own = changed.select(key, version, resource).distinct()
     first = changed.groupBy(key, resource).agg(F.min(version).alias("_first"))
     named = (
-        touched.select(key, version, resource)
-        .distinct()
-        .join(first, [key, resource])
+        spread.skew_join(touched.select(key, version, resource).distinct(), first, [key, resource], "inner", [version])
         .where(F.col("_first") <= F.col(version))
         .select(key, version, resource)
     )

@@ -9,7 +9,7 @@ from muniment import model as M
 from muniment.operators import filenames, history, lifecycle, resolve, select, spread, writes
 from muniment.plans.tables import day, documents, events, orders, table
 
-SNAPSHOT_AT = "2024-01-15T00:00:00.000000Z"
+SNAPSHOT_AT = "2024-01-15 00:00:00"
 RUN_TS = "2024-06-01T00:00:00.000000Z"
 
 
@@ -63,10 +63,9 @@ def head_only(spark: SparkSession, d: str) -> DataFrame:
 
 
 def snapshot_at(spark: SparkSession, d: str) -> DataFrame:
-    rows = events(spark, d).select("user_id", "event_type", "event_id", "created", "k")
-    return history.snapshot_at(
-        rows, ["user_id", "event_type"], ["created", "event_id"], F.col("created") <= SNAPSHOT_AT, F.col("k") < 10
-    )
+    upto = F.col("ts") <= F.lit(SNAPSHOT_AT).cast("timestamp_ntz")
+    rows = events(spark, d, upto).select("user_id", "event_type", "event_id", "created", "k")
+    return history.snapshot_at(rows, ["user_id", "event_type"], ["created", "event_id"], deleted=F.col("k") < 10)
 
 
 def target_objects(spark: SparkSession, d: str) -> DataFrame:

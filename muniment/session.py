@@ -15,6 +15,8 @@ _SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Documents can be long: few rows per batch keep a Python task's memory small.
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
 }
 
 
@@ -25,7 +27,13 @@ def build_session(app: str = "muniment", master: str | None = None, **conf: str)
         builder = builder.master(master).config("spark.ui.enabled", "false")
     for key, value in {**_SETTINGS, **conf}.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    if not spark.sparkContext.master.startswith("local") and "spark.sql.shuffle.partitions" not in conf:
+        # Start wide and let the runtime join small partitions: it cannot split a shuffle made too narrow.
+        cores = spark.sparkContext.defaultParallelism
+        current = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        spark.conf.set("spark.sql.shuffle.partitions", str(max(current, 3 * cores)))
+    return spark
 
 
 def shared_dir(spark: SparkSession) -> str:

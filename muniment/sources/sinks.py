@@ -24,8 +24,8 @@ def write_resources(df: DataFrame, path: str, opts: RunOptions, mode: str = "app
         ids.layout_path(F.col("object_id")).alias("object_dir"),
         ids.layout_bucket(F.col("object_id")).alias("bucket"),
     )
-    # Rows of a bucket meet before they are written: one file set per bucket instead of one per task and bucket.
-    out.repartition("bucket", F.pmod(F.xxhash64("object_id"), F.lit(4))).write.mode(mode).partitionBy("bucket").parquet(path)
+    # Rows of a bucket meet before they are written; the rebalance splits large buckets and joins small ones.
+    out.hint("rebalance", F.col("bucket")).write.mode(mode).partitionBy("bucket").parquet(path)
 
 
 def write_ntriples(df: DataFrame, path: str, mode: str = "append") -> None:

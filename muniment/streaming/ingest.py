@@ -14,12 +14,13 @@ from muniment.sources.records import VISIBLE
 BINARY_FILE = "path STRING, modificationTime TIMESTAMP, length BIGINT, content BINARY"
 
 
-def stream_records(spark: SparkSession, root: str, name_regex: str = VISIBLE) -> DataFrame:
-    """Streaming ``raw_records`` of a directory tree: every new record file once."""
+def stream_records(spark: SparkSession, root: str, name_regex: str = VISIBLE, files_per_batch: int = 1_000_000) -> DataFrame:
+    """Streaming ``raw_records`` of a directory tree: every new record file once, in batches of bounded size."""
     return (
         spark.readStream.format("binaryFile")
         .schema(BINARY_FILE)
         .option("recursiveFileLookup", "true")
+        .option("maxFilesPerTrigger", files_per_batch)
         .load(root)
         .where(ids.file_name(F.col("path")).rlike(name_regex))
         .select("path", F.col("content").cast("string").alias("xml"), "length")
@@ -40,12 +41,14 @@ def ingest_available(
     spark = raw.sparkSession
     parsed = shred.parse_records(raw)
 
+    def checked(rows: DataFrame) -> DataFrame:
+        return validate.validate_inline(shred.shred_versions(rows, keep=["path"]))
+
     def write(batch: DataFrame, number: int) -> None:
         target = f"{sink_dir}/parsed/batch={number}"
         batch.write.mode("overwrite").parquet(target)
         stored = spark.read.schema(batch.schema).parquet(target)
-        versions = validate.validate_inline(shred.shred_versions(shred.readable(stored), keep=["path"]))
-        versions.write.mode("overwrite").parquet(f"{sink_dir}/versions/batch={number}")
+        checked(stored).write.mode("overwrite").parquet(f"{sink_dir}/versions/batch={number}")
         if each_batch:
             each_batch(stored, number)
 
@@ -56,4 +59,13 @@ def ingest_available(
         .start()
     )
     query.awaitTermination()
-    return {name: spark.read.parquet(f"{sink_dir}/{name}") for name in ("parsed", "versions")}
+    empty = spark.createDataFrame([], parsed.schema)
+    return {"parsed": _written(spark, f"{sink_dir}/parsed", empty), "versions": _written(spark, f"{sink_dir}/versions", checked(empty))}
+
+
+def _written(spark: SparkSession, path: str, empty: DataFrame) -> DataFrame:
+    """The batches written so far; no rows when the stream has offered nothing yet."""
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    if not hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hpath):
+        return empty
+    return spark.read.schema(empty.schema).option("recursiveFileLookup", "true").parquet(path)
