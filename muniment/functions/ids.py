@@ -67,9 +67,9 @@ def layout_path(object_id: Column) -> Column:
     )
 
 
-def layout_bucket(object_id: Column) -> Column:
-    """First tuple of the layout: 4,096 evenly filled write buckets."""
-    return F.substring(F.sha2(object_id, 256), 1, 3)
+def layout_bucket(object_id: Column, characters: int = 3) -> Column:
+    """Start of the layout's first tuple: 16 ** ``characters`` evenly filled write buckets."""
+    return F.substring(F.sha2(object_id, 256), 1, characters)
 
 
 def not_blank(col: Column) -> Column:

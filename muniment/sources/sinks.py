@@ -15,14 +15,19 @@ def target_root(opts: RunOptions) -> str:
     return base if opts.plain else f"{base}/data/ocfl-root"
 
 
-def write_resources(df: DataFrame, path: str, opts: RunOptions, mode: str = "append") -> None:
-    """Resource versions with their version metadata, partitioned by the first tuple of the layout."""
+def write_resources(
+    df: DataFrame, path: str, opts: RunOptions, mode: str = "append", bucket_characters: int = 3
+) -> None:
+    """Resource versions with their version metadata, partitioned by the start of the layout's first tuple.
+
+    Three characters give 4,096 partitions, for targets of many millions of objects; small targets take fewer.
+    """
     out = df.select(
         "*",
         F.lit(opts.user).alias("version_user"),
         F.lit(opts.user_uri).alias("version_address"),
         ids.layout_path(F.col("object_id")).alias("object_dir"),
-        ids.layout_bucket(F.col("object_id")).alias("bucket"),
+        ids.layout_bucket(F.col("object_id"), bucket_characters).alias("bucket"),
     )
     # Rows of a bucket meet before they are written; the rebalance splits large buckets and joins small ones.
     out.hint("rebalance", F.col("bucket")).write.mode(mode).partitionBy("bucket").parquet(path)
@@ -30,7 +35,7 @@ def write_resources(df: DataFrame, path: str, opts: RunOptions, mode: str = "app
 
 def write_ntriples(df: DataFrame, path: str, mode: str = "append") -> None:
     """N-Triples lines of every resource version."""
-    df.where(F.col("nt") != "").select(F.rtrim("nt").alias("value")).write.mode(mode).text(path)
+    df.where(F.col("nt") != "").select(F.regexp_replace("nt", r"\n$", "").alias("value")).write.mode(mode).text(path)
 
 
 def write_inventories(df: DataFrame, path: str, mode: str = "append") -> None:
