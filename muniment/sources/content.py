@@ -134,4 +134,6 @@ def read_texts(df: DataFrame, path: str, out: str) -> DataFrame:
                     texts.append(stream.read().decode("utf-8", "replace"))
             yield pdf.assign(**{out: texts})
 
-    return df.mapInPandas(run, schema)
+    # A list of paths is tiny next to the files it names: spread it by number, or it ends up in one task.
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(tasks).mapInPandas(run, schema)
