@@ -8,7 +8,7 @@ import pytest
 import __spark_entry__ as entry_module
 
 SF = "/root/testdata/sf0.001"
-QUERIES, ORACLE = entry_module.queries(), entry_module.oracle_sql()
+from muniment.plans.queries import ORACLE, QUERIES  # noqa: E402
 
 
 @pytest.fixture(scope="module")
