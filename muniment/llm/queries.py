@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from muniment.llm import decontaminate, pieces, quality, secrets, wordpiece
+from muniment.llm import decontaminate, pieces, quality, secrets, simhash, wordpiece
 from muniment.llm.common import read
 
 
@@ -27,6 +27,10 @@ def op5_quality(spark, sf_dir):
     return quality.quality_rules(read(spark, sf_dir, "documents"))
 
 
+def op6_simhash(spark, sf_dir):
+    return simhash.near_duplicates(read(spark, sf_dir, "documents"))
+
+
 def op7_sentencepiece(spark, sf_dir):
     return pieces.encode_texts(read(spark, sf_dir, "documents"))
 
@@ -39,6 +43,7 @@ QUERIES = {
     "op3_decontamination": op3_decontamination,
     "op4_secrets": op4_secrets,
     "op5_quality": op5_quality,
+    "op6_simhash": op6_simhash,
     "op7_sentencepiece": op7_sentencepiece,
     "op10_token_counts": op10_token_counts,
 }
