@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from muniment.llm import decontaminate, pieces, quality, secrets, simhash, wordpiece
+from muniment.llm import decontaminate, html, pieces, quality, secrets, simhash, urls, wordpiece
 from muniment.llm.common import read
 
 
+def op1_html_extraction(spark, sf_dir):
+    return html.main_text(read(spark, sf_dir, "pages"))
+
+
 def op3_decontamination(spark, sf_dir):
     found = decontaminate.find_matches(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"), size=10)
     return found.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"),
@@ -35,17 +39,39 @@ def op7_sentencepiece(spark, sf_dir):
     return pieces.encode_texts(read(spark, sf_dir, "documents"))
 
 
+#: The rules by which pages are judged.
+URL_RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/")]
+
+
+def op9_url_filters(spark, sf_dir):
+    return urls.url_verdicts(read(spark, sf_dir, "pages"), urls.rule_table(spark, URL_RULES))
+
+
 def op10_token_counts(spark, sf_dir):
     return wordpiece.token_counts(read(spark, sf_dir, "documents"))
 
 
 QUERIES = {
+    "op1_html_extraction": op1_html_extraction,
     "op3_decontamination": op3_decontamination,
     "op4_secrets": op4_secrets,
     "op5_quality": op5_quality,
     "op6_simhash": op6_simhash,
     "op7_sentencepiece": op7_sentencepiece,
+    "op9_url_filters": op9_url_filters,
     "op10_token_counts": op10_token_counts,
 }
 
-ORACLE: dict[str, str] = {}
+_WORDS_3 = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+_FOLD = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+ORACLE: dict[str, str] = {
+    "op9_url_filters": r"""
+        WITH u AS (
+            SELECT page_id, coalesce(translate(regexp_extract(url, '^(?s:.*?)://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
+                   coalesce(regexp_extract(url, '^(?s:.*?)://[^/?#]*(/[^?#]*)', 1), '') AS path, row_number() OVER () AS n FROM pages),
+        r(rhost, rpath, action) AS (VALUES ('org', '/', 'allow'), ('example.org', '/es/', 'block'), ('example.org', '/en/1', 'block'), ('com', '/fr/', 'allow'), ('com', '/de/', 'block')),
+        m AS (SELECT n, arg_max(rhost || rpath, length(rhost || rpath)) AS rule, arg_max(action, length(rhost || rpath)) AS action
+              FROM u JOIN r ON (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath) GROUP BY n)
+        SELECT page_id, host, path, rule, coalesce(action, 'allow') AS verdict FROM u LEFT JOIN m USING (n)""",
+}
