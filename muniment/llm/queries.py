@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from muniment.llm import decontaminate, html, pieces, quality, secrets, simhash, urls, wordpiece
+from muniment.llm import decontaminate, html, pieces, quality, repeats, secrets, simhash, suffixes, urls, wordpiece
 from muniment.llm.common import read
 
 
@@ -12,6 +12,10 @@ def op1_html_extraction(spark, sf_dir):
     return html.main_text(read(spark, sf_dir, "pages"))
 
 
+def op2_suffix_array(spark, sf_dir):
+    return suffixes.substring_dedup(read(spark, sf_dir, "documents"))
+
+
 def op3_decontamination(spark, sf_dir):
     found = decontaminate.find_matches(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"), size=10)
     return found.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"),
@@ -39,6 +43,10 @@ def op7_sentencepiece(spark, sf_dir):
     return pieces.encode_texts(read(spark, sf_dir, "documents"))
 
 
+def op8_substring_dedup(spark, sf_dir):
+    return repeats.repeat_dedup(read(spark, sf_dir, "documents"))
+
+
 #: The rules by which pages are judged.
 URL_RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/")]
 
@@ -53,11 +61,13 @@ def op10_token_counts(spark, sf_dir):
 
 QUERIES = {
     "op1_html_extraction": op1_html_extraction,
+    "op2_suffix_array": op2_suffix_array,
     "op3_decontamination": op3_decontamination,
     "op4_secrets": op4_secrets,
     "op5_quality": op5_quality,
     "op6_simhash": op6_simhash,
     "op7_sentencepiece": op7_sentencepiece,
+    "op8_substring_dedup": op8_substring_dedup,
     "op9_url_filters": op9_url_filters,
     "op10_token_counts": op10_token_counts,
 }
