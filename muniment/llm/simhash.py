@@ -60,8 +60,8 @@ class Ring:
     """Segments of a fingerprint, and the bits of the chains that begin at each of them."""
 
     def __init__(self, distance: int):
-        if not 1 <= distance <= 7:
-            raise ValueError("the distance must lie between 1 and 7")
+        if not 2 <= distance <= 7:  # two segments of a key must fit beside each other
+            raise ValueError("the distance must lie between 2 and 7")
         self.distance, m = distance, distance + 1
         self.widths = [64 // m + (i < 64 % m) for i in range(m)]
         self.offsets = [sum(self.widths[:i]) for i in range(m)]
