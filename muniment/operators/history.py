@@ -93,7 +93,7 @@ def head_only(df: DataFrame, object_key: str, resource: list[str], order: list[s
         .select(*keys, "_head.*")
     )
     first = df.groupBy(object_key).agg(F.min(created).alias("version_date"))
-    return spread.skew_join(heads, first, [object_key], "left", salt_on=resource)
+    return heads.join(first, object_key, "left")
 
 
 def snapshot_at(

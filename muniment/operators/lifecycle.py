@@ -19,7 +19,7 @@ def object_state(properties: Column) -> Column:
 def missing_state(objects: DataFrame) -> DataFrame:
     """Rejects of objects without state information."""
     return objects.where(F.col("object_state").isNull()).select(
-        "pid", F.concat(F.lit("Object "), "pid", F.lit(" is missing state information")).alias("message")
+        "pid", F.concat(F.lit("no state property in "), "pid").alias("message")
     )
 
 
@@ -42,7 +42,6 @@ def apply_deletes(
     ds_state: str,
     delete_inactive: bool,
     run_ts: str,
-    min_rows: int = spread.MIN_ROWS,
 ) -> DataFrame:
     """Tombstones ``(key, resource, scope, deleted_at)``; an object without deletions gives no row.
 
@@ -51,7 +50,7 @@ def apply_deletes(
     """
     states = objects.select(key, F.col(object_state).alias("_object_state"))
     ds = datastreams.select(key, resource, F.col(ds_state).alias("_ds_state"))
-    joined = spread.skew_join(ds, states, [key], "left", [resource], min_rows)
+    joined = ds.join(states, key, "left")
     gone = object_doomed(F.col("_object_state"), delete_inactive) | datastream_doomed(F.col("_ds_state"), delete_inactive)
     of_datastreams = joined.where(gone).select(key, F.col(resource).cast("string").alias("resource"), F.lit("datastream").alias("scope"))
     of_objects = states.where(object_doomed(F.col("_object_state"), delete_inactive)).select(

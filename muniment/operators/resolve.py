@@ -20,11 +20,10 @@ def index_by_id(index: DataFrame, key: str = "internal_id") -> DataFrame:
 
 
 def resolve_content(
-    versions: DataFrame, index: DataFrame, key: str = "internal_id", salt_on: list[str] | None = None,
-    min_rows: int = spread.MIN_ROWS,
+    versions: DataFrame, index: DataFrame, key: str = "internal_id",
 ) -> DataFrame:
     """Exactly one file per referenced id: ``resolved``, ``unresolved`` (none) or ``ambiguous`` (several)."""
-    joined = spread.skew_join(versions, index_by_id(index, key), [key], "left", salt_on, min_rows)
+    joined = versions.join(index_by_id(index, key), key, "left")
     n = F.coalesce(F.col("n_files"), F.lit(0))
     return joined.withColumn("n_files", n).withColumn(
         "resolution", F.when(n == 1, "resolved").when(n == 0, "unresolved").otherwise("ambiguous")

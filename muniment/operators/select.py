@@ -8,17 +8,18 @@ from pyspark.sql import functions as F
 from muniment.operators import spread
 from muniment.session import stage
 
-# Up to this many rows a top-n merge holds nothing of note; beyond it positions are computed in parallel.
-SMALL_LIMIT = 100_000
 _LOCAL = (1 << 33) - 1
 
+# Fixed value: the id that stands for "no id before" at position 0.
+FIRST_RUN = "foo"
+
 
 def filter_pids(df: DataFrame, pid_list: DataFrame | None, key: str) -> DataFrame:
     """Keep the listed ids; no list or an empty list accepts everything."""
     if pid_list is None or pid_list.isEmpty():
         return df
     listed = pid_list.select(F.col(pid_list.columns[0]).alias(key)).distinct()
-    return spread.skew_join(df, listed, [key], "left_semi").select(*df.columns)
+    return df.join(listed, key, "left_semi").select(*df.columns)
 
 
 def with_positions(ids: DataFrame, order: list[str], out: str = "position") -> DataFrame:
@@ -56,8 +57,6 @@ def limit_objects(ids: DataFrame, n: int, order: list[str]) -> DataFrame:
     """First ``n`` objects in scan order; negative takes all, zero none."""
     if n < 0:
         return ids
-    if n <= SMALL_LIMIT:
-        return ids.orderBy(*order).limit(n)
     return with_positions(ids, order).where(F.col("position") < n).drop("position")
 
 
@@ -76,7 +75,7 @@ def resume_after(
         found = str(before[0][0]) if before else None
         if reached and (found is None or found.lower() != last_id.lower()):
             raise ValueError(f"resume point {position} does not follow {last_id!r} (found {found!r})")
-    elif last_id.lower() != "foo":
+    elif last_id.lower() != FIRST_RUN:
         raise ValueError(f"resume point 0 does not follow {last_id!r}")
     kept = placed.where(F.col("position") >= position) if resume else placed
     return kept.drop("position")
@@ -96,12 +95,12 @@ def select_objects(
     limit: int = -1,
     pid_list: DataFrame | None = None,
     position: int = 0,
-    last_id: str = "foo",
+    last_id: str = FIRST_RUN,
     resume: bool = False,
     ledger: DataFrame | None = None,
 ) -> DataFrame:
     """Limit, then id list, then resume point or ledger. Works on ids and paths only, never on whole records."""
     chosen = filter_pids(limit_objects(ids, limit, order), pid_list, key)
-    if resume and position > 0:
-        chosen = resume_after(chosen, position, last_id, key, order)
+    if position > 0 or last_id.lower() != FIRST_RUN:
+        chosen = resume_after(chosen, position, last_id, key, order, resume)
     return pending(chosen, ledger, key) if resume else chosen

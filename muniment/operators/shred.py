@@ -118,9 +118,9 @@ def parse_records(raw: DataFrame) -> DataFrame:
         .withColumn("_attributes", _unknown(F.col("blanked"), ODD_ATTRIBUTE))
     )
     structure = (
-        F.when(F.size("_odd") > 0, F.concat(F.lit("Unexpected element: "), F.array_join("_odd", ",")))
-        .when(F.col("_body").contains("<!") | F.col("_body").contains("<?"), "Unexpected xml structure")
-        .when(F.col("_body").rlike(r"(?s)(^|>)[^<]*[^<\s][^<]*<"), "Unexpected character data")
+        F.when(F.size("_odd") > 0, F.concat(F.lit("element not known here: "), F.array_join("_odd", ",")))
+        .when(F.col("_body").contains("<!") | F.col("_body").contains("<?"), "comment or instruction in the record")
+        .when(F.col("_body").rlike(r"(?s)(^|>)[^<]*[^<\s][^<]*<"), "text outside of elements")
     )
     whole = ~F.col("_broken")
     datastreams = F.transform(
@@ -141,13 +141,17 @@ def parse_records(raw: DataFrame) -> DataFrame:
         lambda p: F.struct(p["_NAME"].alias("name"), p["_VALUE"].alias("value")),
     )
     return staged.select(
-        *[c for c in raw.columns if c not in ("xml", "pid")],
+        *[c for c in raw.columns if c not in ("xml", "pid", "text_problem")],
         F.coalesce(F.col("_rec._PID"), record_pid(F.col("xml"))).alias("pid"),
         F.col("_rec._FEDORA_URI").alias("fedora_uri"),
         F.coalesce(properties, F.expr("array()")).alias("properties"),
         F.coalesce(datastreams, F.expr("array()")).alias("datastreams"),
         F.size("_bodies").alias("n_inline"),
-        F.when(F.col("_broken"), "malformed record").when(F.col("_rec._PID").isNull(), "record without PID").alias("problem"),
+        # Which digests stored content is checked by: a few words per record, so that finding them reads no bodies.
+        F.coalesce(F.array_distinct(F.flatten(F.transform(
+            datastreams, lambda d: F.transform(F.filter(d["versions"], lambda v: v["location_type"] == "INTERNAL_ID"), lambda v: v["digest_type"])
+        ))), F.expr("cast(array() as array<string>)")).alias("stored_digest_types"),
+        (F.when(F.col("text_problem").isNotNull(), F.col("text_problem")) if "text_problem" in raw.columns else F).when(F.col("_broken"), "malformed record").when(F.col("_rec._PID").isNull(), "record without PID").alias("problem"),
         F.when(whole, structure).alias("structure_problem"),
         F.when(
             whole, F.sort_array(F.array_distinct(F.transform("_attributes", lambda n: F.substring_index(n, ":", -1))))
@@ -202,7 +206,7 @@ def shred_datastreams(parsed: DataFrame) -> DataFrame:
 
 
 # A record position is (datastream, version): one number with room for a million versions per datastream.
-VERSION_ROOM = 1 << 20
+VERSION_ROOM = 1 << 31
 
 
 def shred_versions(parsed: DataFrame, host: str = M.DEFAULT_HOST, keep: list[str] | None = None) -> DataFrame:

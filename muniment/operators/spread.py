@@ -149,47 +149,3 @@ def attach_extreme(
     summary = df.groupBy(*keys, SLICE).agg(*[kinds[k](e).alias(n) for n, (k, e) in picks.items()])
     summary = summary.select(*keys, SLICE, *[kinds[k](F.col(n)).over(w).alias(n) for n, (k, _) in picks.items()])
     return df.join(summary, [*keys, SLICE], "left").drop(SLICE)
-
-
-# A key outside the ``TOP_KEYS`` heaviest holds at most 1/TOP_KEYS of the rows: less than one task's share.
-TOP_KEYS = 1000
-SALTS = 64
-MIN_ROWS = 1_000_000
-
-
-def skew_join(
-    left: DataFrame,
-    right: DataFrame,
-    keys: list[str],
-    how: str = "left",
-    salt_on: list[str] | None = None,
-    min_rows: int = MIN_ROWS,
-    salts: int = SALTS,
-) -> DataFrame:
-    """Equi-join whose left side may have heavy keys.
-
-    The heaviest left keys (at most ``TOP_KEYS`` of them, so the broadcast is bounded) are spread over
-    ``salts`` sub-keys and the matching right rows repeated per sub-key. All other keys join as usual.
-    The result equals the plain join. ``salt_on`` are the left columns the spreading hash reads.
-    """
-    salt = "_salt"
-    heavy = (
-        left.groupBy(*keys)
-        .count()
-        .where(F.col("count") >= min_rows)
-        .orderBy(F.desc("count"), *keys)
-        .limit(TOP_KEYS)
-        .select(*keys, F.lit(True).alias("_heavy"))
-    )
-    is_heavy = F.coalesce(F.col("_heavy"), F.lit(False))
-    columns = salt_on or [c for c in left.columns if c not in keys] or left.columns
-    salted = left.join(F.broadcast(heavy), keys, "left").withColumn(
-        salt, F.when(is_heavy, F.pmod(F.xxhash64(*columns), F.lit(salts)).cast("int")).otherwise(F.lit(0))
-    )
-    repeated = right.join(F.broadcast(heavy), keys, "left").withColumn(
-        salt,
-        F.explode(
-            F.when(is_heavy, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-        ),
-    )
-    return salted.drop("_heavy").join(repeated.drop("_heavy"), [*keys, salt], how).drop(salt)

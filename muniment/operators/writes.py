@@ -17,7 +17,7 @@ def resources_to_write(changed: DataFrame, touched: DataFrame, key: str, version
     own = changed.select(key, version, resource).distinct()
     first = changed.groupBy(key, resource).agg(F.min(version).alias("_first"))
     named = (
-        spread.skew_join(touched.select(key, version, resource).distinct(), first, [key, resource], "inner", [version])
+        touched.select(key, version, resource).distinct().join(first, [key, resource])
         .where(F.col("_first") <= F.col(version))
         .select(key, version, resource)
     )

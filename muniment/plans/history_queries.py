@@ -318,7 +318,7 @@ SELECT user_id, event_type, event_id, created, k FROM (
     "apply_deletes": _deletes(False) + " UNION ALL " + _deletes(True),
     "object_state": f"""
 SELECT 'customer:' || c_custkey AS pid, CASE WHEN c_mktsegment <> 'BUILDING' THEN {_STATE} END AS object_state,
-       CASE WHEN c_mktsegment = 'BUILDING' THEN 'Object customer:' || c_custkey || ' is missing state information' END AS message
+       CASE WHEN c_mktsegment = 'BUILDING' THEN 'no state property in customer:' || c_custkey END AS message
 FROM customer""",
     "resolve_content": """
 SELECT d.doc_id AS internal_id, source, count(l.doc_id) AS n_files, min('store/' || l.doc_id) AS path,

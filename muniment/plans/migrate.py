@@ -24,6 +24,7 @@ from muniment.operators.rejects import as_rejects
 from muniment.session import stage
 from muniment.sources import content as content_source
 from muniment.sources import records as record_source
+from muniment.sources import sinks
 
 
 @dataclass(frozen=True)
@@ -42,22 +43,20 @@ def _union(parts: list[DataFrame]) -> DataFrame:
 
 
 def select_records(spark: SparkSession, opts: RunOptions, raw: DataFrame | None) -> DataFrame:
-    """Raw records of the run. A selection works on ids and paths, then opens the chosen files only."""
-    from_files = raw is None
-    if from_files:
+    """Raw records of the run. A selection works on ids and paths; records without an id stay in, to be rejected."""
+    if raw is None:
         raw = record_source.scan_records(spark, opts.exported_dir or opts.objects_dir, opts.name_regex)
-    if opts.limit < 0 and not opts.pid_file and not opts.resume:
+    whole = opts.limit < 0 and not opts.pid_file and not opts.resume
+    if whole and opts.resume_position == 0 and opts.resume_last_id.lower() == select.FIRST_RUN:
         return raw
-    found = stage(record_source.scan_record_ids(raw).where(F.col("pid").isNotNull()), "record-ids")
+    found = stage(record_source.scan_record_ids(raw), "record-ids")
     chosen = select.select_objects(
-        found, "pid", ["path"], opts.limit,
+        found.where(F.col("pid").isNotNull()), "pid", ["path"], opts.limit,
         record_source.read_pid_list(spark, opts.pid_file) if opts.pid_file else None,
         opts.resume_position, opts.resume_last_id, opts.resume, record_source.read_ledger(spark, opts.ledger_dir),
     )
-    if not from_files:
-        return raw.join(chosen.select("path"), "path", "left_semi")
-    texts = content_source.read_texts(chosen.select("path"), "path", "xml")
-    return texts.withColumn("length", F.octet_length("xml").cast("bigint"))
+    taken = chosen.select("path").union(found.where(F.col("pid").isNull()).select("path"))
+    return raw.join(taken, "path", "left_semi")
 
 
 def _bits(opts: RunOptions) -> int:
@@ -87,16 +86,16 @@ def _version_facts(opts: RunOptions, parsed: DataFrame) -> DataFrame:
 
 def read_facts(spark: SparkSession, opts: RunOptions, raw: DataFrame | None = None, index: DataFrame | None = None) -> Facts:
     raw = select_records(spark, opts, raw)
+    own = F.col(f"sha{_bits(opts)}") if f"sha{_bits(opts)}" in raw.columns else F.sha2(F.encode("xml", "UTF-8"), _bits(opts))
     raw = raw.select(
-        "path", "xml", "length", *(
-            [F.sha2(F.encode("xml", "UTF-8"), _bits(opts)).alias("record_digest")] if opts.foxml_file else []
-        )
+        "path", "xml", "length", *[c for c in raw.columns if c == "text_problem"], *([own.alias("record_digest")] if opts.foxml_file else [])
     )
     parsed = stage(shred.parse_records(raw), "parsed")
     whole = _version_facts(opts, parsed)
     facts = validate.validate_inline(whole).drop("inline_xml", "base64")
-    algorithms = sorted({opts.digest_algorithm} | _needed_algorithms(parsed, opts))
-    if index is None and opts.source_profile != "exported" and opts.datastreams_dir:
+    scanned = index is None and opts.source_profile != "exported" and bool(opts.datastreams_dir)
+    algorithms = sorted({opts.digest_algorithm} | (_needed_algorithms(parsed, opts) if scanned or index is not None else set()))
+    if scanned:
         index = content_source.content_index(spark, opts.datastreams_dir, opts.source_profile, algorithms, opts.index_dir)
     facts = _with_content(opts, facts, index, algorithms)
     versions = stage(facts, "versions")
@@ -120,13 +119,8 @@ def _needed_algorithms(parsed: DataFrame, opts: RunOptions) -> set[str]:
     """Digest columns the index must carry: at most one per known algorithm, whatever the records say."""
     if opts.disable_checksum_validation:
         return set()
-    kinds = (
-        shred.shred_versions(parsed)
-        .where((F.col("content_kind") == "internal") & V.known_algorithm(F.col("digest_type")))
-        .select(F.upper("digest_type").alias("kind"))
-        .distinct()
-    )
-    return {V.INDEX_COLUMNS[row["kind"]] for row in kinds.limit(len(V.INDEX_COLUMNS)).collect()}
+    kinds = parsed.select(F.explode("stored_digest_types").alias("type")).where(V.known_algorithm(F.col("type"))).select(F.upper("type").alias("kind")).distinct()
+    return {V.INDEX_COLUMNS[row["kind"]] for row in kinds.collect()}
 
 
 def _with_content(opts: RunOptions, facts: DataFrame, index: DataFrame | None, algorithms: list[str]) -> DataFrame:
@@ -142,8 +136,7 @@ def _with_content(opts: RunOptions, facts: DataFrame, index: DataFrame | None, a
         rest = wanted.where(~internal).drop("internal_id")
         # Only internal references travel to the index; all other versions keep their place.
         joined = resolve.resolve_content(
-            wanted.where(internal).withColumnRenamed("path", "_record"), slim, salt_on=["_record", "doc_pos"]
-        ).withColumnRenamed("path", "content_path").withColumnRenamed("_record", "path").drop("internal_id", "n_files")
+            wanted.where(internal).withColumnRenamed("path", "_record"), slim).withColumnRenamed("path", "content_path").withColumnRenamed("_record", "path").drop("internal_id", "n_files")
         resolved = joined.unionByName(rest, allowMissingColumns=True)
         stored_digest = F.col(opts.digest_algorithm)
         stored_actual = validate.indexed_digest(columns=algorithms)
@@ -191,26 +184,26 @@ def find_rejects(opts: RunOptions, facts: Facts, renames: DataFrame, existing: D
     found.append(as_rejects(readable.where(F.col("structure_problem").isNotNull()), "structure", F.col("structure_problem")))
     found.append(as_rejects(shred.inline_count_problems(readable), "structure"))
     found.append(as_rejects(shred.version_problems(versions), "version"))
-    found.append(as_rejects(objects.where(F.col("object_state").isNull()), "state", text("Object ", F.col("pid"), " is missing state information")))
+    found.append(as_rejects(objects.where(F.col("object_state").isNull()), "state", text("no state property in ", F.col("pid"))))
     for name in ("created_text", "modified_text"):
         bad = F.col(name).isNotNull() & V.parse_instant(F.col(name)).isNull()
         found.append(as_rejects(objects.where(bad), "property", text("invalid date ", F.col(name))))
     # A second record with the same id would meet the first one's target: the first in path order stays.
     first = objects.groupBy("pid").agg(F.min("path").alias("_first"))
-    doubles = spread.skew_join(objects.select("pid", "path"), first, ["pid"]).where(F.col("path") != F.col("_first"))
-    found.append(as_rejects(doubles, "conflict", text(F.lit(opts.id_prefix), F.col("pid"), " already exists!")))
+    doubles = objects.select("pid", "path").join(first, "pid").where(F.col("path") != F.col("_first"))
+    found.append(as_rejects(doubles, "conflict", text("a second record for ", F.lit(opts.id_prefix), F.col("pid"))))
     if existing is not None:
         there = objects.withColumn("object_id", ids.object_resource(F.col("pid"), opts.id_prefix))
-        found.append(as_rejects(resolve.conflicts(there, existing, "object_id"), "conflict", text(F.col("object_id"), " already exists!")))
-    inline = F.col("inline_status").isin("mismatch", "unsupported")
+        found.append(as_rejects(resolve.conflicts(there, existing, "object_id"), "conflict", text("the target already holds ", F.col("object_id"))))
+    place = text(F.col("pid"), "/", F.col("ds_id"))
     found.append(as_rejects(
-        versions.where(inline), "inline digest",
-        text("Inline XML ", F.col("pid"), " ", F.col("ds_id"), " failed checksum validation. Expected ", F.coalesce("digest_type", F.lit("")),
-             ": ", F.coalesce("digest_value", F.lit("")), "; Actual: ", F.coalesce("inline_actual", F.lit("none"))),
+        versions.where(F.col("inline_status") == "mismatch"), "inline digest",
+        text("inline text of ", place, " has ", F.coalesce("digest_type", F.lit("")), " ", F.coalesce("inline_actual", F.lit("none")), ", the record says ", F.coalesce("digest_value", F.lit(""))),
     ))
+    found.append(as_rejects(versions.where(F.col("inline_status") == "unsupported"), "inline form", text("inline text of ", place, " has no normal form here, so its digest can't be checked")))
     found.append(as_rejects(
         versions.where(F.col("content_status") == "mismatch"), "content digest",
-        text(F.col("pid"), "/", F.col("ds_id"), ": digest ", F.col("actual_digest"), " doesn't match expected digest ", F.col("digest_value")),
+        text("content of ", place, " has digest ", F.col("actual_digest"), ", the record says ", F.col("digest_value")),
     ))
     lost = F.col("resolution").isin("unresolved", "ambiguous")
     found.append(as_rejects(versions.where(lost), "content", text(F.col("resolution"), " internal id ", F.col("content_ref"))))
@@ -219,6 +212,9 @@ def find_rejects(opts: RunOptions, facts: Facts, renames: DataFrame, existing: D
             failed = table.where(F.col("parse_error").isNotNull())
             found.append(as_rejects(failed, "document", text(F.col("parse_error"), " in ", F.col("pid"), "/", F.col("ds_id"))))
     found.append(as_rejects(_date_disagreements(versions), "version", text("no creation date for ", F.col("ds_id"), " at ", F.col("created"))))
+    if not opts.plain and facts.rels is not None:
+        foreign = _stated_names(facts).where(~_is_own(F.col("subject"), opts))
+        found.append(as_rejects(foreign, "missing_resource", text("name for a resource of another object: ", F.col("subject"))))
     if not opts.plain:
         missing = renames.where(F.col("missing")).select("path", "pid", "ds_id")
         found.append(as_rejects(missing, "missing_resource", text("name for a datastream that does not exist yet: ", F.col("ds_id"))))
@@ -244,16 +240,26 @@ def find_renames(opts: RunOptions, facts: Facts) -> DataFrame:
         names = content.limit(0).select("path", "version", "pos", "ds_id", F.lit("").alias("download_name"))
         rels = rels.limit(0)
     else:
-        stated = triples.download_names(
-            facts.rels.where((F.col("ds_id") == M.RELS_INT) & F.col("parse_error").isNull()), ["path", "pid", "created", "doc_pos"]
-        )
-        names = _own_subjects(stated, "subject", opts).select(
+        names = _own_subjects(_stated_names(facts), "subject", opts).select(
             "path", F.col("created").alias("version"), F.col("doc_pos").alias("pos"), F.col("subject_ds").alias("ds_id"), "download_name"
         )
     made = filenames.filename_history(content.drop("pid"), rels, names, "path", opts.add_extensions)
     return made.join(facts.objects.select("path", "pid"), "path")
 
 
+def _stated_names(facts: Facts) -> DataFrame:
+    """File names that relationship documents state, whatever they are about."""
+    return triples.download_names(
+        facts.rels.where((F.col("ds_id") == M.RELS_INT) & F.col("parse_error").isNull()), ["path", "pid", "created", "doc_pos"]
+    )
+
+
+def _is_own(subject: Column, opts: RunOptions) -> Column:
+    """Whether a subject is the object itself or one of its resources."""
+    own = F.concat(F.lit(opts.id_prefix), F.col("pid"))
+    return (subject == own) | subject.startswith(F.concat(own, F.lit("/")))
+
+
 def _own_subjects(df: DataFrame, subject: str, opts: RunOptions) -> DataFrame:
     """Rows whose subject is a datastream of their own object, with its id as ``subject_ds``."""
     root = F.concat(F.lit(opts.id_prefix), F.col("pid"), F.lit("/"))
@@ -452,7 +458,7 @@ def number_versions(opts: RunOptions, live: DataFrame, tombstones: DataFrame) ->
     return both.withColumn("version", F.dense_rank().over(w)).drop("_late")
 
 
-def build_outputs(opts: RunOptions, writes: DataFrame, found: DataFrame) -> dict[str, DataFrame]:
+def build_outputs(opts: RunOptions, writes: DataFrame, found: DataFrame, done: DataFrame) -> dict[str, DataFrame]:
     stored = writes.where(~F.col("header_only") & ~F.col("deleted") & F.col("digest").isNotNull()).select(
         "object_id", F.col("logical_path").alias("path"), "version", "digest", "deleted"
     )
@@ -476,7 +482,7 @@ def build_outputs(opts: RunOptions, writes: DataFrame, found: DataFrame) -> dict
         "inventory": inventory.inventory_json(manifest, states, versions, opts.digest_algorithm),
         "ntriples": writes.where(F.col("nt").isNotNull()).select("object_id", "version", "resource_id", "nt"),
         "report": report.run_report(writes.where(~F.col("deleted")), found),
-        "ledger": writes.select("pid").distinct().select("pid", F.lit(None).cast("bigint").alias("position"), F.lit("done").alias("status")),
+        "ledger": done.select("pid", "position", F.lit("done").alias("status")),
     }
 
 
@@ -487,27 +493,28 @@ def migrate(
     """Run one migration and return its tables; ``sinks.write_outputs`` stores them.
 
     ``raw`` replaces the record scan, ``index`` the content scan, ``existing(object_id)`` are the objects
-    the target already has.
+    the target already has (by default those of the runs published there).
     """
+    existing = sinks.existing_objects(spark, opts) if existing is None else existing
     run_ts = opts.run_ts or datetime.now(timezone.utc).strftime("%Y-%m-%dT%H:%M:%S.%fZ")
     facts = read_facts(spark, opts, raw, index)
     renames = stage(find_renames(opts, facts), "renames")
     problems = find_rejects(opts, facts, renames, existing)
-    root = opts.exported_dir or opts.objects_dir
-    hidden = record_source.underscore_names(spark, root) if raw is None and root else []
-    if hidden:
-        unread = spark.createDataFrame([(p,) for p in hidden], "path STRING")
-        problems = problems.unionByName(as_rejects(unread, "unreadable", F.lit("file names starting with _ are not listed")))
     found = stage(problems, "rejects")
     if not opts.continue_on_error:
         rejects.partition_rejects(facts.objects, found, False)
     bad = found.where(F.col("path").isNotNull()).select("path").distinct()
     writes = stage(derive_writes(opts, facts, renames, bad, run_ts), "writes")
+    objects = facts.objects.join(bad, "path", "left_anti")
+    done = objects.select("path", "pid")
+    # Positions in the order of the scan serve later resume points; only a run that is stored needs them.
+    done = select.with_positions(facts.objects.select("path", "pid"), ["path"]).join(bad, "path", "left_anti") if opts.target_dir else done.withColumn(
+        "position", F.lit(None).cast("bigint"))
     return {
-        "objects": facts.objects.join(bad, "path", "left_anti"),
+        "objects": objects,
         "source_versions": facts.versions,
         "resources": writes,
         "rejects": found,
         "warnings": find_warnings(facts),
-        **build_outputs(opts, writes, found),
+        **build_outputs(opts, writes, found, done),
     }

@@ -7,10 +7,12 @@ from pyspark.sql import functions as F
 
 from muniment import model as M
 from muniment.model import RunOptions
+from muniment.operators import select
 from muniment.plans import migrate
 from muniment.plans import render as R
 from muniment.plans.tables import documents, table
-from muniment.session import spread_rows
+from muniment.session import fresh_path, spread_rows
+from muniment.sources import sinks
 
 RUN_TS = "2024-06-01T00:00:00.000Z"
 T1, T2, T3 = "2020-01-01T00:00:00.000Z", "2020-02-01T00:00:00.000Z", "2020-03-01T00:00:00.000Z"
@@ -88,7 +90,49 @@ def migrated_rejects(spark: SparkSession, d: str) -> DataFrame:
     return _run(spark, d)["rejects"]
 
 
-QUERIES = {f.__name__: f for f in (migrated_resources, migrated_heads, migrated_atomic, migrated_rejects)}
+def migrated_versions(spark: SparkSession, d: str) -> DataFrame:
+    return _run(spark, d)["versions"]
+
+
+def migrated_ledger(spark: SparkSession, d: str) -> DataFrame:
+    return _run(spark, d)["ledger"].select("pid", "status")
+
+
+def migrated_limit(spark: SparkSession, d: str) -> DataFrame:
+    """A run over the first 50 objects: those done, and those rejected."""
+    return _done_and_failed(_run(spark, d, limit=50))
+
+
+def migrated_resume(spark: SparkSession, d: str) -> DataFrame:
+    """A run from a resume point half way through the objects."""
+    placed = select.with_positions(document_records(spark, d).select("path"), ["path"])
+    half = placed.count() // 2
+    before = placed.where(F.col("position") == half - 1).first().path.removeprefix("store/")
+    return _done_and_failed(_run(spark, d, resume=True, resume_position=half, resume_last_id=before))
+
+
+def _done_and_failed(tables: dict[str, DataFrame]) -> DataFrame:
+    return tables["ledger"].select("pid", "status").unionByName(tables["rejects"].select("pid", F.lit("failed").alias("status")).distinct())
+
+
+def rerun_conflicts(spark: SparkSession, d: str) -> DataFrame:
+    """Two runs into one target: the second fails every object that the first has stored, and stores nothing."""
+    target = fresh_path(spark, "target")
+    for _ in range(2):
+        tables = _run(spark, d, target_dir=target)
+        sinks.write_outputs(tables, RunOptions(target_dir=target, ledger_dir=f"{target}/ledger"))
+    stored = sinks.published(spark, f"{target}/data/ocfl-root", "resources").groupBy("object_id").agg(F.countDistinct("run").alias("runs"))
+    stored = stored.select(F.regexp_replace("object_id", "^info:fedora/", "").alias("pid"), "runs")
+    return tables["rejects"].select("pid", "stage").join(stored, "pid", "left").select("pid", "stage", F.coalesce("runs", F.lit(0)).alias("runs"))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        migrated_resources, migrated_heads, migrated_atomic, migrated_rejects, migrated_versions, migrated_ledger, migrated_limit, migrated_resume,
+        rerun_conflicts,
+    )
+}
 
 _DOCS = f"""
 WITH docs AS (
@@ -132,6 +176,8 @@ SELECT {target} AS object_id, resource_id, CAST(dense_rank() OVER (PARTITION BY
   vd AS version_date, kind, logical_path, header_only, deleted, filename, url AS external_url, bytes, digest FROM ({rows})"""
 
 
+_STATUS = "SELECT 'doc:' || doc_id AS pid, CASE WHEN source = 'src3' THEN 'failed' ELSE 'done' END AS status"
+
 _ATOMIC_LIVE = _live("SELECT obj, gone, vd, ds, header_only, filename, url, coalesce(body, url) AS body FROM content",
                      f"CASE WHEN ds = 'TEXT' AND vd = '{T3}' THEN NULL ELSE filename END")
 
@@ -145,6 +191,15 @@ SELECT obj AS object_id, resource_id, CAST(1 AS INTEGER) AS version, '{T1}' AS v
     + _numbered("CASE WHEN kind = 'container' THEN obj ELSE replace(resource_id, '/fcr:metadata', '') END", _BOTH),
     "migrated_rejects": f"""
 SELECT 'doc:' || doc_id AS pid, 'store/doc:' || doc_id AS path, 'content digest' AS stage,
-  'doc:' || doc_id || '/TEXT: digest ' || md5(text) || ' doesn''t match expected digest {'0' * 32}' AS message
+  'content of doc:' || doc_id || '/TEXT has digest ' || md5(text) || ', the record says {'0' * 32}' AS message
 FROM documents WHERE source = 'src3'""",
+    "migrated_versions": f"""{_DOCS}, {_live('SELECT * FROM content UNION ALL SELECT * FROM renamed')}
+SELECT object_id, version, min(version_date) AS created, '{M.VERSION_MESSAGE}' AS message, '{M.DEFAULT_USER}' AS user_name, '{M.DEFAULT_USER_URI}' AS user_address
+FROM ({_numbered('obj', _BOTH)}) GROUP BY object_id, version""",
+    "migrated_ledger": "SELECT 'doc:' || doc_id AS pid, 'done' AS status FROM documents WHERE source <> 'src3'",
+    "migrated_limit": f"{_STATUS} FROM (SELECT * FROM documents ORDER BY 'store/doc:' || doc_id LIMIT 50)",
+    "migrated_resume": f"""{_STATUS} FROM (SELECT *, row_number() OVER (ORDER BY 'store/doc:' || doc_id) AS r, count(*) OVER () AS n FROM documents) WHERE r > n // 2""",
+    "rerun_conflicts": """
+SELECT 'doc:' || doc_id AS pid, CASE WHEN source = 'src3' THEN 'content digest' ELSE 'conflict' END AS stage,
+  CAST(CASE WHEN source = 'src3' THEN 0 ELSE 1 END AS BIGINT) AS runs FROM documents""",
 }

@@ -198,9 +198,7 @@ def rels_ext_asof(spark: SparkSession, d: str) -> DataFrame:
         rows.drop("k"), ["user_id"], ["ts", "event_id"],
         {"rels_id": F.when(F.col("event_type") == "signup", F.col("event_id"))}, spread.by_day("ts"),
     )
-    return spread.skew_join(
-        carried.select("event_id", "rels_id").where(F.col("rels_id").isNotNull()), stated, ["rels_id"], "inner"
-    ).select("event_id", "s", "p", "o")
+    return carried.select("event_id", "rels_id").where(F.col("rels_id").isNotNull()).join(stated, "rels_id").select("event_id", "s", "p", "o")
 
 
 def split_rels_int(spark: SparkSession, d: str) -> DataFrame:
@@ -435,7 +433,7 @@ SELECT CASE o_orderstatus WHEN 'P' THEN {_PID} END AS pid, 'store/' || o_orderke
 FROM orders WHERE o_orderstatus IN ('P', 'O')""",
     "structure_report": f"""
 SELECT {_PID} AS pid, 'store/' || o_orderkey AS path,
-       CASE o_orderstatus WHEN 'P' THEN 'Unexpected element: extra' WHEN 'O' THEN 'Unexpected character data' END AS structure_problem,
+       CASE o_orderstatus WHEN 'P' THEN 'element not known here: extra' WHEN 'O' THEN 'text outside of elements' END AS structure_problem,
        CASE o_orderstatus WHEN 'P' THEN '' WHEN 'O' THEN '' ELSE 'ODD' END AS unexpected_attributes FROM orders""",
     "version_problems": f"""
 SELECT {_PID} AS pid, CASE o_orderstatus WHEN 'P' THEN 'NOTE' WHEN 'O' THEN 'LINK' ELSE 'PRICE' END AS ds_id,

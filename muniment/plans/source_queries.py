@@ -49,6 +49,35 @@ def scan_content(spark: SparkSession, d: str) -> DataFrame:
     return found.select(key.alias("id"), "length", "md5", "sha256")
 
 
+def scan_all_names(spark: SparkSession, d: str) -> DataFrame:
+    """Files in plain folders, and in folders whose names begin with ``_`` or ``.``, all read back."""
+    root = fresh_path(spark, "hidden-files")
+    rows = table(spark, d, "supplier").select(F.col("s_suppkey"), F.concat_ws(":", F.col("s_suppkey").cast("string"), "s_name").alias("value"))
+    folders = ("plain", "_under/plain", ".dot/_under")
+    for i, folder in enumerate(folders):
+        rows.where(F.col("s_suppkey") % len(folders) == i).select("value").write.text(f"{root}/{folder}")
+    found = records.scan_records(spark, root).select(F.regexp_extract("path", rf"{root.rsplit('/')[-1]}/(.*)/[^/]*$", 1).alias("folder"), "xml")
+    line = F.explode(F.split(F.regexp_replace("xml", "\n$", ""), "\n")).alias("line")
+    return found.select("folder", line)
+
+
+def encoded_records(spark: SparkSession, d: str) -> DataFrame:
+    """Documents as records in the encoding of their language: with a byte order mark, Latin-1, UTF-16 and plain UTF-8."""
+    label = F.regexp_replace("text", "[^A-Za-z\u00c0-\u00ff ]", "")
+    xml = R.record(F.concat(F.lit("doc:"), F.col("doc_id").cast("string")), [(M.STATE_PROPERTY, F.lit("Active"))], [
+        R.datastream("D", "M", "A", [R.version("D.0", T1, R.base64(F.encode(F.lit("x"), "UTF-8")), label=label)])
+    ])
+    body = F.regexp_replace(xml, r"^\s*<\?xml[^>]*\?>", "")
+    said = lambda name: F.concat(F.lit(f'<?xml version="1.0" encoding="{name}"?>'), body)
+    content = (
+        F.when(F.col("lang") == "en", F.concat(F.unhex(F.lit("EFBBBF")), F.encode(body, "UTF-8"))).when(F.col("lang") == "de", F.encode(said("ISO-8859-1"), "ISO-8859-1"))
+        .when(F.col("lang") == "fr", F.encode(said("UTF-16"), "UTF-16")).otherwise(F.encode(body, "UTF-8"))
+    )
+    raw = table(spark, d, "documents").select("lang", F.concat(F.lit("store/"), F.col("doc_id").cast("string")).alias("path"), content.alias("content"))
+    raw = records.decoded(raw).select("path", "lang", "xml", F.length("content").cast("bigint").alias("length"), "text_problem")
+    return shred.shred_versions(shred.parse_records(raw), keep=["lang"]).select("pid", "lang", "label")
+
+
 def pid_list_source(spark: SparkSession, d: str) -> DataFrame:
     path = fresh_path(spark, "pid-list")
     lines = table(spark, d, "customer").select(F.concat(F.lit("customer:"), F.col("c_custkey").cast("string")).alias("value"))
@@ -91,7 +120,7 @@ def written_ntriples(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {
-    f.__name__: f for f in (scan_records, scan_content, pid_list_source, mapping_source, written_resources, written_ntriples)
+    f.__name__: f for f in (scan_records, scan_all_names, encoded_records, scan_content, pid_list_source, mapping_source, written_resources, written_ntriples)
 }
 
 _S = "'<info:fedora/supplier:' || s_suppkey || '> '"
@@ -100,6 +129,10 @@ ORACLE = {
     "scan_records": """
 SELECT 'supplier:' || s_suppkey AS pid, 'NAME' AS ds_id, 'NAME.0' AS version_id, chr(10) || '<n>' || s_name || '</n>' || chr(10) AS inline_xml
 FROM supplier""",
+    "scan_all_names": """
+SELECT CASE s_suppkey % 3 WHEN 0 THEN 'plain' WHEN 1 THEN '_under/plain' ELSE '.dot/_under' END AS folder, s_suppkey || ':' || s_name AS line FROM supplier""",
+    "encoded_records": """
+SELECT 'doc:' || doc_id AS pid, lang, regexp_replace(text, '[^A-Za-z\u00c0-\u00ff ]', '', 'g') AS label FROM documents""",
     "scan_content": """
 WITH c AS (SELECT p_brand AS id, arg_min(p_name, p_partkey) || chr(10) AS body FROM part GROUP BY p_brand
   UNION ALL SELECT CAST(s_suppkey AS VARCHAR), s_name || chr(10) FROM supplier)

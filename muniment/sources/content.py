@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from muniment.functions import ids, mime
 from muniment.functions import values as V
 from muniment.session import stage
+from muniment.sources.records import all_files, open_file
 
 # Files beyond this size are read in chunks by a Python task instead of as one binary value.
 WHOLE_FILE_BYTES = 512 * 1024 * 1024
@@ -26,34 +27,17 @@ def scan_content(spark: SparkSession, root: str, id_of_name: str | Column) -> Da
     ``id_of_name`` is a profile name or a column expression over ``name``. A name that is not a valid one
     gives a null id (see ``bad_names``).
     """
-    files = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .load(root)
-        .select("path", "length", ids.file_name(F.col("path")).alias("name"))
-    )
+    files = all_files(spark, root).select("path", "length", ids.file_name(F.col("path")).alias("name"))
     internal = ID_OF_NAME[id_of_name](F.col("name")) if isinstance(id_of_name, str) else id_of_name
     return files.select(internal.alias("internal_id"), "path", "length")
 
 
 def bad_names(index: DataFrame) -> DataFrame:
     return index.where(F.col("internal_id").isNull()).select(
-        "path", F.concat(ids.file_name(F.col("path")), F.lit(" does not appear to be a valid content file")).alias("message")
+        "path", F.concat(F.lit("file name gives no content id: "), ids.file_name(F.col("path"))).alias("message")
     )
 
 
-def _open(path: str):
-    """Input stream of a path as Spark lists it: unescaped, so names may hold ``%`` and other URI characters."""
-    import re
-    from urllib.parse import quote
-
-    from pyarrow import fs
-
-    root, inner = re.match(r"^([A-Za-z][\w+.-]*:(?://[^/]*)?)?(.*)$", path, re.DOTALL).groups()
-    filesystem, name = fs.FileSystem.from_uri((root or "file:") + quote(inner))
-    return filesystem.open_input_stream(name)
-
-
 def _hash_in_chunks(algorithms: list[str]):
     def run(batches: Iterable[pd.DataFrame]):
         for pdf in batches:
@@ -61,7 +45,7 @@ def _hash_in_chunks(algorithms: list[str]):
             for path, length in zip(pdf["path"], pdf["length"]):
                 hashes = [hashlib.new(a) for a in algorithms]
                 head = b""
-                with _open(path) as stream:
+                with open_file(path) as stream:
                     while chunk := stream.read(CHUNK_BYTES):
                         head = head or bytes(chunk[: mime.MAGIC_BYTES])
                         for h in hashes:
@@ -79,7 +63,7 @@ def digest_content(
 
     The size filter is pushed into the scan, so files too large for one value are not opened by it.
     """
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+    files = all_files(spark, root)
     small = files.where(F.col("length") <= whole_file_bytes).select(
         "path", "length",
         F.substring(F.col("content"), 1, mime.MAGIC_BYTES).alias("head"),
@@ -115,6 +99,21 @@ def content_index(
     return stage(index, "content-index", index_dir)
 
 
+def _text_of(body: bytes) -> str:
+    """A document's text by its byte order mark or declaration; one that can't be decoded is empty, so it fails to parse."""
+    import codecs
+    import re
+
+    marks = ((codecs.BOM_UTF8, "utf-8-sig"), (codecs.BOM_UTF16_BE, "utf-16"), (codecs.BOM_UTF16_LE, "utf-16"))
+    said = re.match(rb"""\s*<\?xml[^>]*?\sencoding\s*=\s*["']([A-Za-z0-9._-]+)["']""", body[:400])
+    name = next((n for m, n in marks if body.startswith(m)), said[1].decode() if said else "utf-8")
+    try:
+        text = body.decode(name)
+    except (LookupError, UnicodeDecodeError):
+        return ""
+    return re.sub(r"""^(\s*<\?xml[^>]*?)\sencoding\s*=\s*["'][^"']*["']""", r"\1", text) if said else text
+
+
 def read_texts(df: DataFrame, path: str, out: str) -> DataFrame:
     """``df`` with the text of the file each row names; rows without a path get null.
 
@@ -130,8 +129,8 @@ def read_texts(df: DataFrame, path: str, out: str) -> DataFrame:
                 if p is None:
                     texts.append(None)
                     continue
-                with _open(p) as stream:
-                    texts.append(stream.read().decode("utf-8", "replace"))
+                with open_file(p) as stream:
+                    texts.append(_text_of(stream.read()))
             yield pdf.assign(**{out: texts})
 
     # A list of paths is tiny next to the files it names: spread it by number, or it ends up in one task.

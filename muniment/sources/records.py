@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterable
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,39 +15,116 @@ from muniment.operators.shred import record_pid
 VISIBLE = r"^[^\.].*$"
 
 
-def scan_records(spark: SparkSession, root: str, name_regex: str = VISIBLE) -> DataFrame:
-    """(path, xml, length): one row per file below ``root`` whose name passes the filter."""
+# Encodings that can be read, under the names records may declare.
+ENCODINGS = {
+    "UTF-8": "UTF-8", "UTF8": "UTF-8", "US-ASCII": "US-ASCII", "ASCII": "US-ASCII", "ISO-8859-1": "ISO-8859-1", "ISO8859-1": "ISO-8859-1",
+    "LATIN1": "ISO-8859-1", "UTF-16": "UTF-16", "UTF-16BE": "UTF-16BE", "UTF-16LE": "UTF-16LE", "UTF-32": "UTF-32",
+}
+_DECLARED = r"""^\s*<\?xml[^>]*?\sencoding\s*=\s*["']([A-Za-z0-9._-]+)["']"""
+_ENCODING_PART = r"""^(\s*<\?xml[^>]*?)\sencoding\s*=\s*["'][^"']*["']"""
+
+
+def all_files(spark: SparkSession, root: str) -> DataFrame:
+    """Every file below ``root`` that holds bytes, also those that Spark leaves out for a ``_`` or ``.`` at the start of a name.
+
+    Hidden folders become roots of their own. Hidden files are opened by tasks one at a time; Spark's reader takes all others. The file
+    system's globbing finds both level by level, down to the deepest one, and only they travel to the driver.
+    """
+    files, folders = hidden_entries(spark, root)
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    seen = reader.load([_literal(p) for p in (root, *folders)])
+    if not files:
+        return seen
+
+    def read(batches: Iterable[pd.DataFrame]):
+        for pdf in batches:
+            for path, length, at in zip(pdf["path"], pdf["length"], pdf["modificationTime"]):
+                with open_file(path) as stream:
+                    yield pd.DataFrame({"path": [path], "modificationTime": [at], "length": [length], "content": [stream.read()]})
+
+    listed = spark.createDataFrame(files, "path STRING, length BIGINT, at BIGINT")
+    listed = listed.select("path", F.timestamp_millis("at").alias("modificationTime"), "length")
+    return seen.unionByName(listed.repartition(spark.sparkContext.defaultParallelism).mapInPandas(read, seen.schema))
+
+
+def _literal(path: str) -> str:
+    """A path with the signs of the glob language escaped."""
+    return re.sub(r"([\\*?\[\]{}])", r"\\\1", path)
+
+
+def hidden_entries(spark: SparkSession, root: str) -> tuple[list[tuple[str, int, int]], list[str]]:
+    """Hidden files (path, length, time) that hold bytes, and hidden folders, at any depth of a tree."""
+    path_of = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs = path_of(root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files, folders = [], []
+    level = _literal(root.rstrip("/"))
+    while True:
+        for hit in fs.globStatus(path_of(level + "/[_.]*")) or []:
+            path = hit.getPath().toString()
+            if hit.isDirectory():
+                if not (hit.getPath().getName().startswith("_") and "=" in hit.getPath().getName()):  # those Spark lists itself
+                    folders.append(path)
+            elif hit.getLen() > 0:
+                files.append((path, hit.getLen(), hit.getModificationTime()))
+        level += "/*"
+        if not (fs.globStatus(path_of(level)) or []):
+            return sorted(files), sorted(folders)
+
+
+def open_file(path: str):
+    """Input stream of a path as Spark lists it: unescaped, so names may hold ``%`` and other URI characters."""
+    from urllib.parse import quote
+
+    from pyarrow import fs
+
+    root, inner = re.match(r"^([A-Za-z][\w+.-]*:(?://[^/]*)?)?(.*)$", path, re.DOTALL).groups()
+    filesystem, name = fs.FileSystem.from_uri((root or "file:") + quote(inner))
+    return filesystem.open_input_stream(name)
+
+
+def decoded(files: DataFrame, content: str = "content") -> DataFrame:
+    """``files`` with the text ``xml`` of their bytes, or a ``text_problem``.
+
+    The encoding is told by a byte order mark, else by the declaration, else it is UTF-8. A text in an encoding that is not
+    known, or with bytes that don't fit it, is null and has a problem. One projection per step, so each is worked out once.
+    """
+    known = F.create_map(*[F.lit(x) for pair in ENCODINGS.items() for x in pair])
+    mark, said, name = F.col("_mark"), F.col("_said"), F.col("_name")
+    marked = (
+        F.when(mark.startswith("EFBBBF"), "UTF-8").when(mark.startswith("FEFF") | mark.startswith("003C"), "UTF-16BE")
+        .when(mark.startswith("FFFE") | mark.startswith("3C00"), "UTF-16LE").when(said == "", "UTF-8")
+    )
+    text = F.when(name == "UTF-8", F.when(F.is_valid_utf8(F.col(content).cast("string")), F.col(content).cast("string")))
+    for other in sorted(set(ENCODINGS.values()) - {"UTF-8"}):
+        text = text.when(name == other, F.decode(content, other))
+    # A text in UTF-8 stays as it is; any other is no longer in the encoding that it declares.
+    bare = F.when(name == "UTF-8", F.col("_text")).otherwise(F.regexp_replace("_text", _ENCODING_PART, "$1"))
     return (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .load(root)
-        .where(ids.file_name(F.col("path")).rlike(name_regex))
-        .select("path", F.col("content").cast("string").alias("xml"), "length")
+        files.withColumn("_mark", F.hex(F.substring(content, 1, 3)))
+        .withColumn("_said", F.upper(F.regexp_extract(F.decode(F.substring(content, 1, 400), "ISO-8859-1"), _DECLARED, 1)))
+        .withColumn("_name", F.coalesce(marked, F.try_element_at(known, said)))
+        .withColumn("_text", text)
+        .withColumn("xml", F.regexp_replace(bare, "^\ufeff", ""))
+        .withColumn("text_problem", F.when(name.isNull(), F.concat(F.lit("encoding not known here: "), said)).when(
+            F.col("_text").isNull() & F.col(content).isNotNull(), F.concat(F.lit("bytes that are not "), name)))
+        .drop("_mark", "_said", "_name", "_text")
     )
 
 
-def scan_record_ids(raw: DataFrame) -> DataFrame:
-    """(path, pid) of raw records by one pattern match; records without an id have a null pid."""
-    return raw.select("path", record_pid(F.col("xml")).alias("pid"))
+def scan_records(spark: SparkSession, root: str, name_regex: str = VISIBLE) -> DataFrame:
+    """(path, xml, length, text_problem, sha256, sha512): one row per file below ``root`` whose name passes the filter.
 
+    The filter looks at names of files only, never at folders. Digests are those of the file's bytes.
+    """
+    files = all_files(spark, root).where(ids.file_name(F.col("path")).rlike(name_regex))
+    return decoded(files).select(
+        "path", "xml", "length", "text_problem", F.sha2("content", 256).alias("sha256"), F.sha2("content", 512).alias("sha512")
+    )
 
-def underscore_names(spark: SparkSession, root: str, max_depth: int = 16) -> list[str]:
-    """Paths of files named ``_…``, which Spark's file listing leaves out, for the reject table.
 
-    Uses the file system's own glob matching, so only the matches travel to the driver.
-    """
-    jvm = spark.sparkContext._jvm
-    base = jvm.org.apache.hadoop.fs.Path(root)
-    fs = base.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    found: list[str] = []
-    pattern = root.rstrip("/")
-    for _ in range(max_depth):
-        hits = fs.globStatus(jvm.org.apache.hadoop.fs.Path(pattern + "/_*")) or []
-        found.extend(h.getPath().toString() for h in hits if h.isFile())
-        pattern += "/*"
-        if not (fs.globStatus(jvm.org.apache.hadoop.fs.Path(pattern)) or []):
-            break
-    return sorted(found)
+def scan_record_ids(raw: DataFrame) -> DataFrame:
+    """(path, pid) of raw records by one pattern match; records without an id have a null pid."""
+    return raw.select("path", record_pid(F.col("xml")).alias("pid"))
 
 
 def read_pid_list(spark: SparkSession, path: str) -> DataFrame:

@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from muniment.functions import ids
 from muniment.model import RunOptions
 
 
+_AS_TEXT = ("ntriples", "inventories")
+
+
 def target_root(opts: RunOptions) -> str:
     """Plain targets are written to the target directory itself, others below ``data/ocfl-root``."""
     base = opts.target_dir.rstrip("/")
@@ -52,17 +57,45 @@ def write_report(df: DataFrame, path: str, mode: str = "append") -> None:
 
 
 def append_ledger(done: DataFrame, path: str) -> None:
-    done.write.mode("append").parquet(path)
+    done.write.mode("overwrite").parquet(path)
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hpath)
+
 
+def published(spark: SparkSession, root: str, name: str) -> DataFrame | None:
+    """A table of all published runs below a target root; None if there is none. Folders of unfinished runs are not read."""
+    if not _exists(spark, f"{root}/runs"):
+        return None
+    runs = spark.read.schema("run STRING").option("recursiveFileLookup", "true").parquet(f"{root}/runs")
+    stored = spark.read.format("text" if name in _AS_TEXT else "parquet").load(f"{root}/{name}")
+    return stored.withColumn("run", F.col("run").cast("string")).join(runs, "run", "left_semi")
 
-def write_outputs(tables: dict[str, DataFrame], opts: RunOptions) -> None:
-    """Store a whole run below the target; the ledger comes last, so it lists finished work only."""
-    root = target_root(opts)
-    write_resources(tables["resources"].drop("nt"), f"{root}/resources", opts)
-    write_ntriples(tables["ntriples"], f"{root}/ntriples")
-    write_inventories(tables["inventory"], f"{root}/inventories")
+
+def existing_objects(spark: SparkSession, opts: RunOptions) -> DataFrame | None:
+    """Ids of the objects that the target already holds; None for a run without a target or a fresh one."""
+    stored = published(spark, target_root(opts), "resources") if opts.target_dir else None
+    return None if stored is None else stored.select("object_id").distinct()
+
+
+def write_outputs(tables: dict[str, DataFrame], opts: RunOptions, run_id: str | None = None) -> str:
+    """Store a whole run below the target and return its id.
+
+    Every table goes to a folder of the run, which a repetition under the same id overwrites. The run counts once its row
+    is in ``runs``, so one that dies half way leaves nothing that is read. The ledger comes after that: it lists finished work only.
+    """
+    root, run_id = target_root(opts), run_id or f"r{uuid.uuid4().hex}"
+    at = lambda name: f"{root}/{name}/run={run_id}"
+    write_resources(tables["resources"].drop("nt"), at("resources"), opts, "overwrite")
+    write_ntriples(tables["ntriples"], at("ntriples"), "overwrite")
+    write_inventories(tables["inventory"], at("inventories"), "overwrite")
     for name in ("manifest", "version_state", "versions", "fixity"):
-        tables[name].write.mode("append").parquet(f"{root}/{name}")
-    write_rejects(tables["rejects"], f"{root}/rejects")
-    write_report(tables["report"], f"{root}/report")
-    append_ledger(tables["ledger"], opts.ledger_dir or f"{root}/ledger")
+        tables[name].write.mode("overwrite").parquet(at(name))
+    write_rejects(tables["rejects"], at("rejects"), "overwrite")
+    write_report(tables["report"], at("report"), "overwrite")
+    spark = tables["resources"].sparkSession
+    spark.range(1).select(F.lit(run_id).alias("run")).write.mode("overwrite").parquet(f"{root}/runs/{run_id}")
+    append_ledger(tables["ledger"], f"{opts.ledger_dir or f'{root}/ledger'}/run={run_id}")
+    return run_id

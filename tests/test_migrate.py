@@ -201,10 +201,50 @@ def test_content_directory_sinks_and_ledger(spark, tmp_path):
     assert {r.pid for r in again["source_versions"].collect()} == {"c:2"}
     blocked = migrate(spark, replace(opts, limit=1), existing=stored.select("object_id").distinct())
     assert {(r.pid, r.stage) for r in blocked["rejects"].collect()} == {("c:1", "conflict")}
-    unchecked = migrate(spark, replace(opts, disable_checksum_validation=True))
+    blocked = migrate(spark, opts)  # the run finds by itself what the target holds
+    assert {(r.pid, r.stage) for r in blocked["rejects"].collect()} == {("c:1", "conflict"), ("c:2", "content digest"), ("c:3", "conflict")}
+    assert sinks.published(spark, root, "resources").count() == stored.count()
+    unchecked = migrate(spark, replace(opts, disable_checksum_validation=True, target_dir=str(tmp_path / "other")))
     assert not unchecked["rejects"].collect() and {r.pid for r in unchecked["ledger"].collect()} == {"c:1", "c:2", "c:3"}
 
 
+def test_a_run_that_dies_leaves_nothing_that_counts(spark, tmp_path, monkeypatch):
+    opts = replace(BASE, target_dir=str(tmp_path / "target"))
+    out = migrate(spark, opts, raw=X.frame(spark, simple("o:1"), simple("o:2")))
+    root = sinks.target_root(opts)
+    with monkeypatch.context() as m:
+        m.setattr(sinks, "write_rejects", lambda *a: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            sinks.write_outputs(out, opts, "first")
+    assert sinks.existing_objects(spark, opts) is None
+    assert sinks.write_outputs(out, opts, "first") == "first"  # the same run again
+    sinks.write_outputs(migrate(spark, opts, raw=X.frame(spark, simple("o:3"))), opts)
+    stored = sinks.published(spark, root, "resources")
+    assert stored.count() == 3 * out["resources"].where("pid = 'o:1'").count() and {r.object_id for r in sinks.existing_objects(spark, opts).collect()} == {f"info:fedora/o:{n}" for n in (1, 2, 3)}
+    assert sinks.published(spark, root, "inventories").count() == 3
+
+
+def test_selections_keep_rejects_and_resume_is_checked(spark, tmp_path):
+    raw = X.frame(spark, simple("o:1"), "<broken", simple("o:2"), X.record("o:bare", []), simple("o:4"))
+    some = migrate(spark, replace(BASE, limit=2), raw=raw)
+    assert {(r.pid, r.stage) for r in some["rejects"].collect()} == {(None, "unreadable")} and {r.pid for r in some["ledger"].collect()} == {"o:1", "o:2"}
+    whole = migrate(spark, replace(BASE, target_dir=str(tmp_path / "t")), raw=raw)
+    assert {r.pid: r.position for r in whole["ledger"].collect()} == {"o:1": 0, "o:2": 1, "o:bare": 2, "o:4": 3}
+    rest = migrate(spark, replace(BASE, resume=True, resume_position=2, resume_last_id="O:2"), raw=raw)
+    assert {r.pid for r in rest["ledger"].collect()} == {"o:bare", "o:4"}
+    every = migrate(spark, replace(BASE, resume_position=2, resume_last_id="o:2"), raw=raw)
+    assert every["ledger"].count() == 4
+    for bad in (dict(resume_position=2, resume_last_id="o:1"), dict(resume=True, resume_last_id="o:1")):
+        with pytest.raises(ValueError):
+            migrate(spark, replace(BASE, **bad), raw=raw)
+
+
+def test_names_for_foreign_resources_and_odd_forms(spark):
+    other = X.record("o:other", [rels_int((X.t(2), [named("o:else", "DS", "x")])), X.ds("DS", [X.version("DS.0", X.t(1), X.b64("x"))], "M")])
+    out = migrate(spark, BASE, raw=X.frame(spark, other, simple("o:1")))
+    assert {(r.pid, r.stage) for r in out["rejects"].collect()} == {("o:other", "missing_resource")}
+
+
 def test_fail_fast(spark):
     with pytest.raises(MigrationFailure, match="o:1"):
         migrate(spark, replace(BASE, continue_on_error=False), raw=X.frame(spark, simple("o:1").replace("model#state", "x")))

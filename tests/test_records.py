@@ -55,9 +55,9 @@ def test_broken_records(spark):
 
 
 @pytest.mark.parametrize("change, problem", [
-    (("</foxml:digitalObject>", "<foxml:odd/></foxml:digitalObject>"), "Unexpected element"),
-    (("</foxml:digitalObject>", "words</foxml:digitalObject>"), "Unexpected character data"),
-    (("</foxml:digitalObject>", "<!-- c --></foxml:digitalObject>"), "Unexpected xml structure"),
+    (("</foxml:digitalObject>", "<foxml:odd/></foxml:digitalObject>"), "element not known here"),
+    (("</foxml:digitalObject>", "words</foxml:digitalObject>"), "text outside of elements"),
+    (("</foxml:digitalObject>", "<!-- c --></foxml:digitalObject>"), "comment or instruction"),
 ])
 def test_structure(spark, change, problem):
     got = shred.structure_report(shred.parse_records(X.frame(spark, sample().replace(*change)))).collect()
@@ -115,10 +115,36 @@ def test_scan_and_lists(spark, tmp_path):
     (root / "one").write_text(sample())
     (root / ".hidden").write_text("x")
     (root / "_under").write_text("x")
+    names = lambda df: sorted(r.path.rsplit("/")[-1] for r in df.collect())
     got = records.scan_records(spark, str(tmp_path / "objects"))
-    assert [r.path.rsplit("/")[-1] for r in got.collect()] == ["one"]
-    assert [r.pid for r in records.scan_record_ids(got).collect()] == ["example:1"]
-    assert [p.rsplit("/")[-1] for p in records.underscore_names(spark, str(tmp_path / "objects"))] == ["_under"]
+    assert names(got) == ["_under", "one"]
+    assert {r.pid for r in records.scan_record_ids(got).collect()} == {"example:1", None}
+    for folder in ("_dir", ".dir/.in", "a/_deep/.er"):
+        (tmp_path / "objects" / folder).mkdir(parents=True)
+        (tmp_path / "objects" / folder / f"in{folder[-2:]}").write_text(sample())
+    (tmp_path / "objects" / "a" / "od[d]{x}*?").write_text(sample())
+    (tmp_path / "objects" / ".dir" / ".in" / "_h").write_text(sample())
+    every = ["_h", "_under", "iner", "inin", "inir", "od[d]{x}*?", "one"]
+    assert names(records.scan_records(spark, str(tmp_path / "objects"))) == sorted(every)
+    assert names(records.scan_records(spark, str(tmp_path / "objects"), ".*")) == sorted([*every, ".hidden"])
+
+
+def test_declared_encodings(spark, tmp_path):
+    text = sample().replace("<?xml version=\"1.0\" encoding=\"UTF-8\"?>", "").replace("example:1", "e:caf\u00e9")
+    head = '<?xml version="1.0" encoding="{}"?>\n'
+    (tmp_path / "latin").write_bytes((head.format("ISO-8859-1") + text).encode("latin-1"))
+    (tmp_path / "utf16").write_bytes((head.format("UTF-16") + text).encode("utf-16"))
+    (tmp_path / "utf16be").write_bytes((head.format("UTF-16BE") + text).encode("utf-16-be"))
+    (tmp_path / "mark").write_bytes(b"\xef\xbb\xbf" + text.encode())
+    (tmp_path / "plain").write_bytes(text.encode())
+    (tmp_path / "wrong").write_bytes((head.format("UTF-8") + text).encode("latin-1"))
+    (tmp_path / "odd").write_bytes((head.format("x-none") + text).encode())
+    rows = {r.path.rsplit("/")[-1]: (r.pid, r.problem) for r in shred.parse_records(records.scan_records(spark, str(tmp_path))).collect()}
+    assert {k for k, v in rows.items() if v == ("e:caf\u00e9", None)} == {"latin", "utf16", "utf16be", "mark", "plain"}
+    assert "UTF-8" in rows["wrong"][1] and "X-NONE" in rows["odd"][1]
+
+
+def test_id_lists(spark, tmp_path):
     (tmp_path / "list").write_text("a:1\n b:2\na:1\n")
     assert sorted(r.pid for r in records.read_pid_list(spark, str(tmp_path / "list")).collect()) == [" b:2", "a:1"]
     (tmp_path / "map").write_text("# note\n\ninfo\\:x/y\\:z#A:urn:target\nplain:t\n")

@@ -85,15 +85,6 @@ def test_attach_extreme(df, rows, width):
     assert {(r.key, r.at): (r.lo, r.hi, r.s) for r in got.collect()} == want
 
 
-@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-@pytest.mark.parametrize("min_rows", [1, 50, 10_000])
-def test_skew_join_equals_join(spark, df, how, min_rows):
-    right = spark.createDataFrame([("hot", 1), ("hot", 2), ("a", 3), ("x", 4)], "key string, w int")
-    plain = df.join(right, "key", how)
-    spreadout = spread.skew_join(df, right, ["key"], how, ["at"], min_rows, salts=5)
-    assert sorted(map(repr, spreadout.select(*plain.columns).collect())) == sorted(map(repr, plain.collect()))
-
-
 def test_hot_group_is_not_one_window_partition(df):
     """The only whole-group window of the sliced form runs over the summary."""
     plan = spread.number_rows(df, KEYS, ["at"], spread.by_range("at", 50), "i", "t")._jdf.queryExecution().optimizedPlan().toString()
