@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from muniment.llm.common import raw_texts, slices
+from muniment.llm.common import raw_texts, slices, small_batches
 from muniment.session import stage
 
 #: Runs with one name beyond which its windows are compared by digest.
@@ -130,7 +130,7 @@ def _named_runs(texts: DataFrame, key: str, shape: Shape) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([keys, pa.array(names.view(np.int64)), pa.array(runs)], names=["key", "name", "run"])
 
     schema = T.StructType([T.StructField("key", texts.schema[key].dataType), T.StructField("name", T.LongType()), T.StructField("run", T.LongType())])
-    return texts.select(key, "t").mapInArrow(run, schema)
+    return small_batches(texts.select(key, "t")).mapInArrow(run, schema)
 
 
 def _run_texts(rows: DataFrame, shape: Shape, whole: bool) -> DataFrame:
@@ -168,7 +168,7 @@ def _run_texts(rows: DataFrame, shape: Shape, whole: bool) -> DataFrame:
                 arrays += [pa.array(count[picked], pa.int32())] if whole else []
                 yield pa.RecordBatch.from_arrays([*arrays, pa.array(bodies, pa.binary())], names=schema.names)
 
-    return rows.select("a", "b", "id", "t", "runs").mapInArrow(run, schema)
+    return small_batches(rows.select("a", "b", "id", "t", "runs")).mapInArrow(run, schema)
 
 
 def repeated_runs(texts: DataFrame, shape: Shape, key: str, heavy: int | None = None) -> tuple[DataFrame, DataFrame, DataFrame | None]:

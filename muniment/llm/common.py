@@ -13,7 +13,20 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
 #: Bytes of text that a task works on at once; one longer text makes a slice of its own.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
+
+
+#: Rows of an Arrow batch: texts are long, and a batch is held by the JVM and by Python at once.
+BATCH_ROWS = "1000"
+
+
+def small_batches(df: DataFrame) -> DataFrame:
+    """The same rows; the session hands Python few of them at a time from now on, if it gave more."""
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(key)) <= int(BATCH_ROWS):
+        conf.set(key, BATCH_ROWS)
+    conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
+    return df
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -62,7 +75,7 @@ def map_texts(
                 arrays += [x if isinstance(x := new[f.name], pa.Array) else pa.array(x, t) for f, t in zip(fields, types)]
                 yield pa.RecordBatch.from_arrays(arrays, names=schema.names)
 
-    return inner.mapInArrow(run, schema)
+    return small_batches(inner).mapInArrow(run, schema)
 
 
 def map_whole_rows(
@@ -90,4 +103,4 @@ def map_whole_rows(
                 arrays = [a.filter(mask) for a in arrays] if mask is not None else arrays
                 yield pa.RecordBatch.from_arrays(arrays, names=schema.names)
 
-    return df.mapInArrow(run, schema)
+    return small_batches(df).mapInArrow(run, schema)

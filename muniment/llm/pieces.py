@@ -16,6 +16,7 @@ table gives an empty result; a text of one long word is encoded whole, in time l
 from __future__ import annotations
 
 import re
+from array import array
 from collections import deque
 from functools import lru_cache
 
@@ -28,7 +29,7 @@ from muniment.llm.common import map_texts, map_whole_rows
 PIECES = "/opt/tokenizers/piece_bpe_32k.model"
 UNKNOWN_PENALTY = 10.0
 #: Words remembered by a task before its memory starts anew; bounds memory, never changes a result.
-WORDS_KEPT = 1 << 18
+WORDS_KEPT = 1 << 17
 
 _SPACE = "▁"
 
@@ -99,8 +100,11 @@ class Model:
         for b, i in self.byte.items():
             self.bytes_of[i] = bytes([b])
 
+    def as_bytes(self, char: str) -> list[int]:
+        return [self.byte[b] for b in char.encode("utf-8", "surrogatepass")]
+
     def best_path(self, word: str) -> list[int]:
-        """Tokens of a word in which blanks are written as ``▁``; NUL stands for a ``▁`` of the text itself (see ``marked``)."""
+        """Tokens of a word in which blanks are written as ``▁``."""
         machine, n = self.automaton, len(word)
         piece, output = machine.piece, machine.output
         score, back = [0.0] * (n + 1), [None] * (n + 1)
@@ -124,16 +128,11 @@ class Model:
             if number >= 0:
                 tokens.append(number)
             else:
-                c = word[n - 1]
-                tokens += [self.byte[b] for b in reversed((_SPACE if c == _OWN else c).encode("utf-8", "surrogatepass"))]
+                tokens += self.as_bytes(word[n - 1])[::-1]
             n -= length
         return tokens[::-1]
 
 
-#: Stands for a ``▁`` of the text itself while it is encoded; no piece can hold this code point, which is no character.
-_OWN = "￿"
-
-
 class Memory(dict):
     """Number of each word met; its tokens are computed when it is first asked for."""
 
@@ -151,26 +150,30 @@ class Coder:
         self.clear()
 
     def clear(self) -> None:
-        self.tokens: list[int] = []
-        self.ends: list[int] = []
+        self.tokens, self.ends = array("i"), array("q")
         self.spaced, self.bare, self.other = Memory(self, _SPACE), Memory(self, ""), Memory(self, "")
-        self.line_feed = self.add("\n")
+        self.line_feed, self.own_mark = self.put(self.model.as_bytes("\n")), self.put(self.model.as_bytes(_SPACE))
 
     def add(self, chunk: str) -> int:
-        self.tokens += self.model.best_path(chunk)
+        return self.put(self.model.best_path(chunk))
+
+    def put(self, tokens: list[int]) -> int:
+        self.tokens.extend(tokens)
         self.ends.append(len(self.tokens))
         return len(self.ends) - 1
 
     def words(self, text: str) -> list[int]:
-        """Numbers of the chunks that make up a text."""
-        if _SPACE in text:
-            if _OWN in text:  # both at once: no stand-in is free, so the whole text is one chunk of its characters
-                return [self.add(_SPACE), *(self.add(_OWN if c == _SPACE else c) if c in (_SPACE, _OWN) else self.other[c.replace(" ", _SPACE)] for c in text)]
-            text = text.replace(_SPACE, _OWN)
+        """Numbers of the chunks that make up a text; a ``▁`` of its own stands for itself, as bytes."""
         out: list[int] = []
-        first = True
+        for i, part in enumerate(text.split(_SPACE)):
+            out += [self.own_mark, *self.plain(part, False)] if i else self.plain(part, True)
+        return out
+
+    def plain(self, text: str, first: bool) -> list[int]:
+        """As ``words``, for a text without ``▁``; ``first`` puts the blank in front."""
+        out, start = [], True
         for line in text.split("\n"):
-            if not first:
+            if not start:
                 out.append(self.line_feed)
             if "  " in line or line[:1] == " " or line[-1:] == " ":
                 whole = (_SPACE if first else "") + line.replace(" ", _SPACE)
@@ -182,7 +185,7 @@ class Coder:
                 elif line:
                     out.append(self.bare[parts[0]])
                     out += map(self.spaced.__getitem__, parts[1:])
-            first = False
+            first = start = False
         return out
 
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
