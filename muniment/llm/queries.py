@@ -13,13 +13,13 @@ def op1_html_extraction(spark, sf_dir):
 
 
 def op2_suffix_array(spark, sf_dir):
-    return suffixes.substring_dedup(read(spark, sf_dir, "documents"))
+    return suffixes.substring_dedup(read(spark, sf_dir, "documents")).drop("spans")
 
 
 def op3_decontamination(spark, sf_dir):
     found = decontaminate.find_matches(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"), size=10)
     return found.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"),
-                        (F.col("n_hit") > 0).alias("contaminated"), "matches")
+                        (F.col("n_hit") > 0).alias("contaminated"))
 
 
 def op4_secrets(spark, sf_dir):
@@ -44,7 +44,7 @@ def op7_sentencepiece(spark, sf_dir):
 
 
 def op8_substring_dedup(spark, sf_dir):
-    return repeats.repeat_dedup(read(spark, sf_dir, "documents"))
+    return repeats.repeat_dedup(read(spark, sf_dir, "documents")).drop("spans")
 
 
 #: The rules by which pages are judged.
@@ -72,10 +72,32 @@ QUERIES = {
     "op10_token_counts": op10_token_counts,
 }
 
-_WORDS_3 = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-_FOLD = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_TERMS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+_WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
 ORACLE: dict[str, str] = {
+    "op3_decontamination": f"""
+        WITH d AS (SELECT doc_id, row_number() OVER () AS r, {_TERMS} AS w FROM documents),
+        t AS (SELECT item_id, {_TERMS} AS w FROM benchmark),
+        q AS (SELECT item_id, least(10, len(w)) AS n, array_to_string(w[i : i + least(10, len(w)) - 1], ' ') AS k
+              FROM t, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS u(i) WHERE len(w) > 0),
+        o AS (SELECT r, i, n, array_to_string(w[i : i + n - 1], ' ') AS k FROM d, (SELECT DISTINCT n FROM q), unnest(range(1, len(w) - n + 2)) AS u(i)),
+        m AS (SELECT DISTINCT r, i, n, item_id FROM o JOIN q USING (n, k)),
+        hits AS (SELECT r, count(DISTINCT i + j) AS n_hit FROM m, unnest(range(0, n)) AS u(j) GROUP BY r),
+        found AS (SELECT r, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS ids FROM m GROUP BY r)
+        SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+               coalesce(n_hit, 0) > 0 AS contaminated
+        FROM d LEFT JOIN hits USING (r) LEFT JOIN found USING (r)""",
+    "op8_substring_dedup": f"""
+        WITH d AS (SELECT doc_id, row_number() OVER () AS r, {_WORDS} AS w FROM documents),
+        o AS (SELECT r, doc_id, i, array_to_string(w[i : i + 12], ' ') AS k FROM d, unnest(range(1, len(w) - 11)) AS u(i)),
+        first AS (SELECT k, min(doc_id) AS m FROM o GROUP BY k),
+        hits AS (SELECT DISTINCT r, i + j AS p FROM o JOIN first USING (k), unnest(range(0, 13)) AS u(j) WHERE m < doc_id),
+        kept AS (SELECT r, string_agg(word, ' ' ORDER BY p) AS body, count(*) AS n
+                 FROM (SELECT r, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM d) ANTI JOIN hits USING (r, p) GROUP BY r)
+        SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(body, '')) AS kept_sha256
+        FROM d LEFT JOIN kept USING (r)""",
     "op9_url_filters": r"""
         WITH u AS (
             SELECT page_id, coalesce(translate(regexp_extract(url, '^(?s:.*?)://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
