@@ -7,8 +7,11 @@ document at a time.
 
 from __future__ import annotations
 
+import io
+import itertools
 import xml.etree.ElementTree as ET
 from collections.abc import Callable, Iterator
+from urllib.parse import urljoin
 from xml.parsers import expat
 
 import pandas as pd
@@ -21,6 +24,7 @@ from muniment import model as M
 XML_DECLARATION = '<?xml version="1.0" encoding="UTF-8"?>'
 RDF = "http://www.w3.org/1999/02/22-rdf-syntax-ns#"
 XML_LANG = "{http://www.w3.org/XML/1998/namespace}lang"
+XML_BASE = "{http://www.w3.org/XML/1998/namespace}base"
 
 
 class Unsupported(ValueError):
@@ -143,60 +147,131 @@ def _uri(tag: str) -> str:
     return tag[1:].replace("}", "", 1)
 
 
+def _text(text: str | None) -> str:
+    return (text or "").replace("&", "&amp;").replace("<", "&lt;").replace(">", "&gt;").replace("\r", "&#xD;")
+
+
+def _written(element, prefixes: dict[str, str], declared: tuple[str, ...]) -> str:
+    """An element as canonical text: a namespace is declared where it is first used, names and declarations in order."""
+    def name(tag: str) -> str:
+        uri, _, local = tag[1:].partition("}") if tag.startswith("{") else ("", "", tag)
+        if uri == "http://www.w3.org/XML/1998/namespace":
+            return f"xml:{local}"
+        if uri and uri not in used:
+            used.append(uri)
+        return f"{prefixes[uri]}:{local}" if uri and prefixes[uri] else local
+
+    quoted = lambda v: _text(v).replace("&gt;", ">").replace('"', "&quot;").replace("\t", "&#x9;").replace("\n", "&#xA;")
+    used: list[str] = []
+    tag = name(element.tag)
+    attributes = [f'{name(k)}="{quoted(v)}"' for k, v in sorted(element.attrib.items(), key=lambda kv: kv[0].partition("}")[::2] if kv[0][0] == "{" else ("", kv[0]))]
+    fresh = sorted((prefixes[u], u) for u in used if u not in declared)
+    spaces = [f'xmlns{":" * bool(p)}{p}="{quoted(u)}"' for p, u in fresh]
+    inside = _text(element.text) + "".join(_written(c, prefixes, (*declared, *used)) for c in element)
+    return " ".join([f"<{tag}", *spaces, *attributes]) + f">{inside}</{tag}>{_text(element.tail)}"
+
+
 def rdf_rows(text: str) -> list[tuple]:
-    """(s, p, o, kind, datatype, lang) triples of an RDF/XML document."""
+    """(s, p, o, kind, datatype, lang) triples of an RDF/XML document: a small recursive reader.
+
+    Covers typed and nested nodes, property attributes, ``rdf:ID`` (also of statements), ``rdf:li``, ``xml:base`` and the three parse
+    types. A relative name without a base stays as it is.
+    """
     triples: list[tuple] = []
-    blanks = 0
+    blanks = itertools.count()
+    local = lambda element, name: element.get(f"{{{RDF}}}{name}")
+    resolve = lambda base, name: urljoin(base, name) if base else name
+
+    def add(s, p, o, kind="uri", datatype=None, lang=None):
+        triples.append((s, p, o, kind, datatype, lang))
 
     def literal(s, p, value, datatype=None, lang=None):
-        triples.append((s, p, value, "literal", datatype or M.XSD_STRING, lang))
-
-    def node(element, lang):
-        nonlocal blanks
-        lang = element.get(XML_LANG, lang)
-        subject = element.get(f"{{{RDF}}}about")
-        if subject is None and f"{{{RDF}}}nodeID" in element.attrib:
-            subject = "_:n" + element.get(f"{{{RDF}}}nodeID")
-        if subject is None:
-            if f"{{{RDF}}}ID" in element.attrib:
-                raise Unsupported("rdf:ID without a base")
-            subject = f"_:b{blanks}"
-            blanks += 1
-        kind = "blank" if subject.startswith("_:") else "uri"
-        if element.tag != f"{{{RDF}}}Description":
-            triples.append((subject, RDF + "type", _uri(element.tag), "uri", None, None))
+        add(s, p, value, "literal", datatype or M.XSD_STRING, lang)
+
+    def blank():
+        return f"_:b{next(blanks)}"
+
+    def properties(subject, element, lang):
         for name, value in element.attrib.items():
             if name == f"{{{RDF}}}type":
-                triples.append((subject, RDF + "type", value, "uri", None, None))
-            elif not name.startswith(f"{{{RDF}}}") and name != XML_LANG:
+                add(subject, RDF + "type", value)
+            elif not name.startswith((f"{{{RDF}}}", "{http://www.w3.org/XML/1998/namespace}")):
                 literal(subject, _uri(name), value, lang=lang)
-        for child in element:
-            edge(subject, child, lang)
-        return subject, kind
 
-    def edge(subject, element, lang):
-        lang = element.get(XML_LANG, lang)
-        predicate = _uri(element.tag)
-        extra = set(element.attrib) - {f"{{{RDF}}}{n}" for n in ("resource", "datatype", "nodeID")} - {XML_LANG}
-        if extra or predicate == RDF + "li":
-            raise Unsupported(f"unsupported property form {predicate}")
-        target = element.get(f"{{{RDF}}}resource")
-        if target is not None:
-            triples.append((subject, predicate, target, "uri", None, None))
-        elif f"{{{RDF}}}nodeID" in element.attrib:
-            triples.append((subject, predicate, "_:n" + element.get(f"{{{RDF}}}nodeID"), "blank", None, None))
-        elif len(element):
+    def edges(subject, element, lang, base):
+        items = itertools.count(1)
+        for child in element:
+            edge(subject, child, lang, base, items)
+
+    def node(element, lang, base):
+        lang, base = element.get(XML_LANG, lang), resolve(base, element.get(XML_BASE, ""))
+        if local(element, "about") is not None:
+            subject = resolve(base, local(element, "about"))
+        elif local(element, "ID") is not None:
+            subject = resolve(base, "#" + local(element, "ID"))
+        elif local(element, "nodeID") is not None:
+            subject = "_:n" + local(element, "nodeID")
+        else:
+            subject = blank()
+        if element.tag != f"{{{RDF}}}Description":
+            add(subject, RDF + "type", _uri(element.tag))
+        properties(subject, element, lang)
+        edges(subject, element, lang, base)
+        return subject, "blank" if subject.startswith("_:") else "uri"
+
+    def collection(elements, lang, base):
+        """A list of nodes as cells, each with its item and the next cell."""
+        cells = [blank() for _ in elements]
+        for cell, following, element in zip(cells, [*cells[1:], None], elements):
+            item, kind = node(element, lang, base)
+            add(cell, RDF + "first", item, kind)
+            add(cell, RDF + "rest", following or RDF + "nil", "blank" if following else "uri")
+        return (cells[0], "blank") if cells else (RDF + "nil", "uri")
+
+    def value_of(element, lang, base):
+        """(object, kind, datatype, lang) of a property element."""
+        form, target = local(element, "parseType"), local(element, "resource")
+        own = [a for a in element.attrib if a == f"{{{RDF}}}type" or not a.startswith((f"{{{RDF}}}", "{http://www.w3.org/XML/1998/namespace}"))]
+        if form == "Resource":
+            inner = blank()
+            edges(inner, element, lang, base)
+            return inner, "blank", None, None
+        if form == "Collection":
+            return *collection(list(element), lang, base), None, None
+        if form is not None:  # Literal, and what is not known is read like it
+            inside = "".join([_text(element.text), *(_written(c, prefixes, ()) for c in element)])
+            return inside, "literal", RDF + "XMLLiteral", None
+        if len(element):
             if len(element) > 1:
                 raise Unsupported("more than one node in a property")
-            target, kind = node(element[0], lang)
-            triples.append((subject, predicate, target, kind, None, None))
-        else:
-            datatype = element.get(f"{{{RDF}}}datatype")
-            literal(subject, predicate, element.text or "", datatype, None if datatype else lang)
-
+            return *node(element[0], lang, base), None, None
+        if target is None and local(element, "nodeID") is None and not own:
+            datatype = local(element, "datatype")
+            return element.text or "", "literal", datatype or M.XSD_STRING, None if datatype else lang
+        named = local(element, "nodeID")
+        inner, kind = (resolve(base, target), "uri") if target is not None else ("_:n" + named if named is not None else blank(), "blank")
+        properties(inner, element, lang)
+        return inner, kind, None, None
+
+    def edge(subject, element, lang, base, items):
+        lang, base = element.get(XML_LANG, lang), resolve(base, element.get(XML_BASE, ""))
+        predicate = _uri(element.tag)
+        if predicate == RDF + "li":
+            predicate = f"{RDF}_{next(items)}"
+        made = value_of(element, lang, base)
+        add(subject, predicate, *made)
+        if local(element, "ID") is not None:  # the statement itself has a name
+            statement = resolve(base, "#" + local(element, "ID"))
+            add(statement, RDF + "type", RDF + "Statement")
+            add(statement, RDF + "subject", subject, "blank" if subject.startswith("_:") else "uri")
+            add(statement, RDF + "predicate", predicate)
+            add(statement, RDF + "object", *made)
+
+    prefixes = {uri: prefix for _, (prefix, uri) in ET.iterparse(io.StringIO(text.strip()), ["start-ns"])}
     root = ET.fromstring(text.strip())
+    lang, base = root.get(XML_LANG), root.get(XML_BASE, "")
     for element in root if root.tag == f"{{{RDF}}}RDF" else [root]:
-        node(element, root.get(XML_LANG))
+        node(element, lang, base)
     return triples
 
 

@@ -95,8 +95,29 @@ def test_rdf_forms():
     assert ("urn:1", "urn:e#p", "urn:2", "uri", None, None) in got
     assert ("urn:1", "urn:e#q", "5", "literal", "urn:t", None) in got
     assert any(s == "_:b0" and p == "urn:e#x" for s, p, *_ in got)
+    assert any(p == "urn:e#p" and o == xmltext.RDF + "nil" for _, p, o, *_ in xmltext.rdf_rows(doc.replace('rdf:resource="urn:2"', 'rdf:parseType="Collection"')))
     with pytest.raises(ValueError):
-        xmltext.rdf_rows(doc.replace('rdf:resource="urn:2"', 'rdf:parseType="Collection"'))
+        xmltext.rdf_rows(doc.replace("<e:r>", "<e:r><rdf:Description/>"))
+
+
+def test_rdf_forms_beyond_plain_statements():
+    rdf, xs = xmltext.RDF, "http://www.w3.org/2001/XMLSchema#string"
+    doc = """<rdf:RDF xmlns:rdf="http://www.w3.org/1999/02/22-rdf-syntax-ns#" xmlns:e="urn:e#" xml:base="http://b.org/x/y">
+      <rdf:Bag rdf:ID="bag"><rdf:li>one</rdf:li><rdf:li rdf:resource="z"/></rdf:Bag>
+      <rdf:Description rdf:about=""><e:res rdf:parseType="Resource"><e:in>v</e:in></e:res>
+        <e:lit rdf:parseType="Literal">a <e:b c="1"/></e:lit>
+        <e:list rdf:parseType="Collection"><rdf:Description rdf:about="urn:1"/><rdf:Description rdf:about="urn:2"/></e:list>
+        <e:said rdf:ID="st">w</e:said><e:short e:k="v" rdf:resource="#t"/></rdf:Description></rdf:RDF>"""
+    got = set(xmltext.rdf_rows(doc))
+    bag, me = "http://b.org/x/y#bag", "http://b.org/x/y"
+    assert {(bag, rdf + "type", rdf + "Bag", "uri", None, None), (bag, rdf + "_1", "one", "literal", xs, None), (bag, rdf + "_2", "http://b.org/x/z", "uri", None, None)} <= got
+    objects = {p: o for s, p, o, *_ in got if s == me}
+    assert (objects["urn:e#res"], "urn:e#in", "v", "literal", xs, None) in got
+    assert objects["urn:e#lit"] == 'a <e:b xmlns:e="urn:e#" c="1"></e:b>'
+    first = objects["urn:e#list"]
+    second = next(o for s, p, o, *_ in got if s == first and p == rdf + "rest")
+    assert (first, rdf + "first", "urn:1", "uri", None, None) in got and (second, rdf + "rest", rdf + "nil", "uri", None, None) in got
+    assert ("http://b.org/x/y#st", rdf + "object", "w", "literal", xs, None) in got and (me + "#t", "urn:e#k", "v", "literal", xs, None) in got
 
 
 def test_dc_namespace_and_failures(spark):
