@@ -196,7 +196,7 @@ def repeated_runs(texts: DataFrame, shape: Shape, key: str, heavy: int | None =
     return copies, bodies, digests
 
 
-def by_name(bodies: DataFrame, solve: Callable[[list], Iterator[tuple[int, np.ndarray, np.ndarray]]], limit: int = 4 << 20) -> DataFrame:
+def by_name(bodies: DataFrame, solve: Callable[[list], Iterator[tuple[int, np.ndarray, np.ndarray]]], limit: int = 1 << 20) -> DataFrame:
     """Spans (a, b, start, end) found among run texts, names coming together in a task.
 
     ``solve`` gets a list of groups, each a list of (id, start, windows, body), of about ``limit`` bytes in all, and yields for a member, by

@@ -25,6 +25,8 @@ from muniment.llm.common import map_texts
 LEAST = 400
 GRAM = 64
 SEPARATOR = 0xFF
+#: Runs with one name beyond which windows are compared by digest: about 9 MB of text, for which sorting takes some 500 MB.
+HEAVY = 1 << 14
 
 ADDED = "n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<start: long, end: long>>"
 
@@ -36,12 +38,13 @@ def suffix_order(text: np.ndarray, depth: int) -> np.ndarray:
     key = np.zeros(n, np.uint64)
     for j in range(8):
         key = key << np.uint64(8) | padded[j : j + n]
-    order = np.argsort(key, kind="stable")
+    order = np.argsort(key, kind="stable").astype(np.int32)
     fresh = np.concatenate([[True], key[order][1:] != key[order][:-1]])
-    rank = np.zeros(n + depth * 2, np.int64)
+    del padded
+    rank = np.zeros(n + depth * 2, np.int32)
     sorted_depth = 8
     while sorted_depth < depth:
-        first = np.maximum.accumulate(np.where(fresh, np.arange(n), 0))
+        first = np.maximum.accumulate(np.where(fresh, np.arange(n, dtype=np.int32), np.int32(0)))
         rank[:n][order] = first + 1
         alone = fresh & np.append(fresh[1:], True)
         slots = np.flatnonzero(~alone)
@@ -61,16 +64,16 @@ def common_prefixes(text: np.ndarray, order: np.ndarray, least: int) -> np.ndarr
     """Length of the common prefix of each suffix and the one before it, as far as it is below ``least``; else -1."""
     n = len(text)
     before = text[order - 1]  # the transform; the text ends with a separator
-    row_of = np.empty(n, np.int64)
-    row_of[np.argsort(before, kind="stable")] = np.arange(n)
+    row_of = np.empty(n, np.int32)
+    row_of[np.argsort(before, kind="stable")] = np.arange(n, dtype=np.int32)
     lengths = np.full(n + 1, -1, np.int32)
     lengths[0] = lengths[n] = 0
     lows, highs = np.array([0]), np.array([n])
     for length in range(least):
         sizes = highs - lows
         ends = np.cumsum(sizes)
-        rows = np.repeat(lows - (ends - sizes), sizes) + np.arange(int(ends[-1]))
-        of = np.repeat(np.arange(len(lows)), sizes)
+        rows = np.repeat((lows - (ends - sizes)).astype(np.int32), sizes) + np.arange(int(ends[-1]), dtype=np.int32)
+        of = np.repeat(np.arange(len(lows), dtype=np.int32), sizes)
         if length:
             real = before[rows] != SEPARATOR
             rows, of = rows[real], of[real]
@@ -98,11 +101,11 @@ def repeated_starts(bodies: list[bytes], least: int) -> list[np.ndarray]:
     order = suffix_order(text, least)
     lengths = common_prefixes(text, order, least)
     ends = np.cumsum(sizes)
-    body = np.repeat(np.arange(len(bodies)), sizes)
+    body = np.repeat(np.arange(len(bodies), dtype=np.int32), sizes)
     valid = order + least < ends[body[order]]
     group = np.cumsum(lengths >= 0)
     count = np.bincount(group[valid], minlength=int(group[-1]) + 1)
-    found = np.sort(order[valid & (count[group] > 1)])
+    found = np.sort(order[valid & (count[group] > 1)]).astype(np.int64)
     at = np.searchsorted(found, ends - sizes)
     return [found[a:b] - s for a, b, s in zip(at, [*at[1:], len(found)], (ends - sizes).tolist())]
 
@@ -158,7 +161,7 @@ def _cut(least: int):
     return lambda: fn
 
 
-def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = LEAST, gram: int = GRAM, heavy: int | None = None) -> DataFrame:
+def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = LEAST, gram: int = GRAM, heavy: int = HEAVY) -> DataFrame:
     """Per document: its id, its bytes, those inside strings of ``least`` bytes that also begin elsewhere, the runs these make, the hash of
     what is left, and the runs themselves."""
     texts = keyed_texts(docs, id_col, text_col)

@@ -127,7 +127,7 @@ def plain_bytes(rows, least):
     return out
 
 
-@pytest.mark.parametrize("least,gram,heavy", [(60, 16, None), (60, 16, 2), (400, 64, None), (24, 24, None)])
+@pytest.mark.parametrize("least,gram,heavy", [(60, 16, 9999), (60, 16, 2), (400, 64, 9999), (24, 24, 9999)])
 def test_byte_repeats(spark, least, gram, heavy):
     corpus = awkward.corpus(3)
     docs = awkward.frame(spark, corpus)
