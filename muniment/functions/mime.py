@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import mimetypes
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Media type -> preferred file extension, in alphabetical order.
-EXTENSIONS = {
+# Media type -> preferred file extension, in alphabetical order, where Python's own table has none or another one.
+_PREFERRED = {
     "application/gzip": ".gz",
     "application/json": ".json",
     "application/msword": ".doc",
@@ -42,21 +44,55 @@ EXTENSIONS = {
     "video/mpeg": ".mpeg",
     "video/quicktime": ".qt",
 }
+#: Media type -> file extension: the first one of the standard table, which this machine's settings don't change, or the preferred one.
+EXTENSIONS = {t: e[0] for t, e in mimetypes.MimeTypes().types_map_inv[True].items()} | _PREFERRED
 
-# Leading bytes (hex) -> media type.
-MAGIC = {
-    "25504446": "application/pdf",
-    "89504E470D0A1A0A": "image/png",
-    "FFD8FF": "image/jpeg",
-    "47494638": "image/gif",
-    "49492A00": "image/tiff",
-    "4D4D002A": "image/tiff",
-    "504B0304": "application/zip",
-    "1F8B": "application/gzip",
-    "3C3F786D6C": "application/xml",
-    "424D": "image/bmp",
-}
-MAGIC_BYTES = max(len(m) for m in MAGIC) // 2
+# Fixed values: (offset, bytes in hex, media type); of those that fit, the longest decides. The types inside
+# containers (zip, RIFF, ISO media) are told by bytes further in.
+SIGNATURES = [
+    (0, "25504446", "application/pdf"),
+    (0, "89504E470D0A1A0A", "image/png"),
+    (0, "FFD8FF", "image/jpeg"),
+    (0, "47494638", "image/gif"),
+    (0, "49492A00", "image/tiff"),
+    (0, "4D4D002A", "image/tiff"),
+    (0, "424D", "image/bmp"),
+    (0, "38425053", "image/vnd.adobe.photoshop"),
+    (0, "0000000C6A5020200D0A870A", "image/jp2"),
+    (8, "57454250", "image/webp"),
+    (8, "57415645", "audio/vnd.wave"),
+    (8, "41564920", "video/x-msvideo"),
+    (0, "494433", "audio/mpeg"),
+    (0, "4F676753", "application/ogg"),
+    (0, "664C6143", "audio/x-flac"),
+    (0, "4D546864", "audio/midi"),
+    (4, "6674797069736F", "video/mp4"),
+    (4, "667479706D7034", "video/mp4"),
+    (4, "6674797071742020", "video/quicktime"),
+    (0, "1A45DFA3", "video/x-matroska"),
+    (0, "000001BA", "video/mpeg"),
+    (0, "504B0304", "application/zip"),
+    (30, "6D696D65747970656170706C69636174696F6E2F657075622B7A6970", "application/epub+zip"),
+    (30, "6D696D65747970656170706C69636174696F6E2F766E642E6F617369732E6F70656E646F63756D656E742E74657874", "application/vnd.oasis.opendocument.text"),
+    (30, "6D696D65747970656170706C69636174696F6E2F766E642E6F617369732E6F70656E646F63756D656E742E7370726561647368656574", "application/vnd.oasis.opendocument.spreadsheet"),
+    (30, "6D696D65747970656170706C69636174696F6E2F766E642E6F617369732E6F70656E646F63756D656E742E70726573656E746174696F6E", "application/vnd.oasis.opendocument.presentation"),
+    (30, "5B436F6E74656E745F54797065735D2E786D6C", "application/vnd.openxmlformats-officedocument"),
+    (0, "D0CF11E0A1B11AE1", "application/x-ole-storage"),
+    (0, "1F8B", "application/gzip"),
+    (0, "425A68", "application/x-bzip2"),
+    (0, "FD377A585A00", "application/x-xz"),
+    (0, "377ABCAF271C", "application/x-7z-compressed"),
+    (0, "526172211A07", "application/x-rar-compressed"),
+    (257, "7573746172", "application/x-tar"),
+    (0, "25215053", "application/postscript"),
+    (0, "7B5C727466", "application/rtf"),
+    (0, "3C3F786D6C", "application/xml"),
+    (0, "3C21444F43545950452068746D6C", "text/html"),
+    (0, "3C21646F63747970652068746D6C", "text/html"),
+    (0, "3C68746D6C", "text/html"),
+]
+#: Bytes of a content that its type is told by.
+MAGIC_BYTES = max(offset + len(magic) // 2 for offset, magic, _ in SIGNATURES)
 
 # Name ending -> media type, tried when the bytes say nothing.
 BY_NAME = {
@@ -82,9 +118,10 @@ def mime_extension(mime: Column) -> Column:
 def detect_mime(declared: Column, head: Column, name: Column) -> Column:
     """Declared type, else the type of the leading bytes, else of the name's ending."""
     hexed = F.hex(head)
-    found = F.lit(None).cast("string")
-    for magic, mime in sorted(MAGIC.items(), key=lambda kv: len(kv[0])):
-        found = F.when(hexed.startswith(magic), F.lit(mime)).otherwise(found)
+    found = None
+    for offset, magic, mime in sorted(SIGNATURES, key=lambda s: -len(s[1])):
+        fits = F.substring(hexed, 2 * offset + 1, len(magic)) == magic
+        found = F.when(fits, F.lit(mime)) if found is None else found.when(fits, F.lit(mime))
     ending = F.when(name.contains("."), F.lower(F.substring_index(name, ".", -1)))
     detected = F.coalesce(found, _lookup(ending, BY_NAME), F.lit(UNKNOWN))
     return F.when(declared.isNotNull() & (declared != ""), declared).otherwise(detected)

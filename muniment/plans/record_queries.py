@@ -520,5 +520,5 @@ SELECT page_id,
   NOT contains(url, '/en/') AND NOT contains(url, '/fr/') AND contains(url, '/de/') AS unhandled FROM pages""",
     "detect_mime": """
 SELECT page_id, CASE WHEN contains(url, '/fr/') THEN 'text/x-own' WHEN NOT starts_with(url, 'https') THEN 'application/pdf'
-  WHEN contains(url, 'html') THEN 'text/html' ELSE 'application/octet-stream' END AS mime FROM pages""",
+  ELSE 'text/html' END AS mime FROM pages""",
 }
