@@ -31,18 +31,25 @@ HEAVY = 1 << 14
 ADDED = "n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<start: long, end: long>>"
 
 
-def suffix_order(text: np.ndarray, depth: int) -> np.ndarray:
-    """Suffixes in the order of their first ``depth`` bytes, at least: first by 8, then by twice as many in each round."""
+#: Bytes of prefix whose borders the sort gives; the backward extension goes on from there.
+SEED = 32
+
+
+def suffix_order(text: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """Suffixes in the order of their first ``depth`` bytes, at least, and where a new prefix of ``SEED`` bytes begins.
+
+    Sorted by 8 bytes first, then by twice as many in each round; rounds only move suffixes that are still equal.
+    """
     n = len(text)
     padded = np.concatenate([text, np.full(8, SEPARATOR, np.uint8)]).astype(np.uint64)
     key = np.zeros(n, np.uint64)
     for j in range(8):
         key = key << np.uint64(8) | padded[j : j + n]
-    order = np.argsort(key, kind="stable").astype(np.int32)
+    order = np.argsort(key).astype(np.int32)
     fresh = np.concatenate([[True], key[order][1:] != key[order][:-1]])
     del padded
     rank = np.zeros(n + depth * 2, np.int32)
-    sorted_depth = 8
+    sorted_depth, seeds = 8, fresh
     while sorted_depth < depth:
         first = np.maximum.accumulate(np.where(fresh, np.arange(n, dtype=np.int32), np.int32(0)))
         rank[:n][order] = first + 1
@@ -52,24 +59,33 @@ def suffix_order(text: np.ndarray, depth: int) -> np.ndarray:
             break
         members = order[slots]
         next_rank = rank[members + sorted_depth]
-        again = np.lexsort((next_rank, first[slots]))
+        again = np.argsort(first[slots].astype(np.int64) << 32 | next_rank)
         order[slots] = members[again]
         groups, ranks = first[slots][again], next_rank[again]
         fresh[slots] = np.concatenate([[True], (groups[1:] != groups[:-1]) | (ranks[1:] != ranks[:-1])])
         sorted_depth *= 2
-    return order
+        if sorted_depth == SEED:
+            seeds = fresh.copy()
+    return order, seeds
+
 
+def common_prefixes(text: np.ndarray, order: np.ndarray, least: int, seeds: np.ndarray | None = None) -> np.ndarray:
+    """Length of the common prefix of each suffix and the one before it, as far as it is below ``least``; else -1.
 
-def common_prefixes(text: np.ndarray, order: np.ndarray, least: int) -> np.ndarray:
-    """Length of the common prefix of each suffix and the one before it, as far as it is below ``least``; else -1."""
+    With the ``seeds`` of the sort, lengths below ``SEED`` count as 0 and the extension begins at the strings of that length.
+    """
     n = len(text)
     before = text[order - 1]  # the transform; the text ends with a separator
     row_of = np.empty(n, np.int32)
     row_of[np.argsort(before, kind="stable")] = np.arange(n, dtype=np.int32)
     lengths = np.full(n + 1, -1, np.int32)
     lengths[0] = lengths[n] = 0
-    lows, highs = np.array([0]), np.array([n])
-    for length in range(least):
+    lows, highs, first = np.array([0]), np.array([n]), 0
+    if seeds is not None:
+        lengths[:n][seeds] = 0
+        lows, first = np.flatnonzero(seeds), SEED
+        highs = np.append(lows[1:], n)
+    for length in range(first, least):
         sizes = highs - lows
         ends = np.cumsum(sizes)
         rows = np.repeat((lows - (ends - sizes)).astype(np.int32), sizes) + np.arange(int(ends[-1]), dtype=np.int32)
@@ -80,7 +96,7 @@ def common_prefixes(text: np.ndarray, order: np.ndarray, least: int) -> np.ndarr
         if not len(rows):
             break
         target = row_of[rows]
-        sort = np.argsort(target, kind="stable")
+        sort = np.argsort(target)  # rows are unique
         target, of = target[sort], of[sort]
         char = before[rows][sort]
         edge = np.concatenate([[True], (target[1:] != target[:-1] + 1) | (of[1:] != of[:-1]) | (char[1:] != char[:-1])])
@@ -98,8 +114,8 @@ def repeated_starts(bodies: list[bytes], least: int) -> list[np.ndarray]:
     """For each body the places at which a string of ``least`` bytes begins that also begins elsewhere among the bodies."""
     sizes = np.array([len(b) + 1 for b in bodies], np.int64)
     text = np.frombuffer(bytes([SEPARATOR]).join(bodies) + bytes([SEPARATOR]), np.uint8)
-    order = suffix_order(text, least)
-    lengths = common_prefixes(text, order, least)
+    order, seeds = suffix_order(text, least)
+    lengths = common_prefixes(text, order, least, seeds if least > SEED else None)
     ends = np.cumsum(sizes)
     body = np.repeat(np.arange(len(bodies), dtype=np.int32), sizes)
     valid = order + least < ends[body[order]]

@@ -146,10 +146,10 @@ def test_byte_repeats_inside_one_text(spark):
 
 def test_transform_gives_common_prefixes():
     dice = random.Random(8)
-    for least in (3, 9, 20):
-        text = bytes(dice.choice(b"abc") for _ in range(300)) + b"\xff" + bytes(dice.choice(b"ab") for _ in range(200)) + b"\xff"
+    for least in (3, 9, 20, 40):
+        text = (part := bytes(dice.choice(b"abc") for _ in range(120))) + part[9:] + part[:70] + b"\xff" + bytes(dice.choice(b"ab") for _ in range(200)) + part[20:] + b"\xff"
         array = np.frombuffer(text, np.uint8)
-        order = suffixes.suffix_order(array, least)
+        order, seeds = suffixes.suffix_order(array, least)
         lengths = suffixes.common_prefixes(array, order, least)
         whole = [i for i in order.tolist() if b"\xff" not in text[i : i + least] and i + least <= len(text)]
         assert [text[i : i + least] for i in whole] == sorted(text[i : i + least] for i in whole)
@@ -158,6 +158,12 @@ def test_transform_gives_common_prefixes():
             common = next((k for k in range(least) if text[a + k] != text[b + k]), least)
             between = [x for x in lengths[place[a] + 1 : place[b] + 1].tolist() if x >= 0]
             assert (min(between) if between else least) == common
+        if least > suffixes.SEED:
+            seeded = suffixes.common_prefixes(array, order, least, seeds)
+            late = (lengths < 0) | (lengths >= suffixes.SEED)
+            inside = np.array([b"\xff" not in text[i : i + least] and i + least <= len(text) for i in order.tolist()])
+            both = late & inside & np.concatenate([[False], inside[:-1]])
+            assert (seeded[both] == lengths[both]).all() and (seeded[inside & ~late] >= 0).all()
 
 
 def plain_words(rows, width):
