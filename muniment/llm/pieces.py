@@ -29,7 +29,7 @@ from muniment.llm.common import map_texts, map_whole_rows
 PIECES = "/opt/tokenizers/piece_bpe_32k.model"
 UNKNOWN_PENALTY = 10.0
 #: Words remembered by a task before its memory starts anew; bounds memory, never changes a result.
-WORDS_KEPT = 1 << 18
+WORDS_KEPT = 3 << 18
 
 _SPACE = "▁"
 
