@@ -119,7 +119,7 @@ def keyed_texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return rows.select("id", F.xxhash64("t").alias("a"), F.hash("t").alias("b"), F.octet_length("t").alias("size"), "t")
 
 
-def _named_runs(texts: DataFrame, key: str, shape: Shape) -> DataFrame:
+def _named_runs(texts: DataFrame, shape: Shape) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, 1):
@@ -129,8 +129,8 @@ def _named_runs(texts: DataFrame, key: str, shape: Shape) -> DataFrame:
                 keys = part.column(0).take(pa.array(np.repeat(np.arange(len(sizes)), sizes)))
                 yield pa.RecordBatch.from_arrays([keys, pa.array(names.view(np.int64)), pa.array(runs)], names=["key", "name", "run"])
 
-    schema = T.StructType([T.StructField("key", texts.schema[key].dataType), T.StructField("name", T.LongType()), T.StructField("run", T.LongType())])
-    return small_batches(texts.select(key, "t")).mapInArrow(run, schema)
+    schema = T.StructType([T.StructField("key", T.LongType()), T.StructField("name", T.LongType()), T.StructField("run", T.LongType())])
+    return small_batches(texts.select("a", "t")).mapInArrow(run, schema)
 
 
 def _run_texts(rows: DataFrame, shape: Shape, whole: bool) -> DataFrame:
@@ -171,7 +171,7 @@ def _run_texts(rows: DataFrame, shape: Shape, whole: bool) -> DataFrame:
     return small_batches(rows.select("a", "b", "id", "t", "runs")).mapInArrow(run, schema)
 
 
-def repeated_runs(texts: DataFrame, shape: Shape, key: str, heavy: int | None = None) -> tuple[DataFrame, DataFrame, DataFrame | None]:
+def repeated_runs(texts: DataFrame, shape: Shape, heavy: int | None = None) -> tuple[DataFrame, DataFrame, DataFrame | None]:
     """What may repeat in keyed texts.
 
     Returns the distinct texts (a, b, size, least id, copies); the run texts (name, a, b, id, start, n, body) whose name is met twice, each
@@ -179,12 +179,12 @@ def repeated_runs(texts: DataFrame, shape: Shape, key: str, heavy: int | None =
     """
     heavy = HEAVY if heavy is None else heavy
     copies = stage(texts.groupBy("a", "b", "size").agg(F.min("id").alias("id"), F.count("*").alias("copies")), "copies")
-    named = _named_runs(texts, key, shape)
+    named = _named_runs(texts, shape)
     recurs = F.col("run").bitwiseAND(_SELF)
     met = named.groupBy("name").agg(F.count("*").alias("met"), F.max(recurs).alias("recurs")).where("met > 1 OR recurs > 0")
     found = named.join(met, "name").groupBy("key").agg(F.collect_set(F.struct("name", "run", (F.col("met") > heavy).alias("heavy"))).alias("runs"))
-    on = copies["a"] == found["key"] if key == "a" else copies["id"] == found["key"]
-    listed = stage(copies.join(found, on).select("a", "b", "size", "id", "runs"), "candidate-runs")
+    # Runs belong to a text, not to a document's id: one id may stand at several texts.
+    listed = stage(copies.join(found, copies["a"] == found["key"]).select("a", "b", "size", "id", "runs"), "candidate-runs")
     light, dense = (F.filter("runs", lambda r: r["heavy"] == flag) for flag in (False, True))
 
     def joined(runs) -> DataFrame:

@@ -117,7 +117,7 @@ def repeat_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """Per document: its id (an integer), its words, those inside windows that a document with a smaller id holds, the hash of what is left, and
     the removed runs."""
     texts = keyed_texts(docs, id_col, text_col).withColumn("id", F.col("id").cast("long"))
-    copies, bodies, digests = repeated_runs(texts.where("id IS NOT NULL"), shape(width, gram), "id", heavy)
+    copies, bodies, digests = repeated_runs(texts.where("id IS NOT NULL"), shape(width, gram), heavy)
     spans = by_name(bodies, solver(width))
     if digests is not None:
         first = digests.groupBy("digest").agg(F.min("id").alias("first"))

@@ -181,7 +181,7 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """Per document: its id, its bytes, those inside strings of ``least`` bytes that also begin elsewhere, the runs these make, the hash of
     what is left, and the runs themselves."""
     texts = keyed_texts(docs, id_col, text_col)
-    copies, bodies, digests = repeated_runs(texts, shape(least, gram), "a", heavy)
+    copies, bodies, digests = repeated_runs(texts, shape(least, gram), heavy)
     spans = by_name(bodies, solver(least))
     if digests is not None:
         twice = digests.select("a", "b", "start", "digest").distinct().groupBy("digest").count().where("count > 1")

@@ -194,6 +194,17 @@ def test_word_repeats(spark, heavy):
         assert repeats.repeat_dedup(awkward.empty(spark)).count() == 0
 
 
+@pytest.mark.parametrize("heavy", [None, 1])
+def test_word_repeats_of_two_texts_under_one_id(spark, heavy):
+    """Runs of the long text lie behind the end of the short one; other passages are shared by later documents only."""
+    dice = random.Random(11)
+    part, later = awkward.words(dice, 900), awkward.words(dice, 900)
+    short, long = awkward.words(dice, 15), f"{awkward.words(dice, 60)} {part}"
+    corpus = [(3, long), (3, short), (5, f"{awkward.words(dice, 20)} {part}"), (8, later), (9, later + " end"), (1, short + " tail")]
+    got = repeats.repeat_dedup(awkward.frame(spark, corpus), heavy=heavy).select("doc_id", "n_words", "n_removed", "kept_sha256")
+    assert Counter(tuple(r) for r in got.collect()) == plain_words(corpus, 13)
+
+
 def test_suffix_tree_depths():
     words = np.array([1, 2, 3, 1, 2, 4, 1, 2, 3, 9])
     order, depth = repeats.tree(words, np.array([0, 3, 6]), 3)
