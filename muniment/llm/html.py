@@ -32,7 +32,9 @@ ADDED = "text string, n_chars long, n_blocks long"
 
 # Element groups of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title noscript template iframe svg".split())
+RAW = frozenset("script style textarea title iframe".split())
+#: Parsed like others, but their text is not shown. One that is never closed by its own end tag counts as a plain element.
+HIDDEN = frozenset("noscript template svg".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split()
 )
@@ -64,6 +66,7 @@ class Page:
         self.texts: list[tuple[int, str]] = []  # (element, text); a text of None marks a block's edge
         at = end = 0
         size = len(html)
+        shut: list[bool] = [False]  # by element: its own end tag was met
         for m in iter(lambda: _TOKEN.search(html, end), None):
             if m.start() > end:
                 self.texts.append((at, html[end : m.start()]))
@@ -78,10 +81,10 @@ class Page:
                 if node:
                     if tag not in INLINE:
                         self.texts.append((at, None))
-                    at = self.parents[node]
+                    at, shut[node] = self.parents[node], True
                 continue
             closes, node = CLOSES.get(tag, ()), at
-            while closes and node and (self.tags[node] in closes or self.tags[node] not in SCOPE):
+            while closes and node and self.tags[node] not in HIDDEN and (self.tags[node] in closes or self.tags[node] not in SCOPE):
                 if self.tags[node] in closes:
                     at = self.parents[node]
                 node = self.parents[node]
@@ -92,14 +95,35 @@ class Page:
                 self.texts.append((at, None))
             self.tags.append(tag)
             self.parents.append(at)
+            shut.append(False)
             self.tokens.append(tuple(t for a in _ATTRIBUTE.findall(m[3]) for t in _WORD.findall("".join(a).lower())) if "=" in m[3] else ())
-            if tag in RAW:
+            closed = m[3].endswith("/>")
+            if tag in RAW and not (closed and self._in_svg(at)):
                 close = re.compile(f"</{re.escape(tag)}\\s*>", re.I).search(html, end)
                 end = close.end() if close else size
-            elif tag not in VOID and not m[3].endswith("/>"):
+            elif tag not in VOID and not closed:
                 at = len(self.tags) - 1
+            else:
+                shut[-1] = True
         if end < size:
             self.texts.append((at, html[end:]))
+        self._hide(shut)
+
+    def _in_svg(self, node: int) -> bool:
+        while node and self.tags[node] != "svg":
+            node = self.parents[node]
+        return node > 0
+
+    def _hide(self, shut: list[bool]) -> None:
+        """Leave out texts in closed elements that aren't shown; unclosed ones become plain elements."""
+        if HIDDEN.isdisjoint(self.tags):
+            return
+        hidden = [False] * len(self.tags)
+        for i in range(1, len(self.tags)):
+            if self.tags[i] in HIDDEN and not shut[i]:
+                self.tags[i] = "#open"
+            hidden[i] = hidden[self.parents[i]] or self.tags[i] in HIDDEN
+        self.texts = [(i, t) for i, t in self.texts if not hidden[i]]
 
 
 def features(page: Page) -> np.ndarray:

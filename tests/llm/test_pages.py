@@ -59,6 +59,18 @@ def test_odd_pages(model):
     assert len(html.extract([long.encode()], model)) == 1
 
 
+@pytest.mark.parametrize("extra", [
+    '<svg class="icon" viewBox="0 0 1 1"/>', "<svg><path d='M0 0'><title/></svg>", "<svg><svg><text>no</text></svg><text>no</text></svg>", "<svg>", "<noscript>", "<template>",
+    "<template><template><p>no</p></template><p>no</p></template>", "<noscript><p>no</p></noscript>", "<template><div>no</div></template>",
+])
+def test_hidden_elements_take_nothing_else(model, extra):
+    """Self-closed, nested and unclosed elements without shown text leave the article whole, with or without a later one of the tag."""
+    paragraph = "Some plain text of an article, with a few marks. And more text here to read."
+    for later in ("", "<div><svg></svg><noscript></noscript><template></template></div>"):
+        page = f"<html><body><nav><a href=a>One</a></nav><article><h1>Heading of the text</h1><p>{paragraph}</p>{extra}" + f"<p>{paragraph}</p>" * 4 + f"</article>{later}</body></html>"
+        assert html.extract([page.encode()], model)[0] == ["Heading of the text", *[paragraph] * 5]
+
+
 def test_kept_elements_have_kept_parents(model):
     page = html.Page(html.SKELETON)
     dice = np.random.default_rng(1)
