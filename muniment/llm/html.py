@@ -39,6 +39,8 @@ INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split()
 )
 NEVER = frozenset("script style head noscript template iframe svg form button select textarea input title object embed".split())
+#: Text directly in these is put into implied blocks.
+LOOSE = frozenset(("#page", "html", "body"))
 #: A start tag closes an open element of these tags, up to the nearest element of the last group.
 CLOSES = {t: frozenset({"p"}) for t in "address article aside blockquote div dl fieldset footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre section table ul".split()}
 CLOSES |= {"li": frozenset({"li", "p"}), "dt": frozenset({"dt", "dd", "p"}), "dd": frozenset({"dt", "dd", "p"}), "tr": frozenset({"tr", "td", "th", "p"}), "td": frozenset({"td", "th", "p"}), "th": frozenset({"td", "th", "p"}), "option": frozenset({"option"})}
@@ -58,8 +60,14 @@ _WORD = re.compile(r"[a-z]+")
 _PUNCTUATION = re.compile(r"[.,;:!?。，]")
 
 
+#: Implied block around a run of text and inline elements that stands outside of all elements below the body.
+RUN = "#run"
+#: Stands at article text of a training page whose article has no element of its own.
+SIGN = "\ue000"
+
+
 class Page:
-    """Elements in page order with their parents, and texts and breaks in page order."""
+    """Elements in page order with their parents, and texts and breaks in page order. Text directly in the body gets implied blocks."""
 
     def __init__(self, html: str):
         self.tags, self.parents, self.tokens = ["#page"], [0], [()]
@@ -69,7 +77,10 @@ class Page:
         shut: list[bool] = [False]  # by element: its own end tag was met
         for m in iter(lambda: _TOKEN.search(html, end), None):
             if m.start() > end:
-                self.texts.append((at, html[end : m.start()]))
+                text = html[end : m.start()]
+                if self.tags[at] in LOOSE and text.strip():
+                    at = self._run(at, shut)
+                self.texts.append((at, text))
             end = m.end()
             if m[2] is None:
                 continue
@@ -92,7 +103,11 @@ class Page:
                 self.texts.append((at, " "))
                 continue
             if tag not in INLINE:
+                if self.tags[at] == RUN:
+                    at = self.parents[at]
                 self.texts.append((at, None))
+            elif self.tags[at] in LOOSE:
+                at = self._run(at, shut)
             self.tags.append(tag)
             self.parents.append(at)
             shut.append(False)
@@ -106,9 +121,20 @@ class Page:
             else:
                 shut[-1] = True
         if end < size:
+            if self.tags[at] in LOOSE and html[end:].strip():
+                at = self._run(at, shut)
             self.texts.append((at, html[end:]))
         self._hide(shut)
 
+    def _run(self, at: int, shut: list[bool]) -> int:
+        """A new implied block in ``at``."""
+        self.texts.append((at, None))
+        self.tags.append(RUN)
+        self.parents.append(at)
+        self.tokens.append(())
+        shut.append(True)
+        return len(self.tags) - 1
+
     def _in_svg(self, node: int) -> bool:
         while node and self.tags[node] != "svg":
             node = self.parents[node]
@@ -164,7 +190,7 @@ def features(page: Page) -> np.ndarray:
     is_tag = lambda *names: np.array([t in names for t in tags], float)
     return np.stack([
         is_tag("article", "main"), is_tag("nav", "menu"), is_tag("footer", "header", "aside"), is_tag("p", "blockquote", "pre"),
-        is_tag("li", "ul", "ol", "dl"), is_tag("h1", "h2", "h3", "h4", "h5", "h6"), is_tag("a"), is_tag("div", "section"),
+        is_tag("li", "ul", "ol", "dl"), is_tag("h1", "h2", "h3", "h4", "h5", "h6"), is_tag("a"), is_tag("div", "section"), is_tag(RUN),
         np.array(good, float), np.array(bad, float), np.array(above_good, float), np.array(above_bad, float),
         np.minimum(np.array(depth, float), 30), np.array(order) / np.maximum(count[parent], 1), np.minimum(count[parent], 50),
         np.array([0.0] + [float(min(50, alike[parents[i], tags[i]])) for i in range(1, n)]),
@@ -223,22 +249,29 @@ def decode(page: Page, log_odds: np.ndarray) -> list[bool]:
     n = len(page.tags)
     score = log_odds.tolist()
     never = [t in NEVER for t in page.tags]
+    tied = [False] * n  # words in bold and the like share the fate of their implied block
+    for i in range(1, n):
+        p = page.parents[i]
+        tied[i] = (tied[p] or page.tags[p] == RUN) and page.tags[i] in INLINE and page.tags[i] != "a" and BAD_TOKENS.isdisjoint(page.tokens[i])
     gain = [0.0] * n  # of keeping against dropping the subtree, children at their better choice
     for i in range(n - 1, 0, -1):
-        own = -1e9 if never[i] else score[i]
+        own = -1e9 if never[i] else 0.0 if tied[i] else score[i]
         gain[i] += own
         if gain[i] > 0:
             gain[page.parents[i]] += gain[i]
     kept = [True] * n
     for i in range(1, n):
-        kept[i] = kept[page.parents[i]] and (gain[i] > 0 or page.tags[i] in ("html", "body"))
+        kept[i] = kept[page.parents[i]] and (gain[i] > 0 or tied[i] or page.tags[i] in ("html", "body"))
     return kept
 
 
 def blocks(page: Page, kept: list[bool]) -> list[str]:
-    """Texts of the kept elements, by block, with single blanks. Text outside of all elements counts if nothing else does."""
-    loose = [i == 0 or t in ("html", "body") for i, t in enumerate(page.tags)]
-    for wanted in (False, True):
+    """Texts of the kept elements, by block, with single blanks. If they have none, text outside of all elements is given whole."""
+    for every in (False, True):
+        given = [k or every and (t == RUN or t in INLINE) for k, t in zip(kept, page.tags)]
+        if every:  # implied blocks and what stands in them
+            for i in range(1, len(given)):
+                given[i] = page.tags[i] in LOOSE or given[page.parents[i]] and given[i] and page.tags[i] not in NEVER
         out, held = [], []
         for node, text in [*page.texts, (0, None)]:
             if text is None:
@@ -246,7 +279,7 @@ def blocks(page: Page, kept: list[bool]) -> list[str]:
                 held = []
                 if block:
                     out.append(block)
-            elif kept[node] and (loose[node] == wanted or not text.strip()):
+            elif given[node]:
                 held.append(text)
         if out:
             break
@@ -257,9 +290,10 @@ def label(page: Page) -> np.ndarray | None:
     """1 for elements that are, hold or lie in the named article, 0 for the rest; None if no article is named."""
     n = len(page.tags)
     inside = [False] * n
+    signed = {i for i, text in page.texts if text and SIGN in text}
     for i in range(1, n):
         bad = page.tags[i] in NEVER | {"nav", "aside", "footer", "header"} or bool(BAD_TOKENS.intersection(page.tokens[i]))
-        inside[i] = (inside[page.parents[i]] or page.tags[i] in ("article", "main") or "TRUE" in page.tags[i]) and not bad
+        inside[i] = (inside[page.parents[i]] or page.tags[i] in ("article", "main") or "TRUE" in page.tags[i] or i in signed) and not bad
     if not any(inside):
         return None
     holds = list(inside)
@@ -301,15 +335,40 @@ def rewritten(html: str, dice: random.Random) -> str:
 MARK = "divTRUE"
 
 
+def flattened(html: str, dice: random.Random) -> str:
+    """The page with its article as plain text in the body, breaks between paragraphs, and loose boilerplate around it."""
+    words = re.sub(r"<[^>]*>", " ", html).split() or ["word"]
+    some = lambda n: " ".join(dice.choice(words) for _ in range(n))
+    parts = re.search(r"(?is)^(.*?<body[^>]*>)(.*?)<article[^>]*>(.*?)</article>(.*)$", html)
+    if parts is None:
+        return ""
+    head, before, inner, after = parts.groups()
+    for wrap in ("main", "div", "section"):  # open around the article
+        extra = len(re.findall(f"(?i)<{wrap}\\b", before)) - len(re.findall(f"(?i)</{wrap}\\b", before))
+        for _ in range(max(0, extra)):
+            at = [m for m in re.finditer(f"(?i)<{wrap}\\b[^>]*>", before)][-1]
+            before = before[: at.start()] + before[at.end() :]
+    inner = re.sub(r"(?i)<p\b[^>]*>", SIGN, re.sub(r"(?i)</p>", "<br><br>", inner))
+    inner = re.sub(r"(?i)(<h[1-6]\b[^>]*>)", rf"\1{SIGN}", re.sub(r"(?i)(</h[1-6]>)", rf"\1{SIGN}", inner))
+    inline = lambda: f"<{(t := dice.choice(['b', 'i', 'em', 'a', 'span', 'code']))}>{some(dice.randint(1, 4))}</{t}>"
+    inner = re.sub("<br><br>", lambda m: f" {inline()} {some(dice.randint(1, 12))}{m[0]}" if dice.random() < 0.5 else m[0], inner)
+    links = " | ".join(f"<a href=x>{some(1)}</a>" for _ in range(dice.randint(1, 6)))
+    top = dice.choice(["", "", f"{links}<hr>", f"{some(3)} | {links}<hr>"])
+    end = dice.choice(["", "", f"<hr>(c) {some(4)}", f"<hr>{links} {some(2)}"])
+    return f"{head}{before}{top}{SIGN}{inner}{end}{after}"
+
+
 def train(pages: list[str], seed: int = 7) -> BoostedTrees:
     """A model from pages that name their article, as they are and rewritten; pages that name none are left out."""
     dice, rows, labels = random.Random(seed), [], []
     for html in [*pages, *[SKELETON] * 10]:
-        for form in (html, rewritten(html, dice), rewritten(html, dice)):
+        html = html.replace(SIGN, "")
+        for form in (html, rewritten(html, dice), rewritten(html, dice), flattened(html, dice)):
             page = Page(form)
             page.tags = [t if t != MARK.lower() else MARK for t in page.tags]
             y = label(page)
-            if y is not None:
+            if y is not None and len(y) > 1:
+                page.texts = [(i, t and t.replace(SIGN, "")) for i, t in page.texts]
                 page.tags = [t if t != MARK else "div" for t in page.tags]
                 rows.append(features(page)[1:])
                 labels.append(y[1:])

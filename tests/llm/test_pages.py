@@ -71,6 +71,17 @@ def test_hidden_elements_take_nothing_else(model, extra):
         assert html.extract([page.encode()], model)[0] == ["Heading of the text", *[paragraph] * 5]
 
 
+def test_text_directly_in_the_body(model):
+    """Plain body text with breaks is an article like any other, beside a heading or kept elements too; loose menus are not."""
+    lines = [f"Line {i} of a plain text, with a few marks and some words. It goes on for a while, and then it ends." for i in range(6)]
+    menu = "<div class=menu><a href=a>One</a> <a href=b>Two</a></div>"
+    plain = "<br><br>".join(lines)
+    one = " ".join(lines)
+    assert html.extract([f"<html><body>{menu}<h1>Heading of the text</h1>{plain}</body></html>".encode()], model)[0] == ["Heading of the text", one]
+    got = html.extract([f"<body>{menu}<h1>Heading of the text</h1>{plain}<p>{lines[0]}</p>{lines[1]} <b>bold words</b> {lines[2]}<hr><a href=a>One</a> | <a href=b>Two</a><div class=footer>(c) 2020</div>".encode()], model)[0]
+    assert got == ["Heading of the text", one, lines[0], f"{lines[1]} bold words {lines[2]}"]
+
+
 def test_kept_elements_have_kept_parents(model):
     page = html.Page(html.SKELETON)
     dice = np.random.default_rng(1)
