@@ -2,7 +2,8 @@
 
 A base64 or hex candidate is decoded and parsed before it is reported: as DER with nested lengths that fill their
 parents exactly and a sequence of the shape of a key or certificate, as an OpenSSH or SSH wire key with length-prefixed
-strings, or, for a signed token, as a JSON header that names an algorithm and a JSON payload.
+strings, or, for a signed token, as a JSON header that names an algorithm and a JSON payload. Armoured keys may have header lines: a body that these
+call encrypted is confirmed by its cipher and length, a PGP block by its packets. Base64 without armour is joined over its lines.
 
 Defined results: null and empty texts have no secrets; equal rows get equal results; an empty table gives an empty result.
 Spans are in code points, the end exclusive, in order of start and then kind as listed in ``KINDS``.
@@ -31,11 +32,17 @@ HEX = re.compile(rb"[0-9a-f]{16,}")
 
 _CUES = (b"passw", b"secret", b"token", b"api_key", b"apikey")
 _JWT = re.compile(rb"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{2,}\.[A-Za-z0-9_-]*")
-_PEM = re.compile(rb"-----BEGIN ([A-Z0-9 ]*PRIVATE KEY|CERTIFICATE|PGP PRIVATE KEY BLOCK)-----([A-Za-z0-9+/=\s\\n]+?)-----END \1-----")
+_PEM = re.compile(rb"-----BEGIN ([A-Z0-9 ]*PRIVATE KEY|CERTIFICATE|PGP PRIVATE KEY BLOCK)-----((?:[^-]|-(?!----))*+)-----END \1-----")
+_HEADER = re.compile(rb"[A-Za-z0-9-]+:(?:\s|$)")
+_CHECKSUM = re.compile(rb"=[A-Za-z0-9+/]{4}")
+_DEK = re.compile(rb"DEK-Info:\s*([A-Z0-9-]+),\s*([0-9A-Fa-f]+)")
 _BASE64 = re.compile(rb"[A-Za-z0-9+/_-]{40,}={0,2}")
+#: The first line of a key in base64 over several lines (DER sequence, wire string, OpenSSH magic), and lines after it.
+_WRAPPED = re.compile(rb"(?<![A-Za-z0-9+/_=-])(?:M[A-P]|AAAA|b3BlbnNzaC1r)[A-Za-z0-9+/_-]{8,}(?=[\x20\t]*(?:\r?\n|(?:\\r)?\\n))")
+_NEXT_LINE = re.compile(rb"[\x20\t]*(?:\r?\n|(?:\\r)?\\n)[\x20\t]*([A-Za-z0-9+/_-]+)(={0,2})")
+_HEX_RUN = re.compile(rb"[0-9a-fA-F]{48,}")
 _HEX_KEY = re.compile(rb"(?:30[0-9a-f]{62,}|30[0-9A-F]{62,})")
 
-
 def decode64(text: bytes) -> bytes | None:
     text = re.sub(rb"\s|\\n", b"", text).rstrip(b"=").translate(bytes.maketrans(b"-_", b"+/"))
     try:
@@ -44,6 +51,10 @@ def decode64(text: bytes) -> bytes | None:
         return None
 
 
+def _unhex(text: bytes) -> bytes:
+    return bytes.fromhex(text[: len(text) // 2 * 2].decode())
+
+
 def der_tree(data: bytes, depth: int = 0) -> list | None:
     """(tag, children or bytes) of each element if the lengths fill ``data`` exactly, else None."""
     at, out = 0, []
@@ -94,6 +105,135 @@ def is_ssh_key(data: bytes | None) -> bool:
     return at == len(data) and len(fields) >= 2 and bool(re.fullmatch(rb"(sk-)?(ssh|ecdsa)-[a-z0-9@.-]+", fields[0]))
 
 
+def is_pgp_key(data: bytes | None) -> bool:
+    """Packets whose lengths fill the value exactly, a secret key of a known version first."""
+    if not data:
+        return False
+    at, tags = 0, []
+    while at < len(data):
+        head = data[at]
+        if not head & 0x80:
+            return False
+        at += 1
+        tag, body, more = (head & 0x3F, b"", True) if head & 0x40 else (head >> 2 & 0xF, b"", False)
+        if head & 0x40:
+            while more:
+                if at >= len(data):
+                    return False
+                first = data[at]
+                if first < 192:
+                    n, wide, more = first, 1, False
+                elif first < 224:
+                    n, wide, more = (first - 192 << 8) + int.from_bytes(data[at + 1 : at + 2], "big") + 192, 2, False
+                elif first < 255:
+                    n, wide = 1 << (first & 0x1F), 1  # a part; another length follows
+                else:
+                    n, wide, more = int.from_bytes(data[at + 1 : at + 5], "big"), 5, False
+                if at + wide + n > len(data):
+                    return False
+                body = body or data[at + wide : at + wide + n]
+                at += wide + n
+        else:
+            wide = (1, 2, 4, 0)[head & 3]
+            n = int.from_bytes(data[at : at + wide], "big") if wide else len(data) - at
+            if at + wide + n > len(data):
+                return False
+            body = data[at + wide : at + wide + n]
+            at += wide + n
+        if not tags and (tag not in (5, 7) or not body or not 2 <= body[0] <= 6):
+            return False
+        tags.append(tag)
+    return bool(tags)
+
+
+def is_armoured_key(label: bytes, inner: bytes) -> bool:
+    """A body in armour: header lines first, then base64, for PGP with a checksum line."""
+    lines = [x.strip() for x in re.sub(rb"(?:\\r)?\\n", b"\n", inner).split(b"\n")]
+    while lines and not lines[0]:
+        lines.pop(0)
+    while lines and not lines[-1]:
+        lines.pop()
+    headers = []
+    if lines and _HEADER.match(lines[0]):  # up to a blank line, or without one as long as lines are headers
+        blank = lines.index(b"") if b"" in lines else next((i for i, x in enumerate(lines) if not _HEADER.match(x)), len(lines))
+        headers, lines = lines[:blank], lines[blank:]
+    if b"PGP" in label and lines and _CHECKSUM.fullmatch(lines[-1]):
+        lines.pop()
+    data = decode64(b"".join(lines))
+    if b"PGP" in label:
+        return is_pgp_key(data)
+    if any(x.startswith(b"Proc-Type:") and b"ENCRYPTED" in x for x in headers):
+        dek = next((m for x in headers if (m := _DEK.match(x))), None)
+        size = len(dek[2]) // 2 if dek else 0  # the start value is as long as a cipher's block, or 8 bytes of salt
+        return size in (8, 16) and len(dek[2]) % 2 == 0 and bool(data) and len(data) >= 24 and len(data) % size == 0
+    return is_der_key(data) or is_ssh_key(data)
+
+
+def wrapped_keys(text: bytes) -> list[tuple[str, int, int]]:
+    """(kind, start, end) in bytes of keys in base64 that go over several lines without armour.
+
+    The lengths in the key tell where it ends; there a line, too, must end its base64.
+    """
+    found: list[tuple[str, int, int]] = []
+    done = 0
+    for m in _WRAPPED.finditer(text):
+        if m.start() < done:
+            continue
+        want, head = None, decode64(m[0][: len(m[0]) // 4 * 4]) or b""
+        if head[:1] == b"\x30":
+            wide = head[1] & 0x7F if head[1] & 0x80 else 0
+            inner = 2 + wide
+            if head[1] == 0x80 or wide > 4 or head[inner : inner + 1] not in (b"\x02", b"\x06", b"\x30"):
+                continue
+            want = inner + (int.from_bytes(head[2:inner], "big") if wide else head[1])
+        elif not (head.startswith(b"openssh-k") or re.match(rb"\0\0\0.(?:sk-)?(?:ssh|ecd)", head, re.S)):
+            continue
+        parts, ends, size, at = [m[0]], [], len(m[0]), m.end()
+        while (want is None or size * 3 // 4 < want) and (line := _NEXT_LINE.match(text, at)):
+            parts.append(line[1])
+            size, at = size + len(line[1]), line.end()
+            ends.append((size, at))
+            if line[2]:
+                break
+        if not ends:
+            continue
+        if want is not None:
+            if size * 3 // 4 == want and is_der_key(decode64(b"".join(parts))):
+                found.append(("der", m.start(), at))
+                done = at
+            continue
+        sizes = {n * 3 // 4: end for n, end in ends if n % 4 != 1}
+        data = decode64((b"".join(parts))[: max((n for n, _ in ends if n % 4 != 1), default=0)]) or b""
+        end = max((sizes[n] for n in _ssh_ends(data) if n in sizes), default=None)
+        if end is not None:
+            found.append(("ssh", m.start(), end))
+            done = end
+    return found
+
+
+def _ssh_ends(data: bytes) -> list[int]:
+    """Where an OpenSSH or wire key in front of ``data`` may end: behind its private part, or behind a string."""
+    magic = data.startswith(b"openssh-key-v1\0")
+    at, fields, first, ends = 15 * magic, 0, b"", []
+    left = None
+    while at + 4 <= len(data):
+        n = int.from_bytes(data[at : at + 4], "big")
+        if magic and fields == 3 and left is None:  # the number of keys; as many public parts and one private part follow
+            left, at = n + 1, at + 4
+            continue
+        if n > len(data) - at - 4:
+            break
+        first = first or data[at + 4 : at + 4 + n]
+        at, fields = at + 4 + n, fields + 1
+        if magic:
+            left = None if left is None else left - 1
+            if left == 0:
+                return [at]
+        elif fields >= 2:
+            ends.append(at)
+    return ends if not magic and re.fullmatch(rb"(sk-)?(ssh|ecdsa)-[a-z0-9@.-]+", first) else []
+
+
 def is_token(text: bytes) -> bool:
     """A signed token: the header is a JSON object with an algorithm, the payload a JSON object."""
     header, payload, _ = text.split(b".", 2)
@@ -116,18 +256,20 @@ def find(text: bytes) -> list[tuple[str, int, int]]:
     if b"eyJ" in text:
         found += [("jwt", *m.span()) for m in _JWT.finditer(text) if is_token(m[0])]
     if b"-----BEGIN" in text:
-        found += [("pem", *m.span()) for m in _PEM.finditer(text) if is_der_key(data := decode64(m[2])) or is_ssh_key(data) or b"PGP" in m[1]]
-    taken = [(a, b) for kind, a, b in found if kind in ("jwt", "pem")]
-    for pattern, decoded in ((_BASE64, decode64), (_HEX_KEY, lambda x: bytes.fromhex(x[: len(x) // 2 * 2].decode()))):
-        for m in pattern.finditer(text):
-            if pattern is _BASE64 and not any(48 <= c <= 57 for c in m[0]) and not any(65 <= c <= 90 for c in m[0][1:]):
-                continue  # a plain long word
-            if not any(a <= m.start() and m.end() <= b for a, b in taken):
-                data = decoded(m[0])
-                if is_der_key(data):
-                    found.append(("der", *m.span()))
-                elif is_ssh_key(data):
-                    found.append(("ssh", *m.span()))
+        found += [("pem", *m.span()) for m in _PEM.finditer(text) if is_armoured_key(m[1], m[2])]
+    inside = [(a, b) for kind, a, b in found if kind in ("jwt", "pem")]
+    found += [x for x in wrapped_keys(text) if not any(a <= x[1] and x[2] <= b for a, b in inside)]
+    taken = [(a, b) for kind, a, b in found if kind in ("jwt", "pem", "der", "ssh")]
+    candidates = [(*m.span(), decode64) for m in _BASE64.finditer(text) if any(48 <= c <= 57 for c in m[0]) or any(65 <= c <= 90 for c in m[0][1:])]  # not plain long words
+    for m in _HEX_RUN.finditer(text):
+        candidates += [(*span, _unhex) for span in sorted({m.span(), *(k.span() for k in _HEX_KEY.finditer(text, *m.span()))})]
+    for start, end, decoded in candidates:
+        if not any(a <= start and end <= b for a, b in taken):
+            data = decoded(text[start:end])
+            if is_der_key(data):
+                found.append(("der", start, end))
+            elif is_ssh_key(data):
+                found.append(("ssh", start, end))
     if found and not text.isascii():
         found = [(k, len(text[:a].decode("utf-8", "replace")), len(text[:b].decode("utf-8", "replace"))) for k, a, b in found]
     return sorted(set(found), key=lambda s: (s[1], KINDS.index(s[0]), s[2]))

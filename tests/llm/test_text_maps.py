@@ -150,6 +150,28 @@ def test_secrets(spark):
     assert not any(plain_base_secrets(r.text or "") for r in clean.values()) and secrets.scan_secrets(awkward.empty(spark)).count() == 0
 
 
+def test_secrets_in_armour_with_headers_over_lines_and_in_hex(spark):
+    lines = lambda data, n=64, gap="\n": gap.join(x[i : i + n] for x in [base64.b64encode(data).decode()] for i in range(0, len(x), n))
+    long = der(b"\x02\x01\x00", *[b"\x02\x20" + bytes(range(1, 33)) for _ in range(9)])
+    pgp = bytes([0x95, 0, 60, 4, *range(59)]) + b"\xb4\x04name" + b"\xc2\x03sig"
+    rsa = b"".join(len(x).to_bytes(4, "big") + x for x in (b"ssh-rsa", b"\1\0\1", bytes(range(1, 130))))
+    wire = lambda *xs: b"".join(len(x).to_bytes(4, "big") + x for x in xs)
+    openssh = b"openssh-key-v1\0" + wire(b"none", b"none", b"") + b"\0\0\0\1" + wire(SSH, bytes(range(200)))
+    legacy = lambda data, head: f"-----BEGIN RSA PRIVATE KEY-----\n{head}\n\n{lines(data)}\n-----END RSA PRIVATE KEY-----"
+    block = lambda data: f"-----BEGIN PGP PRIVATE KEY BLOCK-----\nVersion: Some 1.0\nComment: a-b, c\n\n{lines(data)}\n=abcd\n-----END PGP PRIVATE KEY BLOCK-----"
+    dek = "Proc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,00112233445566778899AABBCCDDEEFF"
+    whole = {  # text: kind; the secret is what stands between the bars
+        f"a |{legacy(bytes(range(160)), dek)}| b": "pem", f"a |{legacy(long, 'X-Note: plain, key')}| b": "pem", f"a |{legacy(long, 'X-Note: y').replace(chr(10) * 2, chr(10))}| b": "pem", f"é |{block(pgp)}| b": "pem",
+        f"key: |{lines(long)}| \nword": "der", f"Key\n  |{lines(long, 76, chr(10) + '  ')}|\n\nnext": "der", f"x |{lines(rsa, 70)}|\n": "ssh", f"x |{lines(openssh, 70)}|\nnot base64.": "ssh",
+        f"h |{SSH.hex()}| h": "ssh", f"h |{openssh.hex().upper()}| h": "ssh", f"h |{rsa.hex().upper()}| h": "ssh",
+    }
+    none = [legacy(bytes(range(150)), dek), block(pgp[:-1]), block(bytes(range(90))), lines(long[:-9]), legacy(long[:-3], "X-Note: y"), "MAABCDEFGHIJKLMN\nword\n" * 9, "a" * 64 + "\n" + "b" * 64]
+    texts = [*(t.replace("|", "") for t in whole), *none]
+    found = {r.doc_id: [(s.kind, s.start, s.end) for s in r.spans if s.kind not in secrets.KINDS[:3]] for r in secrets.scan_secrets(awkward.frame(spark, texts)).collect()}
+    want = [[(k, t.index("|"), t.rindex("|") - 1)] for t, k in whole.items()] + [[]] * len(none)
+    assert [found[i] for i in range(len(texts))] == want
+
+
 @pytest.fixture(scope="module")
 def model():
     return pieces.coder(pieces.PIECES).model
