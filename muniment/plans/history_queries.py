@@ -131,9 +131,8 @@ def resolve_by_digest(spark: SparkSession, d: str) -> DataFrame:
     ids = documents(spark, d).select(
         F.md5("text").alias("internal_id"), "doc_id", F.format_string("store/%012d", "doc_id").alias("path")
     )
-    return resolve.resolve_content(
-        ids.select("internal_id", "doc_id"), ids.select("internal_id", "path"), salt_on=["doc_id"]
-    ).select("doc_id", "internal_id", "n_files", "path", "resolution")
+    found = resolve.resolve_content(ids.select("internal_id", "doc_id"), ids.select("internal_id", "path"))
+    return found.select("doc_id", "internal_id", "n_files", "path", "resolution")
 
 
 def filter_pids(spark: SparkSession, d: str) -> DataFrame:
