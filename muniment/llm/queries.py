@@ -99,9 +99,12 @@ ORACLE: dict[str, str] = {
         SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(body, '')) AS kept_sha256
         FROM d LEFT JOIN kept USING (r)""",
     "op9_url_filters": r"""
-        WITH u AS (
-            SELECT page_id, coalesce(translate(regexp_extract(url, '^(?s:.*?)://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
-                   coalesce(regexp_extract(url, '^(?s:.*?)://[^/?#]*(/[^?#]*)', 1), '') AS path, row_number() OVER () AS n FROM pages),
+        WITH c AS (
+            SELECT page_id, row_number() OVER () AS n,
+                   CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
+        e AS (SELECT page_id, n, split_part(split_part(rest, '#', 1), '?', 1) AS rest FROM c),
+        u AS (SELECT page_id, n, translate(split_part(rest, '/', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+                     CASE WHEN instr(rest, '/') > 0 THEN substr(rest, instr(rest, '/')) ELSE '' END AS path FROM e),
         r(rhost, rpath, action) AS (VALUES ('org', '/', 'allow'), ('example.org', '/es/', 'block'), ('example.org', '/en/1', 'block'), ('com', '/fr/', 'allow'), ('com', '/de/', 'block')),
         m AS (SELECT n, arg_max(rhost || rpath, length(rhost || rpath)) AS rule, arg_max(action, length(rhost || rpath)) AS action
               FROM u JOIN r ON (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath) GROUP BY n)

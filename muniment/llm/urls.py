@@ -29,14 +29,21 @@ def rule_table(spark: SparkSession, rules: list[tuple[str, str]]) -> DataFrame:
     return spark.createDataFrame(rows, RULE_SCHEMA)
 
 
+def rest_of(url: Column) -> Column:
+    """What follows the first ``://``; empty without one. Host and path are both read from here."""
+    at = F.instr(url, "://")
+    return F.coalesce(F.when(at > 0, F.substring(url, at + 3, F.length(url))), F.lit(""))
+
+
 def host_of(url: Column) -> Column:
     """What lies between the first ``://`` and the next ``/``, ``?``, ``#`` or the end, A-Z in lower case; else empty."""
     letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-    return F.translate(F.coalesce(F.regexp_extract(url, r"^(?s:.*?)://([^/?#]*)", 1), F.lit("")), letters, letters.lower())
+    return F.translate(F.regexp_extract(rest_of(url), r"^([^/?#]*)", 1), letters, letters.lower())
 
 
 def path_of(url: Column) -> Column:
-    return F.coalesce(F.regexp_extract(url, r"^(?s:.*?)://[^/?#]*(/[^?#]*)", 1), F.lit(""))
+    """From the slash behind the host up to ``?``, ``#`` or the end; empty if the host ends otherwise."""
+    return F.regexp_extract(rest_of(url), r"^[^/?#]*(/[^?#]*)", 1)
 
 
 def suffixes(host: Column) -> Column:

@@ -108,8 +108,10 @@ def test_empty_and_extra_columns(spark):
 
 
 def plain_verdict(url, rules):
-    m = re.match(r"(?s).*?://([^/?#]*)([^?#]*)", url or "")
-    host, path = ("".join(c.lower() if c.isascii() else c for c in m[1]), m[2]) if m else ("", "")
+    _, found, rest = (url or "").partition("://")
+    rest = rest.split("?")[0].split("#")[0]
+    host, slash, path = rest.partition("/")
+    host, path = "".join(c.lower() if c.isascii() else c for c in host), slash + path
     fits = [(len(r), len(r.split("/")[0]), a, r) for a, r in rules if (h := r[: r.index("/")]) and (host == h or host.endswith("." + h)) and path.startswith(r[r.index("/") :])]
     return host, path, max(fits)[3] if fits else None, max(fits)[2] if fits else "allow"
 
@@ -118,7 +120,8 @@ def test_url_verdicts(spark):
     rules = [*queries.URL_RULES, ("block", "a.b.example.com/"), ("allow", "com/x/yy"), ("block", "com/x/yy"), ("block", "b.com/xy"), ("allow", "localhost:8080/a?")]
     hosts = ["example.org", "www.Example.ORG", "org", "xorg", "notexample.org", "a.b.example.com", "c.a.b.example.com", "com", "b.com", "", ".com", "ÄÖ.com", "localhost:8080", "a..com"]
     paths = ["", "/", "/es/", "/es", "/en/1", "/en/123", "/en/2?x=/en/1", "/fr/x#y", "/de/", "/x/yy", "/xyz", "//", "/a?b"]
-    given = [f"http://{h}{p}" for h in hosts for p in paths] + [None, "", "no scheme", "://", "a://b://org/", "http://org", "x\ny://org/z"] * 2
+    given = [f"http://{h}{p}" for h in hosts for p in paths] + [None, "", "no scheme", "://", "a://b://org/", "http://org", "x\ny://org/z", "http://a.com#http://b.com/de/", "http://example.org?u=http://fr.com/de/x",
+                                                                     "http://a.com/de/?u=http://b.org/fr/", "http://a.com://b.com/de/"] * 2
     pages = spark.createDataFrame([(i, u, "x", "x", "x") for i, u in enumerate(given)], "page_id long, url string, host string, path string, suffix string")
     got = {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in urls.url_verdicts(pages, urls.rule_table(spark, rules)).collect()}
     assert got == {i: plain_verdict(u, rules) for i, u in enumerate(given)}
