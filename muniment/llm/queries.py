@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from muniment.llm import decontaminate, html, pieces, quality, repeats, secrets, simhash, suffixes, urls, wordpiece
+from muniment.llm import decontaminate, html, packing, pieces, quality, repeats, runs, secrets, simhash, suffixes, urls, wordpiece
 from muniment.llm.common import read
 
 
@@ -59,6 +59,16 @@ def op10_token_counts(spark, sf_dir):
     return wordpiece.token_counts(read(spark, sf_dir, "documents"))
 
 
+def op12_packing(spark, sf_dir):
+    return packing.pack(read(spark, sf_dir, "documents"))
+
+
+def op13_periodic_runs(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents")
+    planted = docs.select("doc_id", runs.repeat_tails(docs.text, docs.doc_id).alias("text"))
+    return runs.periodic_runs(planted).drop("runs")
+
+
 QUERIES = {
     "op1_html_extraction": op1_html_extraction,
     "op2_suffix_array": op2_suffix_array,
@@ -70,6 +80,8 @@ QUERIES = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_url_filters": op9_url_filters,
     "op10_token_counts": op10_token_counts,
+    "op12_packing": op12_packing,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
