@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from muniment.llm import decontaminate, html, packing, pieces, quality, repeats, runs, secrets, simhash, suffixes, urls, wordpiece
+from muniment.llm import decontaminate, html, negatives, packing, pieces, quality, repeats, runs, secrets, simhash, suffixes, urls, wordpiece
 from muniment.llm.common import read
 
 
@@ -59,6 +59,12 @@ def op10_token_counts(spark, sf_dir):
     return wordpiece.token_counts(read(spark, sf_dir, "documents"))
 
 
+def op11_hard_negatives(spark, sf_dir):
+    vectors = read(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine_negatives(vectors, label=label, anchors=F.col("vec_id") % 100 == 0)
+
+
 def op12_packing(spark, sf_dir):
     return packing.pack(read(spark, sf_dir, "documents"))
 
@@ -80,6 +86,7 @@ QUERIES = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_url_filters": op9_url_filters,
     "op10_token_counts": op10_token_counts,
+    "op11_hard_negatives": op11_hard_negatives,
     "op12_packing": op12_packing,
     "op13_periodic_runs": op13_periodic_runs,
 }
@@ -121,4 +128,14 @@ ORACLE: dict[str, str] = {
         m AS (SELECT n, arg_max(rhost || rpath, length(rhost || rpath)) AS rule, arg_max(action, length(rhost || rpath)) AS action
               FROM u JOIN r ON (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath) GROUP BY n)
         SELECT page_id, host, path, rule, coalesce(action, 'allow') AS verdict FROM u LEFT JOIN m USING (n)""",
+    "op11_hard_negatives": """
+        WITH r AS (SELECT row_number() OVER () AS r, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+                   FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        s AS (SELECT a.r AS a, a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, CAST(list_dot_product(a.v, b.v) AS BIGINT) AS score
+              FROM r a JOIN r b ON a.r <> b.r WHERE a.vec_id % 100 = 0),
+        p AS (SELECT *, row_number() OVER (PARTITION BY a ORDER BY score DESC, vec_id) AS nth FROM s WHERE same),
+        n AS (SELECT p.a, p.anchor_id, p.vec_id AS positive_id, nth, p.score AS positive_score, s.vec_id AS negative_id, s.score AS negative_score,
+                     row_number() OVER (PARTITION BY p.a, nth ORDER BY s.score DESC, s.vec_id) AS rank
+              FROM p JOIN s ON p.a = s.a AND NOT s.same AND 80 * p.score <= 100 * s.score AND s.score <= p.score WHERE nth <= 5)
+        SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 5""",
 }

@@ -24,7 +24,7 @@ def test_query_equals_sql(spark, name):
 
 def test_all_are_registered():
     names = entry.queries()
-    assert {int(m[1]) for n in names if (m := re.match(r"op(\d+)_", n))} == set(range(1, 11)) and "pipeline" in names
+    assert {int(m[1]) for n in names if (m := re.match(r"op(\d+)_", n))} == set(range(1, 14)) and "pipeline" in names
 
 
 def test_pipeline_stage_by_stage(spark):
