@@ -1,57 +1,25 @@
 """Nested records to tables.
 
-The verbatim inline bodies are cut out of the raw text first and replaced by their ordinal, so the
-structured parse sees a small regular document and every inline version finds its own text by index.
-All of it is one narrow, JVM-side projection per record: no join, no window, no Python.
+Texts are read by a pull reader in Arrow batches (``functions/recordreader.py``); what follows are narrow projections of its rows: no join, no window.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from muniment import model as M
+from muniment.functions import recordreader
 from muniment.functions import values as V
 
-# How an inline body is marked in a record.
-INLINE_BODY = r"(?s)<foxml:xmlContent>(.*?)</foxml:xmlContent>"
-INLINE_SPAN = r"(?s)<foxml:xmlContent>.*?</foxml:xmlContent>"
-
-RECORD_SCHEMA = """
-_PID STRING, _FEDORA_URI STRING,
-objectProperties STRUCT<property: ARRAY<STRUCT<_NAME: STRING, _VALUE: STRING>>>,
-datastream ARRAY<STRUCT<
-  _ID: STRING, _STATE: STRING, _CONTROL_GROUP: STRING, _FEDORA_URI: STRING, _VERSIONABLE: STRING,
-  datastreamVersion: ARRAY<STRUCT<
-    _ID: STRING, _LABEL: STRING, _CREATED: STRING, _MIMETYPE: STRING, _ALT_IDS: STRING,
-    _FORMAT_URI: STRING, _SIZE: STRING,
-    contentDigest: STRUCT<_TYPE: STRING, _DIGEST: STRING>,
-    contentLocation: STRUCT<_TYPE: STRING, _REF: STRING>,
-    binaryContent: STRING, xmlContent: STRING>>>>,
-_corrupt_record STRING
-"""
-_XML_OPTIONS = {
-    "ignoreNamespace": "true",
-    "mode": "PERMISSIVE",
-    "columnNameOfCorruptRecord": "_corrupt_record",
-    "ignoreSurroundingSpaces": "false",
-    "attributePrefix": "_",
-}
-
-# The elements and attributes a record may use after its properties.
-ELEMENTS = (
-    "binaryContent", "contentDigest", "contentLocation", "datastream", "datastreamVersion", "xmlContent",
-)
-ATTRIBUTES = (
-    "ALT_IDS", "CONTROL_GROUP", "CREATED", "DIGEST", "FEDORA_URI", "FORMAT_URI", "ID", "LABEL", "MIMETYPE",
-    "NAME", "PID", "REF", "SIZE", "STATE", "TYPE", "VALUE", "VERSION", "VERSIONABLE",
-)
-# A known name is matched but not captured, so the scan stays in step with the text and returns odd names only.
-ODD_ELEMENT = r"<(?:[\w.-]+:)?(?:(?:" + "|".join(ELEMENTS) + r")(?=[\s/>])|([\w.-]+))"
-ODD_ATTRIBUTE = (
-    r"(?s)\s(?:xmlns(?::[\w.-]+)?|(?:[\w.-]+:)?(?:" + "|".join((*ATTRIBUTES, "schemaLocation", "version", "encoding"))
-    + r""")|([\w.:-]+))\s*=\s*(?:"[^"]*"|'[^']*')"""
-)
+#: Bytes of records whose rows are handed over at once.
+PARSED_BYTES = 16 << 20
 
 
 def record_pid(xml: Column) -> Column:
@@ -62,101 +30,30 @@ def record_pid(xml: Column) -> Column:
     return F.when(pid != "", plain)
 
 
-def _version(v: Column, bodies: Column) -> Column:
-    ordinal = v["xmlContent"].try_cast("int")
-    return F.struct(
-        v["_ID"].alias("version_id"),
-        v["_LABEL"].alias("label"),
-        v["_CREATED"].alias("created"),
-        v["_MIMETYPE"].alias("mime_type"),
-        v["_ALT_IDS"].alias("alt_ids"),
-        v["_FORMAT_URI"].alias("format_uri"),
-        v["_SIZE"].alias("size_text"),
-        v["contentDigest"]["_TYPE"].alias("digest_type"),
-        v["contentDigest"]["_DIGEST"].alias("digest_value"),
-        v["contentLocation"]["_TYPE"].alias("location_type"),
-        v["contentLocation"]["_REF"].alias("location_ref"),
-        v["binaryContent"].alias("base64"),
-        F.try_element_at(bodies, ordinal + 1).alias("inline_xml"),
-    )
-
-
 def parse_records(raw: DataFrame) -> DataFrame:
     """Raw records with their structure nested in columns; ``problem`` says why a record has none.
 
-    Columns of ``raw`` other than the text pass through. The whole text is checked for well-formedness
-    apart from the structured parse, because the latter does not see the inline bodies.
+    Columns of ``raw`` other than the text pass through. One pass of the pull reader over each text tells its rows, its verbatim inline bodies, whether it is well-formed and whether
+    every element stands in its place. Map only.
     """
-    blanked = F.array_join(
-        F.transform(
-            "_outer",
-            lambda part, i: F.when(
-                i < F.size("_bodies"),
-                F.concat(part, F.lit("<foxml:xmlContent>"), i.cast("string"), F.lit("</foxml:xmlContent>")),
-            ).otherwise(part),
-        ),
-        "",
-    )
-    staged = (
-        raw.withColumn("_bodies", F.regexp_extract_all("xml", F.lit(INLINE_BODY), F.lit(1)))
-        .withColumn("_outer", F.split("xml", INLINE_SPAN, -1))
-        .withColumn("blanked", blanked)
-        .withColumn("_whole", F.from_xml("xml", "_PID STRING, _corrupt_record STRING", _XML_OPTIONS))
-        .withColumn("_rec", F.from_xml("blanked", RECORD_SCHEMA, _XML_OPTIONS))
-    )
-    broken = (
-        F.col("_whole").isNull()
-        | F.col("_whole._corrupt_record").isNotNull()
-        | F.col("_rec").isNull()
-        | F.col("_rec._corrupt_record").isNotNull()
-    )
-    # Each step below is a projection of its own, so an expensive text is made once and read often.
-    staged = (
-        staged.withColumn("_broken", broken)
-        .withColumn("_body", _after_properties(F.col("blanked")))
-        .withColumn("_odd", _unknown(F.col("_body"), ODD_ELEMENT))
-        .withColumn("_attributes", _unknown(F.col("blanked"), ODD_ATTRIBUTE))
-    )
-    structure = (
-        F.when(F.size("_odd") > 0, F.concat(F.lit("element not known here: "), F.array_join("_odd", ",")))
-        .when(F.col("_body").contains("<!") | F.col("_body").contains("<?"), "comment or instruction in the record")
-        .when(F.col("_body").rlike(r"(?s)(^|>)[^<]*[^<\s][^<]*<"), "text outside of elements")
-    )
-    whole = ~F.col("_broken")
-    datastreams = F.transform(
-        F.when(whole, F.col("_rec.datastream")),
-        lambda d: F.struct(
-            d["_ID"].alias("ds_id"),
-            d["_STATE"].alias("state"),
-            d["_CONTROL_GROUP"].alias("control_group"),
-            d["_FEDORA_URI"].alias("fedora_uri"),
-            F.coalesce(F.lower(d["_VERSIONABLE"]) == "true", F.lit(False)).alias("versionable"),
-            F.transform(
-                F.coalesce(d["datastreamVersion"], F.expr("array()")), lambda v: _version(v, F.col("_bodies"))
-            ).alias("versions"),
-        ),
-    )
-    properties = F.transform(
-        F.when(whole, F.col("_rec.objectProperties.property")),
-        lambda p: F.struct(p["_NAME"].alias("name"), p["_VALUE"].alias("value")),
-    )
-    return staged.select(
-        *[c for c in raw.columns if c not in ("xml", "pid", "text_problem")],
-        F.coalesce(F.col("_rec._PID"), record_pid(F.col("xml"))).alias("pid"),
-        F.col("_rec._FEDORA_URI").alias("fedora_uri"),
-        F.coalesce(properties, F.expr("array()")).alias("properties"),
-        F.coalesce(datastreams, F.expr("array()")).alias("datastreams"),
-        F.size("_bodies").alias("n_inline"),
-        # Which digests stored content is checked by: a few words per record, so that finding them reads no bodies.
-        F.coalesce(F.array_distinct(F.flatten(F.transform(
-            datastreams, lambda d: F.transform(F.filter(d["versions"], lambda v: v["location_type"] == "INTERNAL_ID"), lambda v: v["digest_type"])
-        ))), F.expr("cast(array() as array<string>)")).alias("stored_digest_types"),
-        (F.when(F.col("text_problem").isNotNull(), F.col("text_problem")) if "text_problem" in raw.columns else F).when(F.col("_broken"), "malformed record").when(F.col("_rec._PID").isNull(), "record without PID").alias("problem"),
-        F.when(whole, structure).alias("structure_problem"),
-        F.when(
-            whole, F.sort_array(F.array_distinct(F.transform("_attributes", lambda n: F.substring_index(n, ":", -1))))
-        ).alias("unexpected_attributes"),
-    )
+    keep = [c for c in raw.columns if c not in ("xml", "pid", "text_problem")]
+    told = "text_problem" in raw.columns
+    inner = raw.select("xml", (F.col("text_problem") if told else F.lit(None).cast("string")).alias("_problem"), *[F.col(f"`{c}`").alias(f"_k{i}") for i, c in enumerate(keep)])
+    schema = T.StructType([*(T.StructField(c, raw.schema[c].dataType) for c in keep), *T.StructType.fromDDL(recordreader.SCHEMA).fields])
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
+        for batch in batches:
+            # A few texts at once: each is held by its row only.
+            sizes = pc.fill_null(pc.binary_length(batch.column(0)), 0).to_numpy(zero_copy_only=False)
+            part = np.cumsum(sizes, dtype=np.int64) // PARSED_BYTES
+            cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
+            for first, last in zip(cuts, cuts[1:]):
+                some, rows = batch.slice(first, last - first), recordreader.Rows()
+                for data, problem in zip(some.column(0).cast(pa.large_binary()), some.column(1).to_pylist()):
+                    recordreader.read_record(rows, data.as_py(), problem)
+                yield pa.RecordBatch.from_arrays([*some.columns[2:], *rows.arrays()], names=schema.names)
+
+    return inner.mapInArrow(run, schema)
 
 
 def readable(parsed: DataFrame) -> DataFrame:
@@ -170,21 +67,6 @@ def unreadable(parsed: DataFrame) -> DataFrame:
     )
 
 
-def _after_properties(blanked: Column) -> Column:
-    """What follows the properties, with the text of content elements taken out. Plain string work."""
-    mark = "objectProperties>"
-    upto = F.length(F.substring_index(blanked, mark, 2))
-    rest = F.when(
-        blanked.contains("objectProperties/>"), F.substring_index(blanked, "objectProperties/>", -1)
-    ).otherwise(F.substring(blanked, upto + F.lit(len(mark) + 1), F.length(blanked)))
-    return F.regexp_replace(rest, r"(?s)(<(?:[\w.-]+:)?(?:binaryContent|xmlContent)\b[^>]*>)[^<]*(</)", "$1$2")
-
-
-def _unknown(text: Column, pattern: str) -> Column:
-    """Distinct names a pattern captures; it matches known names too, without capturing them."""
-    return F.array_remove(F.array_distinct(F.regexp_extract_all(text, F.lit(pattern), F.lit(1))), "")
-
-
 def _unnest(df: DataFrame, keep: list[str], array: Column, pos: str, item: str) -> DataFrame:
     """One row per array element. The outer form, because an inner explode makes Spark test the array's
     size in a filter below it, which would run the whole parse a second time."""

@@ -109,6 +109,24 @@ def structure_report(spark: SparkSession, d: str) -> DataFrame:
     return shred.structure_report(stage(parsed.drop("datastreams", "properties"), "parsed"))
 
 
+def misplaced_elements(spark: SparkSession, d: str) -> DataFrame:
+    """Known elements where they may not stand, and a comment in a version, by order key; the other records are sound."""
+    raw = order_records(spark, d)
+    form, behind = F.col("o_orderkey") % 8, lambda tag, more: F.regexp_replace("xml", f'(<foxml:{tag}="LINK[^>]*>)', f"$1{more}")
+    close = F.lit("</foxml:digitalObject>")
+    xml = (
+        F.when(form == 0, behind("datastream ID", '<foxml:contentDigest TYPE="MD5" DIGEST="x"/>'))
+        .when(form == 1, behind("datastreamVersion ID", '<foxml:datastream ID="IN"/>'))
+        .when(form == 2, F.replace("xml", close, F.concat(F.lit('<foxml:datastreamVersion ID="X.0"/>'), close)))
+        .when(form == 3, behind("datastream ID", '<foxml:datastream ID="IN"/>'))
+        .when(form == 4, F.regexp_replace("xml", "(?s)<foxml:objectProperties>.*</foxml:objectProperties>", ""))
+        .when(form == 5, behind("datastreamVersion ID", "<!-- c -->"))
+        .when(form == 6, F.replace("xml", F.lit("<note/>"), F.lit("<note><!-- c --><foxml:datastream/></note>")))
+        .otherwise(F.col("xml"))
+    )
+    return shred.structure_report(shred.parse_records(raw.select("path", xml.alias("xml")))).select("pid", "structure_problem")
+
+
 def version_problems(spark: SparkSession, d: str) -> DataFrame:
     raw = order_records(spark, d)
     xml = (
@@ -358,7 +376,7 @@ def detect_mime(spark: SparkSession, d: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        shred_objects, shred_properties, shred_datastreams, shred_versions, record_ids, unreadable_records, structure_report,
+        shred_objects, shred_properties, shred_datastreams, shred_versions, record_ids, unreadable_records, structure_report, misplaced_elements,
         version_problems, base64_roundtrip, inline_bodies, extract_dc, dc_triples, rdf_triples, rels_ext_asof, split_rels_int,
         download_names, validate_inline, validate_content, verify_manifest, partition_rejects, audit_events, internal_ids,
         host_rewrite, self_urls, detect_mime,
@@ -435,6 +453,11 @@ FROM orders WHERE o_orderstatus IN ('P', 'O')""",
 SELECT {_PID} AS pid, 'store/' || o_orderkey AS path,
        CASE o_orderstatus WHEN 'P' THEN 'element not known here: extra' WHEN 'O' THEN 'text outside of elements' END AS structure_problem,
        CASE o_orderstatus WHEN 'P' THEN '' WHEN 'O' THEN '' ELSE 'ODD' END AS unexpected_attributes FROM orders""",
+    "misplaced_elements": f"""
+SELECT {_PID} AS pid, CASE o_orderkey % 8 WHEN 0 THEN 'element out of place: contentDigest in datastream' WHEN 1 THEN 'element out of place: datastream in datastreamVersion'
+  WHEN 2 THEN 'element out of place: datastreamVersion in digitalObject' WHEN 3 THEN 'element out of place: datastream in datastream'
+  WHEN 4 THEN 'element in the place of the properties: datastream' ELSE 'comment or instruction in the record' END AS structure_problem
+FROM orders WHERE o_orderkey % 8 < 6""",
     "version_problems": f"""
 SELECT {_PID} AS pid, CASE o_orderstatus WHEN 'P' THEN 'NOTE' WHEN 'O' THEN 'LINK' ELSE 'PRICE' END AS ds_id,
        CASE o_orderstatus WHEN 'P' THEN 'NOTE.1' WHEN 'O' THEN 'LINK.0' ELSE 'PRICE.0' END AS version_id,

@@ -12,7 +12,7 @@ from muniment.operators import shred, triples
 from muniment.plans import render as R
 from muniment.plans.tables import table
 from muniment.session import fresh_path
-from muniment.sources import content, records, sinks
+from muniment.sources import content, records, sinks, tree
 
 T1 = "2020-01-01T00:00:00.000Z"
 
@@ -38,27 +38,47 @@ def scan_records(spark: SparkSession, d: str) -> DataFrame:
     return shred.shred_versions(parsed).select("pid", "ds_id", "version_id", "inline_xml")
 
 
+def _write_files(rows: DataFrame, name: str) -> str:
+    """``rows(file, value)`` as a tree with one file per row, written by tasks; a file that is written again is the same."""
+    root = fresh_path(rows.sparkSession, name)
+
+    def run(batches):
+        from pyarrow import fs
+
+        for batch in batches:
+            filesystem, base = tree.opened(root)
+            for file, value in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                path = f"{base}/{file}"
+                if filesystem.get_file_info(path.rpartition("/")[0]).type != fs.FileType.Directory:
+                    filesystem.create_dir(path.rpartition("/")[0], recursive=True)
+                with filesystem.open_output_stream(path) as out:
+                    out.write((value or "").encode())
+            yield batch
+
+    rows.select("file", "value").mapInArrow(run, "file STRING, value STRING").count()
+    return root
+
+
 def scan_content(spark: SparkSession, d: str) -> DataFrame:
-    """Content files hashed in place: small ones in the scan, those over 20 bytes in chunks."""
-    rows = table(spark, d, "part").select(F.col("p_brand").alias("id"), "p_partkey", "p_name")
-    per_brand = rows.groupBy("id").agg(F.min(F.struct("p_partkey", "p_name")).alias("_m")).select("id", F.col("_m.p_name").alias("value"))
-    suppliers = table(spark, d, "supplier").select(F.col("s_suppkey").cast("string").alias("id"), F.col("s_name").alias("value"))
-    root = _one_file_per_row(per_brand.unionByName(suppliers), "content-files")
-    found = content.digest_content(spark, root, ["md5", "sha256"], whole_file_bytes=15)
-    key = F.try_url_decode(F.regexp_extract("path", "/id=([^/]*)/", 1))
-    return found.select(key.alias("id"), "length", "md5", "sha256")
+    """A content file for every part and supplier, in plain and hidden folders, hashed in place; every tenth part's file is empty."""
+    parts = table(spark, d, "part").select(
+        F.concat_ws("/", F.col("p_brand"), F.when(F.col("p_partkey") % 3 == 0, "_deep"), F.concat(F.lit("part%3A"), F.col("p_partkey").cast("string"))).alias("file"),
+        F.when(F.col("p_partkey") % 10 == 0, "").otherwise(F.col("p_name")).alias("value"))
+    suppliers = table(spark, d, "supplier").select(F.concat(F.lit(".suppliers/_s"), F.col("s_suppkey").cast("string")).alias("file"), F.col("s_name").alias("value"))
+    root = _write_files(parts.unionByName(suppliers), "content-files")
+    found = content.digest_content(spark, root, ["md5", "sha256"], chunk_bytes=15)
+    listed = content.scan_content(spark, root, ids.file_name(F.col("path"))).select("path", "internal_id")
+    return found.join(listed, "path").select("internal_id", "length", F.decode("head", "UTF-8").alias("head"), "md5", "sha256")
 
 
 def scan_all_names(spark: SparkSession, d: str) -> DataFrame:
-    """Files in plain folders, and in folders whose names begin with ``_`` or ``.``, all read back."""
-    root = fresh_path(spark, "hidden-files")
-    rows = table(spark, d, "supplier").select(F.col("s_suppkey"), F.concat_ws(":", F.col("s_suppkey").cast("string"), "s_name").alias("value"))
-    folders = ("plain", "_under/plain", ".dot/_under")
-    for i, folder in enumerate(folders):
-        rows.where(F.col("s_suppkey") % len(folders) == i).select("value").write.text(f"{root}/{folder}")
-    found = records.scan_records(spark, root).select(F.regexp_extract("path", rf"{root.rsplit('/')[-1]}/(.*)/[^/]*$", 1).alias("folder"), "xml")
-    line = F.explode(F.split(F.regexp_replace("xml", "\n$", ""), "\n")).alias("line")
-    return found.select("folder", line)
+    """Files in plain folders, and in folders whose names begin with ``_`` or ``.``, all read back; every seventh is empty."""
+    key = F.col("s_suppkey")
+    folder = F.when(key % 3 == 0, "plain").when(key % 3 == 1, "_under/plain").otherwise(".dot/_under")
+    value = F.when(key % 7 == 0, "").otherwise(F.concat_ws(":", key.cast("string"), "s_name"))
+    root = _write_files(table(spark, d, "supplier").select(F.concat(folder, F.lit("/_"), key.cast("string")).alias("file"), value.alias("value")), "hidden-files")
+    found = records.scan_records(spark, root)
+    return found.select(F.regexp_extract("path", rf"{root.rsplit('/')[-1]}/(.*)/[^/]*$", 1).alias("folder"), ids.file_name(F.col("path")).alias("name"), "xml", "length")
 
 
 def encoded_records(spark: SparkSession, d: str) -> DataFrame:
@@ -130,13 +150,15 @@ ORACLE = {
 SELECT 'supplier:' || s_suppkey AS pid, 'NAME' AS ds_id, 'NAME.0' AS version_id, chr(10) || '<n>' || s_name || '</n>' || chr(10) AS inline_xml
 FROM supplier""",
     "scan_all_names": """
-SELECT CASE s_suppkey % 3 WHEN 0 THEN 'plain' WHEN 1 THEN '_under/plain' ELSE '.dot/_under' END AS folder, s_suppkey || ':' || s_name AS line FROM supplier""",
+SELECT folder, '_' || s_suppkey AS name, xml, CAST(strlen(xml) AS BIGINT) AS length FROM (
+  SELECT s_suppkey, CASE s_suppkey % 3 WHEN 0 THEN 'plain' WHEN 1 THEN '_under/plain' ELSE '.dot/_under' END AS folder,
+         CASE WHEN s_suppkey % 7 = 0 THEN '' ELSE s_suppkey || ':' || s_name END AS xml FROM supplier)""",
     "encoded_records": """
 SELECT 'doc:' || doc_id AS pid, lang, regexp_replace(text, '[^A-Za-z\u00c0-\u00ff ]', '', 'g') AS label FROM documents""",
     "scan_content": """
-WITH c AS (SELECT p_brand AS id, arg_min(p_name, p_partkey) || chr(10) AS body FROM part GROUP BY p_brand
-  UNION ALL SELECT CAST(s_suppkey AS VARCHAR), s_name || chr(10) FROM supplier)
-SELECT id, CAST(length(body) AS BIGINT) AS length, md5(body) AS md5, sha256(body) AS sha256 FROM c""",
+WITH c AS (SELECT 'part%3A' || p_partkey AS id, CASE WHEN p_partkey % 10 = 0 THEN '' ELSE p_name END AS body FROM part
+  UNION ALL SELECT '_s' || s_suppkey, s_name FROM supplier)
+SELECT id AS internal_id, CAST(strlen(body) AS BIGINT) AS length, substr(body, 1, 64) AS head, md5(body) AS md5, sha256(body) AS sha256 FROM c""",
     "pid_list_source": "SELECT DISTINCT 'customer:' || c_custkey AS pid FROM customer",
     "mapping_source": "SELECT 'part=' || p_partkey AS source, p_name AS target FROM part",
     "written_resources": """

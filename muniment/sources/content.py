@@ -12,10 +12,8 @@ from pyspark.sql import functions as F
 from muniment.functions import ids, mime
 from muniment.functions import values as V
 from muniment.session import stage
-from muniment.sources.records import all_files, open_file
+from muniment.sources import tree
 
-# Files beyond this size are read in chunks by a Python task instead of as one binary value.
-WHOLE_FILE_BYTES = 512 * 1024 * 1024
 CHUNK_BYTES = 8 * 1024 * 1024
 
 ID_OF_NAME = {"akubra": ids.internal_id_akubra, "legacy": ids.internal_id_legacy}
@@ -27,7 +25,7 @@ def scan_content(spark: SparkSession, root: str, id_of_name: str | Column) -> Da
     ``id_of_name`` is a profile name or a column expression over ``name``. A name that is not a valid one
     gives a null id (see ``bad_names``).
     """
-    files = all_files(spark, root).select("path", "length", ids.file_name(F.col("path")).alias("name"))
+    files = tree.list_tree(spark, root).select("path", "length", ids.file_name(F.col("path")).alias("name"))
     internal = ID_OF_NAME[id_of_name](F.col("name")) if isinstance(id_of_name, str) else id_of_name
     return files.select(internal.alias("internal_id"), "path", "length")
 
@@ -38,46 +36,25 @@ def bad_names(index: DataFrame) -> DataFrame:
     )
 
 
-def _hash_in_chunks(algorithms: list[str]):
-    def run(batches: Iterable[pd.DataFrame]):
-        for pdf in batches:
-            rows = []
-            for path, length in zip(pdf["path"], pdf["length"]):
-                hashes = [hashlib.new(a) for a in algorithms]
-                head = b""
-                with open_file(path) as stream:
-                    while chunk := stream.read(CHUNK_BYTES):
-                        head = head or bytes(chunk[: mime.MAGIC_BYTES])
-                        for h in hashes:
-                            h.update(chunk)
-                rows.append((path, length, head, *[h.hexdigest() for h in hashes]))
-            yield pd.DataFrame(rows, columns=["path", "length", "head", *algorithms])
-
-    return run
-
-
-def digest_content(
-    spark: SparkSession, root: str, algorithms: list[str], whole_file_bytes: int = WHOLE_FILE_BYTES
-) -> DataFrame:
-    """(path, length, head, one hex column per algorithm): each file read once, in place, its bytes never shuffled.
+def digest_content(spark: SparkSession, root: str, algorithms: list[str], chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
+    """(path, length, head, one hex column per algorithm): each file read once in chunks by a task, whatever its size, its bytes never moved on."""
+    if not tree.reads(tree.qualified(spark, root)):
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+        digests = [V.INDEX_DIGESTS[a](F.col("content")).alias(a) for a in algorithms]
+        return files.select("path", "length", F.substring(F.col("content"), 1, mime.MAGIC_BYTES).alias("head"), *digests)
 
-    The size filter is pushed into the scan, so files too large for one value are not opened by it.
-    """
-    files = all_files(spark, root)
-    small = files.where(F.col("length") <= whole_file_bytes).select(
-        "path", "length",
-        F.substring(F.col("content"), 1, mime.MAGIC_BYTES).alias("head"),
-        *[V.INDEX_DIGESTS[a](F.col("content")).alias(a) for a in algorithms],
-    )
-    large = (
-        files.where(F.col("length") > whole_file_bytes)
-        .select("path", "length")
-        .mapInPandas(
-            _hash_in_chunks(algorithms),
-            "path STRING, length BIGINT, head BINARY, " + ", ".join(f"{a} STRING" for a in algorithms),
-        )
-    )
-    return small.unionByName(large)
+    def digest(path: str, length: int) -> tuple:
+        hashes, head = [hashlib.new(a) for a in algorithms], b""
+        with tree.open_file(path) as stream:
+            while chunk := stream.read(chunk_bytes):
+                if len(head) < mime.MAGIC_BYTES:
+                    head += bytes(chunk[: mime.MAGIC_BYTES - len(head)])
+                for h in hashes:
+                    h.update(chunk)
+        return (head, *[h.hexdigest() for h in hashes])
+
+    added = ", ".join(["head BINARY", *[f"{a} STRING" for a in algorithms]])
+    return tree.map_files(tree.list_tree(spark, root), digest, added, ["path", "length"])
 
 
 def content_index(
@@ -129,7 +106,7 @@ def read_texts(df: DataFrame, path: str, out: str) -> DataFrame:
                 if p is None:
                     texts.append(None)
                     continue
-                with open_file(p) as stream:
+                with tree.open_file(p) as stream:
                     texts.append(_text_of(stream.read()))
             yield pdf.assign(**{out: texts})
 

@@ -2,15 +2,12 @@
 
 from __future__ import annotations
 
-import re
-from collections.abc import Iterable
-
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from muniment.functions import ids
 from muniment.operators.shred import record_pid
+from muniment.sources import tree
 
 VISIBLE = r"^[^\.].*$"
 
@@ -24,62 +21,25 @@ _DECLARED = r"""^\s*<\?xml[^>]*?\sencoding\s*=\s*["']([A-Za-z0-9._-]+)["']"""
 _ENCODING_PART = r"""^(\s*<\?xml[^>]*?)\sencoding\s*=\s*["'][^"']*["']"""
 
 
-def all_files(spark: SparkSession, root: str) -> DataFrame:
-    """Every file below ``root`` that holds bytes, also those that Spark leaves out for a ``_`` or ``.`` at the start of a name.
+#: A larger record is not read into one value: it is a reject, and the job goes on.
+RECORD_BYTES = 1 << 30
 
-    Hidden folders become roots of their own. Hidden files are opened by tasks one at a time; Spark's reader takes all others. The file
-    system's globbing finds both level by level, down to the deepest one, and only they travel to the driver.
-    """
-    files, folders = hidden_entries(spark, root)
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-    seen = reader.load([_literal(p) for p in (root, *folders)])
-    if not files:
-        return seen
-
-    def read(batches: Iterable[pd.DataFrame]):
-        for pdf in batches:
-            for path, length, at in zip(pdf["path"], pdf["length"], pdf["modificationTime"]):
-                with open_file(path) as stream:
-                    yield pd.DataFrame({"path": [path], "modificationTime": [at], "length": [length], "content": [stream.read()]})
-
-    listed = spark.createDataFrame(files, "path STRING, length BIGINT, at BIGINT")
-    listed = listed.select("path", F.timestamp_millis("at").alias("modificationTime"), "length")
-    return seen.unionByName(listed.repartition(spark.sparkContext.defaultParallelism).mapInPandas(read, seen.schema))
-
-
-def _literal(path: str) -> str:
-    """A path with the signs of the glob language escaped."""
-    return re.sub(r"([\\*?\[\]{}])", r"\\\1", path)
-
-
-def hidden_entries(spark: SparkSession, root: str) -> tuple[list[tuple[str, int, int]], list[str]]:
-    """Hidden files (path, length, time) that hold bytes, and hidden folders, at any depth of a tree."""
-    path_of = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    fs = path_of(root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    files, folders = [], []
-    level = _literal(root.rstrip("/"))
-    while True:
-        for hit in fs.globStatus(path_of(level + "/[_.]*")) or []:
-            path = hit.getPath().toString()
-            if hit.isDirectory():
-                if not (hit.getPath().getName().startswith("_") and "=" in hit.getPath().getName()):  # those Spark lists itself
-                    folders.append(path)
-            elif hit.getLen() > 0:
-                files.append((path, hit.getLen(), hit.getModificationTime()))
-        level += "/*"
-        if not (fs.globStatus(path_of(level)) or []):
-            return sorted(files), sorted(folders)
-
-
-def open_file(path: str):
-    """Input stream of a path as Spark lists it: unescaped, so names may hold ``%`` and other URI characters."""
-    from urllib.parse import quote
-
-    from pyarrow import fs
-
-    root, inner = re.match(r"^([A-Za-z][\w+.-]*:(?://[^/]*)?)?(.*)$", path, re.DOTALL).groups()
-    filesystem, name = fs.FileSystem.from_uri((root or "file:") + quote(inner))
-    return filesystem.open_input_stream(name)
+
+def read_files(spark: SparkSession, root: str, name_regex: str = VISIBLE, limit: int = RECORD_BYTES) -> DataFrame:
+    """(path, length, content) of files whose name passes the filter; the content of one larger than ``limit`` is null."""
+    named = ids.file_name(F.col("path")).rlike(name_regex)
+    if not tree.reads(tree.qualified(spark, root)):
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root).where(named)
+        small = files.where(F.col("length") <= limit).select("path", "length", "content")
+        return small.unionByName(files.where(F.col("length") > limit).select("path", "length", F.lit(None).cast("binary").alias("content")))
+
+    def body(path: str, length: int) -> tuple:
+        if length > limit:
+            return (None,)
+        with tree.open_file(path) as stream:
+            return (stream.read(),)
+
+    return tree.map_files(tree.list_tree(spark, root).where(named), body, "content BINARY", ["path", "length"])
 
 
 def decoded(files: DataFrame, content: str = "content") -> DataFrame:
@@ -111,14 +71,16 @@ def decoded(files: DataFrame, content: str = "content") -> DataFrame:
     )
 
 
-def scan_records(spark: SparkSession, root: str, name_regex: str = VISIBLE) -> DataFrame:
+def scan_records(spark: SparkSession, root: str, name_regex: str = VISIBLE, limit: int = RECORD_BYTES) -> DataFrame:
     """(path, xml, length, text_problem, sha256, sha512): one row per file below ``root`` whose name passes the filter.
 
-    The filter looks at names of files only, never at folders. Digests are those of the file's bytes.
+    The filter looks at names of files only, never at folders. Digests are those of the file's bytes. A file without bytes has an empty text; one
+    larger than ``limit`` has none and a problem.
     """
-    files = all_files(spark, root).where(ids.file_name(F.col("path")).rlike(name_regex))
-    return decoded(files).select(
-        "path", "xml", "length", "text_problem", F.sha2("content", 256).alias("sha256"), F.sha2("content", 512).alias("sha512")
+    files = decoded(read_files(spark, root, name_regex, limit))
+    large = F.when(F.col("length") > limit, F.concat(F.lit("record too large to be read as one value: "), F.col("length").cast("string"), F.lit(" bytes")))
+    return files.select(
+        "path", "xml", "length", F.coalesce(large, "text_problem").alias("text_problem"), F.sha2("content", 256).alias("sha256"), F.sha2("content", 512).alias("sha512")
     )
 
 

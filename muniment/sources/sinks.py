@@ -6,6 +6,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from muniment.functions import ids
 from muniment.model import RunOptions
@@ -70,8 +71,14 @@ def published(spark: SparkSession, root: str, name: str) -> DataFrame | None:
     if not _exists(spark, f"{root}/runs"):
         return None
     runs = spark.read.schema("run STRING").option("recursiveFileLookup", "true").parquet(f"{root}/runs")
-    stored = spark.read.format("text" if name in _AS_TEXT else "parquet").load(f"{root}/{name}")
-    return stored.withColumn("run", F.col("run").cast("string")).join(runs, "run", "left_semi")
+    if name in _AS_TEXT:
+        stored = spark.read.schema("value STRING, run STRING").text(f"{root}/{name}")
+    else:
+        # Names of partitions are texts: a run "007" must not be read as a number.
+        found = spark.read.parquet(f"{root}/{name}").schema
+        fields = [T.StructField(f.name, T.StringType()) if f.name in ("run", "bucket") else f for f in found]
+        stored = spark.read.schema(T.StructType(fields)).parquet(f"{root}/{name}")
+    return stored.join(runs, "run", "left_semi")
 
 
 def existing_objects(spark: SparkSession, opts: RunOptions) -> DataFrame | None:
