@@ -1,9 +1,11 @@
 """Secret scans: patterns for common forms, and structural confirmation of encoded keys and tokens.
 
 A base64 or hex candidate is decoded and parsed before it is reported: as DER with nested lengths that fill their
-parents exactly and a sequence of the shape of a key or certificate, as an OpenSSH or SSH wire key with length-prefixed
-strings, or, for a signed token, as a JSON header that names an algorithm and a JSON payload. Armoured keys may have header lines: a body that these
-call encrypted is confirmed by its cipher and length, a PGP block by its packets. Base64 without armour is joined over its lines.
+parents exactly and the shape of a private key, as an OpenSSH or SSH wire key with the length-prefixed strings of a private key, or, for a token, as a JSON
+header that names an algorithm and a JSON payload (signed), or parts of the right lengths (encrypted). Armoured keys may have header lines: a body that these
+call encrypted is confirmed by its cipher and length, a PGP block by its packets. Base64 without armour is joined over its lines; hex digits may stand in pairs
+with colons. What decodes to text is searched again, and again, until nothing decodes: the span is that of the outer candidate, the kind that of what it holds.
+Public keys and certificates are no secrets.
 
 Defined results: null and empty texts have no secrets; equal rows get equal results; an empty table gives an empty result.
 Spans are in code points, the end exclusive, in order of start and then kind as listed in ``KINDS``.
@@ -31,18 +33,25 @@ ACCESS = re.compile(rb"AKIA[A-Z0-9]+")
 HEX = re.compile(rb"[0-9a-f]{16,}")
 
 _CUES = (b"passw", b"secret", b"token", b"api_key", b"apikey")
-_JWT = re.compile(rb"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{2,}\.[A-Za-z0-9_-]*")
-_PEM = re.compile(rb"-----BEGIN ([A-Z0-9 ]*PRIVATE KEY|CERTIFICATE|PGP PRIVATE KEY BLOCK)-----((?:[^-]|-(?!----))*+)-----END \1-----")
+_JWT = re.compile(rb"eyJ[A-Za-z0-9_-]{8,}(?:\.[A-Za-z0-9_-]*){2,4}")
+_PEM = re.compile(rb"-----BEGIN ([A-Z0-9 ]*PRIVATE KEY|PGP PRIVATE KEY BLOCK)-----((?:[^-]|-(?!----))*+)-----END \1-----")
 _HEADER = re.compile(rb"[A-Za-z0-9-]+:(?:\s|$)")
 _CHECKSUM = re.compile(rb"=[A-Za-z0-9+/]{4}")
 _DEK = re.compile(rb"DEK-Info:\s*([A-Z0-9-]+),\s*([0-9A-Fa-f]+)")
 _BASE64 = re.compile(rb"[A-Za-z0-9+/_-]{40,}={0,2}")
+#: Where a key may begin inside of a run, behind a sign that joins it to a name: DER, wire, OpenSSH, armour, token.
+_INNER_START = re.compile(rb"(?<=[_/+-])(?:M[A-P]|AAAA|b3BlbnNzaC1r|LS0tLS1CRUdJTi|ZXlK)")
 #: The first line of a key in base64 over several lines (DER sequence, wire string, OpenSSH magic), and lines after it.
-_WRAPPED = re.compile(rb"(?<![A-Za-z0-9+/_=-])(?:M[A-P]|AAAA|b3BlbnNzaC1r)[A-Za-z0-9+/_-]{8,}(?=[\x20\t]*(?:\r?\n|(?:\\r)?\\n))")
+_WRAPPED = re.compile(rb"(?<![A-Za-z0-9+/_=-])(?:M[A-P]|AAAA|b3BlbnNzaC1r|LS0tLS1CRUdJTi)[A-Za-z0-9+/_-]{8,}(?=[\x20\t]*(?:\r?\n|(?:\\r)?\\n))")
 _NEXT_LINE = re.compile(rb"[\x20\t]*(?:\r?\n|(?:\\r)?\\n)[\x20\t]*([A-Za-z0-9+/_-]+)(={0,2})")
 _HEX_RUN = re.compile(rb"[0-9a-fA-F]{48,}")
+_COLON_HEX = re.compile(rb"(?<![0-9a-fA-F:])(?:[0-9a-fA-F]{2}:[\x20\t]*(?:\r?\n[\x20\t]*)?){23,}[0-9a-fA-F]{2}(?![0-9a-fA-F])")
+_PLAIN = re.compile(rb"[\t\n\r\x20-\x7e]+")
+# Strings in a private wire key, its name among them.
+PRIVATE_STRINGS = {b"ssh-rsa": 7, b"ssh-dss": 6, b"ssh-ed25519": 3, b"ecdsa-sha2-nistp256": 4, b"ecdsa-sha2-nistp384": 4, b"ecdsa-sha2-nistp521": 4}
 _HEX_KEY = re.compile(rb"(?:30[0-9a-f]{62,}|30[0-9A-F]{62,})")
 
+
 def decode64(text: bytes) -> bytes | None:
     text = re.sub(rb"\s|\\n", b"", text).rstrip(b"=").translate(bytes.maketrans(b"-_", b"+/"))
     try:
@@ -52,6 +61,7 @@ def decode64(text: bytes) -> bytes | None:
 
 
 def _unhex(text: bytes) -> bytes:
+    text = re.sub(rb"[:\s]", b"", text)
     return bytes.fromhex(text[: len(text) // 2 * 2].decode())
 
 
@@ -82,15 +92,20 @@ def der_tree(data: bytes, depth: int = 0) -> list | None:
 
 
 def is_der_key(data: bytes | None) -> bool:
-    """One sequence that holds an integer, object id or sequence first, and at least two elements (keys, certificates)."""
+    """A private key: a small version number and at least two more elements, or a cipher and the encrypted octets."""
     if not data or len(data) < 24 or data[0] != 0x30:
         return False
     tree = der_tree(data)
-    return bool(tree) and len(tree) == 1 and len(tree[0][1]) >= 2 and tree[0][1][0][0] in (0x02, 0x06, 0x30)
+    if not tree or len(tree) != 1 or len(tree[0][1]) < 2:
+        return False
+    first, second, *more = tree[0][1]
+    if first[0] == 0x02:  # two numbers alone are a public key, which has no version
+        return len(first[1]) == 1 and first[1][0] <= 3 and (second[0] == 0x04 or bool(more))
+    return first[0] == 0x30 and second[0] == 0x04 and bool(first[1]) and first[1][0][0] == 0x06
 
 
 def is_ssh_key(data: bytes | None) -> bool:
-    """OpenSSH private keys by their magic, wire keys by a known algorithm and strings that fill the value exactly."""
+    """OpenSSH private keys by their magic, private wire keys by a known algorithm and as many strings as it has, which fill the value exactly."""
     if not data:
         return False
     if data.startswith(b"openssh-key-v1\0"):
@@ -102,7 +117,7 @@ def is_ssh_key(data: bytes | None) -> bool:
             return False
         fields.append(data[at + 4 : at + 4 + n])
         at += 4 + n
-    return at == len(data) and len(fields) >= 2 and bool(re.fullmatch(rb"(sk-)?(ssh|ecdsa)-[a-z0-9@.-]+", fields[0]))
+    return at == len(data) and bool(fields) and PRIVATE_STRINGS.get(fields[0]) == len(fields)
 
 
 def is_pgp_key(data: bytes | None) -> bool:
@@ -180,13 +195,14 @@ def wrapped_keys(text: bytes) -> list[tuple[str, int, int]]:
         if m.start() < done:
             continue
         want, head = None, decode64(m[0][: len(m[0]) // 4 * 4]) or b""
+        armour = head.startswith(b"-----BEGIN")
         if head[:1] == b"\x30":
             wide = head[1] & 0x7F if head[1] & 0x80 else 0
             inner = 2 + wide
             if head[1] == 0x80 or wide > 4 or head[inner : inner + 1] not in (b"\x02", b"\x06", b"\x30"):
                 continue
             want = inner + (int.from_bytes(head[2:inner], "big") if wide else head[1])
-        elif not (head.startswith(b"openssh-k") or re.match(rb"\0\0\0.(?:sk-)?(?:ssh|ecd)", head, re.S)):
+        elif not (armour or head.startswith(b"openssh-k") or re.match(rb"\0\0\0.(?:sk-)?(?:ssh|ecd)", head, re.S)):
             continue
         parts, ends, size, at = [m[0]], [], len(m[0]), m.end()
         while (want is None or size * 3 // 4 < want) and (line := _NEXT_LINE.match(text, at)):
@@ -202,6 +218,13 @@ def wrapped_keys(text: bytes) -> list[tuple[str, int, int]]:
                 found.append(("der", m.start(), at))
                 done = at
             continue
+        if armour:  # lines of text: the longest that decodes to a secret
+            for n, end in reversed(ends):
+                if kind := confirmed(decode64(b"".join(parts)[:n])):
+                    found.append((kind, m.start(), end))
+                    done = end
+                    break
+            continue
         sizes = {n * 3 // 4: end for n, end in ends if n % 4 != 1}
         data = decode64((b"".join(parts))[: max((n for n, _ in ends if n % 4 != 1), default=0)]) or b""
         end = max((sizes[n] for n in _ssh_ends(data) if n in sizes), default=None)
@@ -229,9 +252,9 @@ def _ssh_ends(data: bytes) -> list[int]:
             left = None if left is None else left - 1
             if left == 0:
                 return [at]
-        elif fields >= 2:
+        elif fields == PRIVATE_STRINGS.get(first):
             ends.append(at)
-    return ends if not magic and re.fullmatch(rb"(sk-)?(ssh|ecdsa)-[a-z0-9@.-]+", first) else []
+    return ends
 
 
 def is_token(text: bytes) -> bool:
@@ -244,6 +267,61 @@ def is_token(text: bytes) -> bool:
     return isinstance(head, dict) and isinstance(head.get("alg"), str) and isinstance(body, dict)
 
 
+def is_encrypted_token(text: bytes) -> bool:
+    """Five parts: a JSON header with an algorithm and a cipher, a key or none, a start value, what is encrypted, and its tag."""
+    header, *parts = text.split(b".")
+    try:
+        head = json.loads(decode64(header) or b"")
+    except (ValueError, UnicodeDecodeError, RecursionError):
+        return False
+    data = [decode64(p) for p in parts]
+    if len(data) != 4 or None in data or not isinstance(head, dict):
+        return False
+    named = isinstance(head.get("alg"), str) and isinstance(head.get("enc"), str)
+    return named and len(data[1]) in (12, 16) and len(data[2]) > 0 and len(data[3]) in (16, 24, 32)
+
+
+def confirmed(data: bytes | None) -> str | None:
+    """The kind of secret that decoded bytes are, or that their text holds."""
+    if is_der_key(data):
+        return "der"
+    if is_ssh_key(data):
+        return "ssh"
+    if data and len(data) >= 30 and _PLAIN.fullmatch(data):
+        # Each decoding is a quarter shorter at least, so this ends.
+        return next((kind for kind, _, _ in structured(data)), None)
+    return None
+
+
+def structured(text: bytes) -> list[tuple[str, int, int]]:
+    """(kind, start, end) in bytes of what its structure confirms."""
+    found: list[tuple[str, int, int]] = []
+    if b"eyJ" in text:
+        for m in _JWT.finditer(text):
+            parts = m[0].split(b".")
+            if len(parts) == 5 and is_encrypted_token(m[0]):
+                found.append(("jwt", *m.span()))
+            elif is_token(signed := b".".join(parts[:3])):
+                found.append(("jwt", m.start(), m.start() + len(signed)))
+    if b"-----BEGIN" in text:
+        found += [("pem", *m.span()) for m in _PEM.finditer(text) if is_armoured_key(m[1], m[2])]
+    inside = [(a, b) for _, a, b in found]
+    found += [x for x in wrapped_keys(text) if not any(a <= x[1] and x[2] <= b for a, b in inside)]
+    taken = [(a, b) for _, a, b in found]
+    candidates = []
+    for m in _BASE64.finditer(text):
+        if any(48 <= c <= 57 for c in m[0]) or any(65 <= c <= 90 for c in m[0][1:]):  # not plain long words
+            candidates.append((*m.span(), decode64))
+            candidates += [(k.start(), m.end(), decode64) for k in _INNER_START.finditer(text, *m.span())]
+    for m in _HEX_RUN.finditer(text):
+        candidates += [(*span, _unhex) for span in sorted({m.span(), *(k.span() for k in _HEX_KEY.finditer(text, *m.span()))})]
+    candidates += [(*m.span(), _unhex) for m in _COLON_HEX.finditer(text)]
+    for start, end, decoded in candidates:
+        if not any(a <= start and end <= b for a, b in taken) and (kind := confirmed(decoded(text[start:end]))):
+            found.append((kind, start, end))
+    return found
+
+
 def find(text: bytes) -> list[tuple[str, int, int]]:
     """(kind, start, end) in code points."""
     found: list[tuple[str, int, int]] = []
@@ -253,23 +331,7 @@ def find(text: bytes) -> list[tuple[str, int, int]]:
     if b"AKIA" in text:
         found += [("access", *m.span()) for m in ACCESS.finditer(text) if len(m[0]) >= 18]
     found += [("hex", *m.span()) for m in HEX.finditer(text)]
-    if b"eyJ" in text:
-        found += [("jwt", *m.span()) for m in _JWT.finditer(text) if is_token(m[0])]
-    if b"-----BEGIN" in text:
-        found += [("pem", *m.span()) for m in _PEM.finditer(text) if is_armoured_key(m[1], m[2])]
-    inside = [(a, b) for kind, a, b in found if kind in ("jwt", "pem")]
-    found += [x for x in wrapped_keys(text) if not any(a <= x[1] and x[2] <= b for a, b in inside)]
-    taken = [(a, b) for kind, a, b in found if kind in ("jwt", "pem", "der", "ssh")]
-    candidates = [(*m.span(), decode64) for m in _BASE64.finditer(text) if any(48 <= c <= 57 for c in m[0]) or any(65 <= c <= 90 for c in m[0][1:])]  # not plain long words
-    for m in _HEX_RUN.finditer(text):
-        candidates += [(*span, _unhex) for span in sorted({m.span(), *(k.span() for k in _HEX_KEY.finditer(text, *m.span()))})]
-    for start, end, decoded in candidates:
-        if not any(a <= start and end <= b for a, b in taken):
-            data = decoded(text[start:end])
-            if is_der_key(data):
-                found.append(("der", start, end))
-            elif is_ssh_key(data):
-                found.append(("ssh", start, end))
+    found += structured(text)
     if found and not text.isascii():
         found = [(k, len(text[:a].decode("utf-8", "replace")), len(text[:b].decode("utf-8", "replace"))) for k, a, b in found]
     return sorted(set(found), key=lambda s: (s[1], KINDS.index(s[0]), s[2]))

@@ -125,7 +125,7 @@ def der(*parts: bytes) -> bytes:
 
 
 KEY = der(b"\x02\x01\x00", *[b"\x02\x20" + bytes(range(1, 33)) for _ in range(4)])
-SSH = b"".join(len(x).to_bytes(4, "big") + x for x in (b"ssh-ed25519", bytes(range(32))))
+SSH = b"".join(len(x).to_bytes(4, "big") + x for x in (b"ssh-ed25519", bytes(range(32)), bytes(range(64))))
 part = lambda x: base64.urlsafe_b64encode(json.dumps(x).encode()).rstrip(b"=").decode()
 JWT = f"{part({'alg': 'HS256', 'typ': 'JWT'})}.{part({'sub': 'someone'})}.c2lnbmF0dXJl"
 
@@ -154,7 +154,7 @@ def test_secrets_in_armour_with_headers_over_lines_and_in_hex(spark):
     lines = lambda data, n=64, gap="\n": gap.join(x[i : i + n] for x in [base64.b64encode(data).decode()] for i in range(0, len(x), n))
     long = der(b"\x02\x01\x00", *[b"\x02\x20" + bytes(range(1, 33)) for _ in range(9)])
     pgp = bytes([0x95, 0, 60, 4, *range(59)]) + b"\xb4\x04name" + b"\xc2\x03sig"
-    rsa = b"".join(len(x).to_bytes(4, "big") + x for x in (b"ssh-rsa", b"\1\0\1", bytes(range(1, 130))))
+    rsa = b"".join(len(x).to_bytes(4, "big") + x for x in (b"ssh-rsa", b"\1\0\1", bytes(range(1, 130)), *[bytes(range(1, 60 + i)) for i in range(4)]))
     wire = lambda *xs: b"".join(len(x).to_bytes(4, "big") + x for x in xs)
     openssh = b"openssh-key-v1\0" + wire(b"none", b"none", b"") + b"\0\0\0\1" + wire(SSH, bytes(range(200)))
     legacy = lambda data, head: f"-----BEGIN RSA PRIVATE KEY-----\n{head}\n\n{lines(data)}\n-----END RSA PRIVATE KEY-----"
@@ -172,6 +172,28 @@ def test_secrets_in_armour_with_headers_over_lines_and_in_hex(spark):
     assert [found[i] for i in range(len(texts))] == want
 
 
+def test_secrets_inside_of_encodings_and_public_keys(spark):
+    wire = lambda *xs: b"".join(len(x).to_bytes(4, "big") + x for x in xs)
+    b64 = lambda x: base64.b64encode(x if isinstance(x, bytes) else x.encode()).decode()
+    pem = f"-----BEGIN RSA PRIVATE KEY-----\n{b64(KEY)}\n-----END RSA PRIVATE KEY-----\n"
+    jwe = ".".join(base64.urlsafe_b64encode(x).rstrip(b"=").decode() for x in (json.dumps({"alg": "dir", "enc": "A128GCM"}).encode(), b"", bytes(12), b"what is hidden", bytes(16)))
+    colons = KEY.hex(":")
+    lines = "\n".join(b64(pem)[i : i + 60] for i in range(0, len(b64(pem)), 60))
+    pkcs8 = der(b"\x02\x01\x00", der(b"\x06\x03abc"), b"\x04\x20" + bytes(range(32)))
+    sealed = der(der(b"\x06\x03abc", der(b"\x02\x01\x05")), b"\x04\x20" + bytes(range(32)))
+    whole = {
+        f"tls.key: |{b64(pem)}| x": "pem", f"é |{b64(b64(pem))}| x": "pem", f"a |{b64(JWT)}| b": "jwt", f"a |{JWT.encode().hex()}| b": "jwt", f"a |{colons}| b": "der", f"a |{colons.upper()[:90]}\n    {colons.upper()[90:]}| b": "der",
+        f"key_|{b64(KEY)}| b": "der", f"conf/|{b64(SSH)}| b": "ssh", f"t |{jwe}| x": "jwt", f"a |{lines}|\n": "pem", f"p |{b64(pkcs8)}| q": "der", f"p |{b64(sealed)}| q": "der",
+    }
+    public = [wire(b"ssh-rsa", b"\1\0\1", bytes(range(1, 130))), wire(b"ssh-ed25519", bytes(range(32))), der(b"\x02\x20" + bytes(range(1, 33)), b"\x02\x03\1\0\1"),
+              der(der(b"\x06\x03abc"), b"\x03\x21\0" + bytes(range(32))), der(der(b"\x02\x01\x02", b"\x02\x04abcd"), der(b"\x06\x03abc"), b"\x03\x21\0" + bytes(range(32)))]
+    none = [f"x {b64(d)} y" for d in public] + [f"-----BEGIN CERTIFICATE-----\n{b64(public[4])}\n-----END CERTIFICATE-----", b64(b64(public[3]) + " is public, as is the rest of this text"), jwe[:-8], "00:11:" * 30 + "22", b64("plain words that say nothing at all, for a while")]
+    texts = [*(t.replace("|", "") for t in whole), *none]
+    found = {r.doc_id: [(s.kind, s.start, s.end) for s in r.spans if s.kind not in secrets.KINDS[:3]] for r in secrets.scan_secrets(awkward.frame(spark, texts)).collect()}
+    want = [[(k, t.index("|"), t.rindex("|") - 1)] for t, k in whole.items()] + [[]] * len(none)
+    assert [found[i] for i in range(len(texts))] == want
+
+
 @pytest.fixture(scope="module")
 def model():
     return pieces.coder(pieces.PIECES).model
