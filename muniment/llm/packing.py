@@ -17,6 +17,7 @@ apart by position and not by id, so ids may be null or repeat; an empty table gi
 from __future__ import annotations
 
 import os
+import unicodedata
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -32,13 +33,14 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
 from muniment.llm.common import raw_texts, slices, small_batches
+from muniment.llm.wordpiece import byte_of_sign
 from muniment.operators.spread import running_sum
 from muniment.session import stage
 
 VOCABULARY = "word_bpe_49k.json"
 
 #: Words whose ids a task remembers; beyond that it starts anew. Never changes a result.
-WORDS_KEPT = 1 << 19
+WORDS_KEPT = 3 << 18
 
 #: No part of a text: text is split at blanks, so this stands for the end of a document.
 _END = b" "
@@ -68,11 +70,35 @@ class WordIds:
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer, self.end = Tokenizer.from_file(path), end
+        self.model, self.signs = self.tokenizer.model, {b: sign for sign, b in byte_of_sign().items()}
         self.clear()
 
     def clear(self) -> None:
         self.index, self.first, self.pool = {_END: 0}, array("q", [0, 1]), array("I", [self.end])
 
+    def _learn(self, word: bytes, ids: list[int]) -> None:
+        self.index[word] = len(self.first) - 1
+        self.pool.extend(ids)
+        self.first.append(len(self.pool))
+
+    def _plain(self, word: bytes) -> bool:
+        """Learn a word of Latin letters, or one with a full stop or comma behind them: one word of the vocabulary's pattern, so the library's model needs no other step."""
+        text = word.decode("utf-8", "replace")
+        stem, behind = (text[:-1], text[-1]) if text[-1] in ".," else (text, "")
+        if not stem.isalpha() or (not stem.isascii() and max(stem) >= "\u0180"):
+            return False
+        if stem.isascii():
+            stem = written = stem.lower()
+        else:
+            stem = "".join(c.lower() for c in unicodedata.normalize("NFC", stem))
+            if not stem.isalpha():
+                return False
+            written = "".join(map(self.signs.__getitem__, stem.encode()))
+        at = self.index.get(stem.encode())
+        ids = [t.id for t in self.model.tokenize(written)] if at is None else self.pool[self.first[at] : self.first[at + 1]].tolist()
+        self._learn(word, ids + [t.id for t in self.model.tokenize(behind)] if behind else ids)
+        return True
+
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, each with the end id behind it, and the borders of the texts."""
         words = [[*t.split(), _END] for t in texts]
@@ -81,11 +107,10 @@ class WordIds:
         if len(self.index) + len(new) > WORDS_KEPT:
             self.clear()
             new = list(set(flat) - self.index.keys())
-        for some in (new[i : i + 4096] for i in range(0, len(new), 4096)):
+        odd = [w for w in new if not self._plain(w)]
+        for some in (odd[i : i + 4096] for i in range(0, len(odd), 4096)):
             for w, e in zip(some, self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in some], add_special_tokens=False)):
-                self.index[w] = len(self.first) - 1
-                self.pool.extend(e.ids)
-                self.first.append(len(self.pool))
+                self._learn(w, e.ids)
         at = np.fromiter(map(self.index.__getitem__, flat), np.int64, len(flat))
         first, pool = np.frombuffer(self.first, np.int64), np.frombuffer(self.pool, np.uint32)
         sizes = first[at + 1] - first[at]

@@ -79,6 +79,16 @@ def test_awkward_documents(spark, capacity, slack):
     assert pad <= slack * tokens
 
 
+def test_words_learnt_alone_have_the_tokenizer_s_ids(spark):
+    """Letters with and without marks, capitals, full stops and commas, in either order of being met."""
+    words = ["Éa", "éA.", "e\u0301a", "STRASSE,", "Straße.", "ß", "İi", "ıx,", "ŉa", "\u00aa\u00ba", "\u01c5x", "x.", "x,", "x.,", "x..", ".", ",", "X", "Æ,", "ſt", "\u0140", "µm", "ÿ.", "it's.", "d'é,"]
+    texts = [" ".join(words), " ".join(reversed(words)), *words]
+    encoder = packing.WordIds(packing.vocabulary_path(packing.VOCABULARY), 1)
+    ids, borders = encoder.encode([t.encode() for t in texts])
+    for text, a, b in zip(texts, borders, borders[1:]):
+        assert ids[a:b].tolist() == plain_ids(text)
+
+
 def test_bins_are_filled_by_class(spark):
     """Bins of a class hold its fixed number of pieces, but for the last of the whole table."""
     texts = [" ".join(f"w{j}" for j in range(i % 700)) for i in range(3000)]
