@@ -235,9 +235,15 @@ def repeat_tails(text: Column, key: Column, one_in: int = 10) -> Column:
     With h the checksum, g = h // 10 and n words, word i from a = g % n on becomes word a + (i - a) % p, p = 1 + (n - a) // (3 + g % 8).
     """
     h = F.crc32(key.cast("string").cast("binary"))
+    g = F.floor(h / 10)
     words = F.regexp_extract_all(text, F.lit(r"([^\x20\x09-\x0D]+)"), F.lit(1))
-    n, g = F.size(words).cast("long"), F.floor(h / 10)
-    a = g % n
-    p = F.lit(1) + F.floor((n - a) / (F.lit(3) + g % 8))
-    moved = F.transform(F.sequence(F.lit(0).cast("long"), n - 1), lambda i: F.element_at(words, (F.when(i < a, i).otherwise(a + (i - a) % p) + 1).cast("int")))
-    return F.when((h % one_in == 0) & (n > 0), F.array_join(moved, " ")).otherwise(text)
+
+    def tailed(w: Column) -> Column:
+        n = F.size(w)
+        a = (g % n).cast("int")
+        p = (F.floor((n - a) / (F.lit(3) + g % 8)) + 1).cast("int")
+        times = F.ceil((n - a) / p).cast("int")
+        return F.when(n > 0, F.concat_ws(" ", F.slice(w, 1, a), F.slice(F.flatten(F.array_repeat(F.slice(w, a + 1, p), times)), 1, n - a))).otherwise("")
+
+    # The words are bound to a variable, so a text is split once.
+    return F.when((h % one_in == 0) & text.isNotNull(), F.transform(F.array(words), tailed)[0]).otherwise(text)
