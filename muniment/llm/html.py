@@ -6,10 +6,11 @@ log-odds that the element holds article text. An element may be kept only if its
 bottom up: dropping an element drops its subtree, keeping it leaves each child its better choice.
 
 The model is trained when the operator is called, on at most ``SAMPLE`` pages of the table and a few fixed skeletons. Labels come from
-pages that name their article (``article`` or ``main``); each is also used in rewritten forms, with tags and class names swapped and with more
-boilerplate put in, so that the model doesn't hang on single tags. The sample only fits the model; every page is extracted whole.
+pages that name their article (``article`` or ``main``); the sample is those of least hash, so it hangs neither on the files nor on a retry. Each is also used in rewritten forms: tags
+and class names swapped; lists, tables, quotes, code and figures put into the article; more boilerplate around it; the article as plain text in the body; and no article at
+all. So the model doesn't hang on single tags. The sample only fits the model; every page is extracted whole.
 
-Defined results: a null or empty page, and one without article text, has an empty text; equal pages get equal texts; unclosed and stray tags are
+Defined results: a null or empty page, and one without article text, has an empty text; a text without any tag is its own article; equal pages get equal texts; unclosed and stray tags are
 closed as a browser would; an empty table gives an empty result; extra columns don't matter.
 """
 
@@ -25,7 +26,7 @@ from pyspark.sql import functions as F
 
 from muniment.llm.common import map_texts
 
-#: Most pages that the model is fitted on.
+#: Most labelled pages that the model is fitted on.
 SAMPLE = 150
 
 ADDED = "text string, n_chars long, n_blocks long"
@@ -49,9 +50,9 @@ SCOPE = frozenset("html body article aside blockquote div footer header main nav
 # Words in class, id and role attributes.
 GOOD_TOKENS = frozenset("article body content entry main page post story text prose copy blog".split())
 BAD_TOKENS = frozenset(
-    "ad ads advert advertisement aside banner breadcrumb breadcrumbs button comment comments consent cookie copyright disqus footer form header login masthead menu modal nav "
-    "navbar navigation newsletter notice pagination pager popup promo related reply replies respond search share sharing shop sidebar signup skip social sponsor sponsored subscribe "
-    "tag tags toolbar topbar widget".split()
+    "ad ads advert advertisement aside banner breadcrumb breadcrumbs button comment comments consent cookie copyright discussion disqus feedback footer form guestbook header login "
+    "masthead menu modal nav navbar navigation newsletter notice opinions pagination pager popup promo related reply replies respond responses reviews search share sharing shop sidebar "
+    "signup skip social sponsor sponsored subscribe tag tags toolbar topbar widget".split()
 )
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|$)|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"<]*\"|'[^'<]*'|[^'\">])*+>|[^>]*>)|<[!?][^>]*>", re.S)
@@ -184,6 +185,11 @@ def features(page: Page) -> np.ndarray:
         marks[p] += marks[i]
         nodes[p] += nodes[i]
         paragraphs[p] += paragraphs[i]
+    before, after, last_child = [0] * n, [0] * n, [0] * n
+    for i in range(1, n):
+        if last := last_child[parents[i]]:
+            before[i], after[last] = chars[last], chars[i]
+        last_child[parents[i]] = i
     c = np.array(chars, float)
     size, total = np.maximum(c, 1), max(1.0, c[0])
     count = np.array(seen, float)
@@ -196,6 +202,9 @@ def features(page: Page) -> np.ndarray:
         np.array([0.0] + [float(min(50, alike[parents[i], tags[i]])) for i in range(1, n)]),
         np.log1p(c), np.array(links) / size, np.array(nodes) / size, np.array(marks) / size,
         np.log1p(np.array(paragraphs, float)), c / total, c / size[parent], np.log1p(c[parent]),
+        # Neighbours: their sizes, the share of links around, the size beside the mean of the parent's children.
+        np.log1p(np.array(before, float)), np.log1p(np.array(after, float)), (np.array(links) / size)[parent], c * np.maximum(count[parent], 1) / size[parent],
+        is_tag("table", "tr", "td", "th", "tbody", "thead"), is_tag("figure", "figcaption", "code"),
     ], axis=1)
 
 
@@ -260,29 +269,24 @@ def decode(page: Page, log_odds: np.ndarray) -> list[bool]:
         if gain[i] > 0:
             gain[page.parents[i]] += gain[i]
     kept = [True] * n
+    if all(t in ("#page", RUN) for t in page.tags):  # no tag at all
+        return kept
     for i in range(1, n):
         kept[i] = kept[page.parents[i]] and (gain[i] > 0 or tied[i] or page.tags[i] in ("html", "body"))
     return kept
 
 
 def blocks(page: Page, kept: list[bool]) -> list[str]:
-    """Texts of the kept elements, by block, with single blanks. If they have none, text outside of all elements is given whole."""
-    for every in (False, True):
-        given = [k or every and (t == RUN or t in INLINE) for k, t in zip(kept, page.tags)]
-        if every:  # implied blocks and what stands in them
-            for i in range(1, len(given)):
-                given[i] = page.tags[i] in LOOSE or given[page.parents[i]] and given[i] and page.tags[i] not in NEVER
-        out, held = [], []
-        for node, text in [*page.texts, (0, None)]:
-            if text is None:
-                block = " ".join(unescape("".join(held)).split()) if held else ""
-                held = []
-                if block:
-                    out.append(block)
-            elif given[node]:
-                held.append(text)
-        if out:
-            break
+    """Texts of the kept elements, by block, with single blanks."""
+    out, held = [], []
+    for node, text in [*page.texts, (0, None)]:
+        if text is None:
+            block = " ".join(unescape("".join(held)).split()) if held else ""
+            held = []
+            if block:
+                out.append(block)
+        elif kept[node]:
+            held.append(text)
     return out
 
 
@@ -335,6 +339,56 @@ def rewritten(html: str, dice: random.Random) -> str:
 MARK = "divTRUE"
 
 
+def enriched(html: str, dice: random.Random) -> str:
+    """The page with lists, tables, quotes, code, figures and headings inside of its article, and readers' comments under some name behind it."""
+    words = re.sub(r"<[^>]*>", " ", html).split() or ["word"]
+    some = lambda low, high: " ".join(dice.choice(words) for _ in range(dice.randint(low, high)))
+    many = lambda low, high, fn: "".join(fn() for _ in range(dice.randint(low, high)))
+    link = lambda: f"<a href=x>{some(1, 3)}</a>" if dice.random() < 0.2 else ""
+    kinds = [
+        lambda: f"<ul>{many(2, 7, lambda: f'<li>{some(1, 12)} {link()}</li>')}</ul>", lambda: f"<ol>{many(2, 5, lambda: f'<li><p>{some(2, 15)}.</p></li>')}</ol>",
+        lambda: f"<table><tr><th>{some(1, 2)}</th><th>{some(1, 2)}</th></tr>{many(1, 5, lambda: f'<tr><td>{some(1, 3)}</td><td>{some(1, 4)}</td></tr>')}</table>",
+        lambda: f"<table><tbody>{many(1, 4, lambda: f'<tr><td>{some(1, 3)}</td><td>{some(1, 2)}</td><td>{some(1, 2)}</td></tr>')}</tbody></table>",
+        lambda: f"<blockquote>{some(5, 30)}.</blockquote>", lambda: f"<blockquote><p>{some(5, 30)}.</p></blockquote>", lambda: f"<pre>{some(3, 20)}</pre>", lambda: f"<pre><code>{some(3, 20)}</code></pre>",
+        lambda: f"<figure><img src=x><figcaption>{some(2, 12)}</figcaption></figure>", lambda: f"<{(t := dice.choice(['h2', 'h3', 'h4']))}>{some(1, 6)}</{t}>",
+        lambda: f"<dl>{many(1, 4, lambda: f'<dt>{some(1, 2)}</dt><dd>{some(2, 9)}</dd>')}</dl>", lambda: f"<p>{some(1, 5)}</p>", lambda: f"<div>{some(4, 20)}.</div>",
+        lambda: f"<section><h2>{some(1, 4)}</h2><p>{some(10, 40)}.</p></section>",
+    ]
+    parts = re.search(r"(?is)^(.*?<article[^>]*>)(.*)(</article>.*)$", html)
+    if parts is None:
+        return ""
+    head, inner, after = parts.groups()
+    if dice.random() < 0.25:  # a short article, or one of little but such parts
+        inner = inner[: inner.find("</p>") + 4] if "</p>" in inner else inner
+        inner += many(1, 4, lambda: dice.choice(kinds)())
+    inner = re.sub(r"(?i)</p>", lambda m: m[0] + (many(1, 2, lambda: dice.choice(kinds)()) if dice.random() < 0.4 else ""), inner)
+    if dice.random() < 0.6:
+        name = dice.choice(["feedback", "reader-feedback", "discussion", "thoughts", "x9", "responses", "guestbook", "said", ""])
+        item = dice.choice([
+            lambda: f"<div><p>{some(3, 40)}.</p></div>", lambda: f"<div class=item><b>{some(1, 2)}</b> <span>{some(1, 2)}</span><p>{some(3, 40)}.</p><a href=x>{some(1, 1)}</a></div>",
+            lambda: f"<li><p>{some(3, 30)}.</p></li>", lambda: f"<p>{some(3, 30)}.</p>",
+        ])
+        tag = dice.choice(["section", "div", "ul"])
+        comments = f'<{tag} {dice.choice(["id", "class"])}="{name}"><h3>{some(1, 2)}</h3>{many(1, 6, item)}</{tag}>' if name else ""
+        if dice.random() < 0.4 and name not in ("said", "x9", "thoughts"):
+            inner += comments
+        else:
+            after = after.replace("</article>", "</article>" + comments, 1)
+    return head + inner + after
+
+
+def without_article(html: str, dice: random.Random) -> str:
+    """What is left of a page without its article: menus, notices and the like, alone or with a few loose words."""
+    words = re.sub(r"<[^>]*>", " ", html).split() or ["word"]
+    some = lambda low, high: " ".join(dice.choice(words) for _ in range(dice.randint(low, high)))
+    bare = re.sub(r"(?is)<(article|main)\b.*</\1>", "", html)
+    links = " | ".join(some(1, 2) for _ in range(dice.randint(1, 6)))
+    loose = dice.choice(["", links, f"{links} <a href=x>{some(1, 2)}</a>", f"<p>{some(1, 4)}</p>", f"<div>{some(1, 3)}</div><p>{some(2, 5)}</p>", f"<ul><li>{some(1, 2)}</li><li>{some(1, 2)}</li></ul>"])
+    if dice.random() < 0.3:
+        return f"<html><body>{loose or links}</body></html>"
+    return re.sub(r"(?i)</body>", lambda m: loose + m[0], bare, count=1)
+
+
 def flattened(html: str, dice: random.Random) -> str:
     """The page with its article as plain text in the body, breaks between paragraphs, and loose boilerplate around it."""
     words = re.sub(r"<[^>]*>", " ", html).split() or ["word"]
@@ -348,7 +402,9 @@ def flattened(html: str, dice: random.Random) -> str:
         for _ in range(max(0, extra)):
             at = [m for m in re.finditer(f"(?i)<{wrap}\\b[^>]*>", before)][-1]
             before = before[: at.start()] + before[at.end() :]
-    inner = re.sub(r"(?i)<p\b[^>]*>", SIGN, re.sub(r"(?i)</p>", "<br><br>", inner))
+    some_kept = dice.choice([0.0, 0.3, 0.6])  # paragraphs left as elements between the loose ones
+    inner = re.sub(r"(?is)<p\b[^>]*>(.*?)</p>", lambda m: f"<p>{SIGN}{m[1]}</p>{SIGN}" if dice.random() < some_kept else f"{SIGN}{m[1]}<br><br>", inner)
+    inner = re.sub(r"(?i)<p>(?!" + SIGN + ")", SIGN, inner)
     inner = re.sub(r"(?i)(<h[1-6]\b[^>]*>)", rf"\1{SIGN}", re.sub(r"(?i)(</h[1-6]>)", rf"\1{SIGN}", inner))
     inline = lambda: f"<{(t := dice.choice(['b', 'i', 'em', 'a', 'span', 'code']))}>{some(dice.randint(1, 4))}</{t}>"
     inner = re.sub("<br><br>", lambda m: f" {inline()} {some(dice.randint(1, 12))}{m[0]}" if dice.random() < 0.5 else m[0], inner)
@@ -363,7 +419,8 @@ def train(pages: list[str], seed: int = 7) -> BoostedTrees:
     dice, rows, labels = random.Random(seed), [], []
     for html in [*pages, *[SKELETON] * 10]:
         html = html.replace(SIGN, "")
-        for form in (html, rewritten(html, dice), rewritten(html, dice), flattened(html, dice)):
+        rich = enriched(html, dice) or html
+        for form in (html, rewritten(html, dice), rewritten(html, dice), flattened(html, dice), flattened(html, dice), rich, rewritten(rich, dice), enriched(html, dice) or html, rewritten(enriched(html, dice) or html, dice)):
             page = Page(form)
             page.tags = [t if t != MARK.lower() else MARK for t in page.tags]
             y = label(page)
@@ -372,7 +429,12 @@ def train(pages: list[str], seed: int = 7) -> BoostedTrees:
                 page.tags = [t if t != MARK else "div" for t in page.tags]
                 rows.append(features(page)[1:])
                 labels.append(y[1:])
-    return BoostedTrees().fit(np.concatenate(rows), np.concatenate(labels))
+        for form in (without_article(html, dice), without_article(html, dice), rewritten(without_article(html, dice), dice)):
+            page = Page(form)
+            if len(page.tags) > 1:
+                rows.append(features(page)[1:])
+                labels.append(np.zeros(len(page.tags) - 1))
+    return BoostedTrees(rounds=100, depth=5).fit(np.concatenate(rows), np.concatenate(labels))
 
 
 def extract(texts: list[bytes], model: BoostedTrees) -> list[list[str]]:
@@ -388,7 +450,8 @@ def extract(texts: list[bytes], model: BoostedTrees) -> list[list[str]]:
 def main_text(pages: DataFrame, keep: tuple[str, ...] = ("page_id", "url"), html_col: str = "html", sample: int = SAMPLE) -> DataFrame:
     """The columns ``keep``, the main text of each page, its code points and its blocks. One bounded sample, then map only."""
     html = F.col(f"`{html_col}`").cast("string")
-    rows = pages.select(html.alias("h")).where("h is not null").limit(sample).collect()
+    named = pages.select(html.alias("h")).where(F.lower("h").rlike("<(article|main)[\\s>]"))
+    rows = named.orderBy(F.xxhash64("h")).limit(sample).collect()
     model = train([r.h for r in rows])
 
     def setup():

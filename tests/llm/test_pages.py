@@ -82,6 +82,76 @@ def test_text_directly_in_the_body(model):
     assert got == ["Heading of the text", one, lines[0], f"{lines[1]} bold words {lines[2]}"]
 
 
+def named_blocks(form):
+    """Blocks of the article that a training form names."""
+    page = html.Page(form)
+    page.tags = [t if t != html.MARK.lower() else html.MARK for t in page.tags]
+    return html.blocks(page, [True, *(html.label(page)[1:] > 0).tolist()])
+
+
+def test_held_out_forms_with_lists_tables_and_without_article(spark, model):
+    import random
+
+    dice = random.Random(5)
+    pages = [r.html for r in spark.read.parquet("/root/testdata/sf0.1/pages.parquet").where("page_id >= 1000").limit(300).collect()]
+    rate = lambda forms, want: sum(g == w for g, w in zip(html.extract([f.encode() for f in forms], model), want)) / len(forms)
+    rich = [html.enriched(p, dice) for p in pages]
+    assert rate(rich, [named_blocks(f) for f in rich]) > 0.95
+    assert rate([html.rewritten(p, dice).replace(html.MARK, "div") for p in pages], [article(p) for p in pages]) > 0.95
+    assert rate([html.without_article(p, dice) for p in pages], [[]] * len(pages)) > 0.95
+
+
+def test_parts_of_articles_and_pages_without(model):
+    paragraph = "Some plain text of an article, with a few marks. And more text here to read."
+    lists = f"<p>{paragraph}</p><ul><li>one item</li><li>two item</li></ul><p>{paragraph}</p><table><tr><td>a cell</td><td>b cell</td></tr></table><p>{paragraph}</p>"
+    comments = "<section id=reader-feedback><h3>Feedback</h3><div><p>Great post, thanks a lot, I liked it.</p></div><div><p>I do not agree with this at all, sorry.</p></div></section>"
+    pages = [
+        f"<html><body><nav><a href=a>One</a></nav><article><h1>Heading of the text</h1>{lists}</article><footer>c</footer></body></html>", "<body>Home | About | Login | Subscribe now",
+        "<body><nav><a href=a>Home</a></nav><p>Accept cookies</p><footer>(c) x</footer></body>", f"<body><article><h1>Heading of the text</h1>{f'<p>{paragraph}</p>' * 4}</article>{comments}</body>",
+    ]
+    got = html.extract([p.encode() for p in pages], model)
+    assert got[0] == ["Heading of the text", paragraph, "one item", "two item", paragraph, "a cell", "b cell", paragraph]
+    assert got[1] == got[2] == [] and got[3] == ["Heading of the text", *[paragraph] * 4]
+
+
+def test_sample_is_of_labelled_pages_whatever_their_order(spark):
+    """Pages that name no article come first and don't take the sample's place; the order of rows changes nothing."""
+    rows = [(r.page_id, r.url, r.html) for r in spark.read.parquet(f"{SF}/pages.parquet").collect()]
+    plain = [(-1 - i, "u", f"<body><div class=menu><a href=x>{i}</a></div><p>No article named here, {i}.</p></body>") for i in range(300)]
+    frames = [spark.createDataFrame(x, "page_id long, url string, html string").coalesce(1) for x in ([*plain, *rows], [*rows[::-1], *plain])]
+    first, second = ({r.page_id: r.text for r in html.main_text(f).collect()} for f in frames)
+    assert first == second
+    assert sum(first[i] != "\n".join(article(h)) for i, _, h in rows) <= 0.01 * len(rows)
+
+
+def test_decoding_is_the_best_of_all_consistent_choices():
+    from itertools import product
+
+    dice = np.random.default_rng(3)
+    tags = ["div", "p", "section", "nav", "form", "ul", "li"]
+    for _ in range(60):
+        page = html.Page("")
+        n = int(dice.integers(2, 9))
+        page.tags = ["#page", *dice.choice(tags, n).tolist()]
+        page.parents = [0, *(int(dice.integers(0, i)) for i in range(1, n + 1))]
+        page.tokens = [()] * (n + 1)
+        score = dice.normal(size=n + 1)
+        worth = lambda kept: sum(score[i] if page.tags[i] not in html.NEVER else -1e9 for i in range(1, n + 1) if kept[i])  # noqa: E731, B023
+        best = max(worth((True, *k)) for k in product([False, True], repeat=n) if all(not k[i - 1] or page.parents[i] == 0 or k[page.parents[i] - 1] for i in range(1, n + 1)))
+        kept = html.decode(page, score)
+        assert all(kept[page.parents[i]] for i in range(1, n + 1) if kept[i]) and abs(worth(kept) - best) < 1e-9
+
+
+def test_features_are_counts_of_the_tree(model):
+    page = html.Page("<body><div class='post menu'><p>One, two.</p><p><a href=x>link</a> and</p></div><ul><li>x</li></ul></body>")
+    rows = {t: f for t, f in zip(page.tags, html.features(page))}
+    div, total = rows["div"], len("One, two." + "link and" + "x")
+    texts = {"div": 17, "ul": 1}
+    assert div[9] == 1 and div[10] == 1 and np.isclose(div[17], np.log1p(texts["div"])) and np.isclose(div[18], 4 / 17)
+    assert np.isclose(div[19], 4 / 17) and np.isclose(div[20], 2 / 17) and np.isclose(div[21], np.log1p(2)) and np.isclose(div[22], 17 / total)
+    assert np.isclose(rows["ul"][25], np.log1p(17)) and np.isclose(div[26], np.log1p(1)) and np.isclose(div[28], 17 * 2 / 18)
+
+
 def test_kept_elements_have_kept_parents(model):
     page = html.Page(html.SKELETON)
     dice = np.random.default_rng(1)
