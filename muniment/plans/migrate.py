@@ -42,21 +42,43 @@ def _union(parts: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
-def select_records(spark: SparkSession, opts: RunOptions, raw: DataFrame | None) -> DataFrame:
-    """Raw records of the run. A selection works on ids and paths; records without an id stay in, to be rejected."""
+def scan_positions(spark: SparkSession, opts: RunOptions, found: DataFrame) -> DataFrame:
+    """(path, pid, position) of every record of the scan that has an id, in path order: written once, so that whatever a run selects keeps its absolute position."""
+    return stage(select.with_positions(found.where(F.col("pid").isNotNull()).select("path", "pid"), ["path"]), "scan-positions")
+
+
+def finished(spark: SparkSession, opts: RunOptions, existing: DataFrame | None) -> DataFrame | None:
+    """What is done already, as a ledger: entries of the ledger, and objects of published runs that died before theirs was written."""
+    ledger = record_source.read_ledger(spark, opts.ledger_dir)
+    if existing is None:
+        return ledger
+    stored = existing.where(F.col("object_id").startswith(opts.id_prefix)).select(
+        F.substring("object_id", len(opts.id_prefix) + 1, 2**31 - 1).alias("pid"), F.lit(None).cast("bigint").alias("position"), F.lit("done").alias("status"))
+    return stored if ledger is None else ledger.select("pid", "position", "status").unionByName(stored)
+
+
+def select_records(spark: SparkSession, opts: RunOptions, raw: DataFrame | None, existing: DataFrame | None = None) -> tuple[DataFrame, DataFrame | None]:
+    """Raw records of the run, and the positions of the whole scan where a selection or a ledger needs them.
+
+    A selection works on ids and paths; records without an id stay in, to be rejected.
+    """
     if raw is None:
         raw = record_source.scan_records(spark, opts.exported_dir or opts.objects_dir, opts.name_regex)
     whole = opts.limit < 0 and not opts.pid_file and not opts.resume
-    if whole and opts.resume_position == 0 and opts.resume_last_id.lower() == select.FIRST_RUN:
-        return raw
+    whole = whole and opts.resume_position == 0 and opts.resume_last_id.lower() == select.FIRST_RUN
+    if whole and not opts.target_dir:
+        return raw, None
     found = stage(record_source.scan_record_ids(raw), "record-ids")
+    placed = scan_positions(spark, opts, found)
+    if whole:
+        return raw, placed
     chosen = select.select_objects(
-        found.where(F.col("pid").isNotNull()), "pid", ["path"], opts.limit,
+        placed.select("path", "pid"), "pid", ["path"], opts.limit,
         record_source.read_pid_list(spark, opts.pid_file) if opts.pid_file else None,
-        opts.resume_position, opts.resume_last_id, opts.resume, record_source.read_ledger(spark, opts.ledger_dir),
+        opts.resume_position, opts.resume_last_id, opts.resume, finished(spark, opts, existing),
     )
     taken = chosen.select("path").union(found.where(F.col("pid").isNull()).select("path"))
-    return raw.join(taken, "path", "left_semi")
+    return raw.join(taken, "path", "left_semi"), placed
 
 
 def _bits(opts: RunOptions) -> int:
@@ -84,8 +106,7 @@ def _version_facts(opts: RunOptions, parsed: DataFrame) -> DataFrame:
     )
 
 
-def read_facts(spark: SparkSession, opts: RunOptions, raw: DataFrame | None = None, index: DataFrame | None = None) -> Facts:
-    raw = select_records(spark, opts, raw)
+def read_facts(spark: SparkSession, opts: RunOptions, raw: DataFrame, index: DataFrame | None = None) -> Facts:
     own = F.col(f"sha{_bits(opts)}") if f"sha{_bits(opts)}" in raw.columns else F.sha2(F.encode("xml", "UTF-8"), _bits(opts))
     raw = raw.select(
         "path", "xml", "length", *[c for c in raw.columns if c == "text_problem"], *([own.alias("record_digest")] if opts.foxml_file else [])
@@ -497,6 +518,7 @@ def migrate(
     """
     existing = sinks.existing_objects(spark, opts) if existing is None else existing
     run_ts = opts.run_ts or datetime.now(timezone.utc).strftime("%Y-%m-%dT%H:%M:%S.%fZ")
+    raw, placed = select_records(spark, opts, raw, existing)
     facts = read_facts(spark, opts, raw, index)
     renames = stage(find_renames(opts, facts), "renames")
     problems = find_rejects(opts, facts, renames, existing)
@@ -507,9 +529,8 @@ def migrate(
     writes = stage(derive_writes(opts, facts, renames, bad, run_ts), "writes")
     objects = facts.objects.join(bad, "path", "left_anti")
     done = objects.select("path", "pid")
-    # Positions in the order of the scan serve later resume points; only a run that is stored needs them.
-    done = select.with_positions(facts.objects.select("path", "pid"), ["path"]).join(bad, "path", "left_anti") if opts.target_dir else done.withColumn(
-        "position", F.lit(None).cast("bigint"))
+    # Absolute positions in the order of the whole scan serve later resume points.
+    done = done.withColumn("position", F.lit(None).cast("bigint")) if placed is None else done.join(placed.select("path", "position"), "path", "left")
     return {
         "objects": objects,
         "source_versions": facts.versions,

@@ -38,7 +38,7 @@ def scan_records(spark: SparkSession, d: str) -> DataFrame:
     return shred.shred_versions(parsed).select("pid", "ds_id", "version_id", "inline_xml")
 
 
-def _write_files(rows: DataFrame, name: str) -> str:
+def write_files(rows: DataFrame, name: str) -> str:
     """``rows(file, value)`` as a tree with one file per row, written by tasks; a file that is written again is the same."""
     root = fresh_path(rows.sparkSession, name)
 
@@ -65,7 +65,7 @@ def scan_content(spark: SparkSession, d: str) -> DataFrame:
         F.concat_ws("/", F.col("p_brand"), F.when(F.col("p_partkey") % 3 == 0, "_deep"), F.concat(F.lit("part%3A"), F.col("p_partkey").cast("string"))).alias("file"),
         F.when(F.col("p_partkey") % 10 == 0, "").otherwise(F.col("p_name")).alias("value"))
     suppliers = table(spark, d, "supplier").select(F.concat(F.lit(".suppliers/_s"), F.col("s_suppkey").cast("string")).alias("file"), F.col("s_name").alias("value"))
-    root = _write_files(parts.unionByName(suppliers), "content-files")
+    root = write_files(parts.unionByName(suppliers), "content-files")
     found = content.digest_content(spark, root, ["md5", "sha256"], chunk_bytes=15)
     listed = content.scan_content(spark, root, ids.file_name(F.col("path"))).select("path", "internal_id")
     return found.join(listed, "path").select("internal_id", "length", F.decode("head", "UTF-8").alias("head"), "md5", "sha256")
@@ -76,7 +76,7 @@ def scan_all_names(spark: SparkSession, d: str) -> DataFrame:
     key = F.col("s_suppkey")
     folder = F.when(key % 3 == 0, "plain").when(key % 3 == 1, "_under/plain").otherwise(".dot/_under")
     value = F.when(key % 7 == 0, "").otherwise(F.concat_ws(":", key.cast("string"), "s_name"))
-    root = _write_files(table(spark, d, "supplier").select(F.concat(folder, F.lit("/_"), key.cast("string")).alias("file"), value.alias("value")), "hidden-files")
+    root = write_files(table(spark, d, "supplier").select(F.concat(folder, F.lit("/_"), key.cast("string")).alias("file"), value.alias("value")), "hidden-files")
     found = records.scan_records(spark, root)
     return found.select(F.regexp_extract("path", rf"{root.rsplit('/')[-1]}/(.*)/[^/]*$", 1).alias("folder"), ids.file_name(F.col("path")).alias("name"), "xml", "length")
 
