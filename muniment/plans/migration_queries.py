@@ -117,7 +117,7 @@ def migrated_resume_twice(spark: SparkSession, d: str) -> DataFrame:
     raw = document_records(spark, d)
     n = raw.count()
     target = fresh_path(spark, "target")
-    ledger, tables, last = f"{target}/ledger", [], (0, select.FIRST_RUN)
+    ledger, last = f"{target}/ledger", (0, select.FIRST_RUN)
     for k, upto in enumerate((n // 3, 2 * n // 3, n)):
         tables = _run(spark, d, target_dir=target, ledger_dir=ledger, limit=upto, resume=k > 0, resume_position=last[0], resume_last_id=last[1])
         sinks.write_outputs(tables, RunOptions(target_dir=target, ledger_dir=ledger), run_id=f"{k:03d}")
