@@ -2,8 +2,14 @@
 
 from __future__ import annotations
 
+import json
+from bisect import bisect_left, insort
+from collections.abc import Iterable
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from muniment import model as M
 from muniment.operators import spread
@@ -55,57 +61,76 @@ def fixity_block(writes: DataFrame, obj: str = "object_id") -> DataFrame:
     )
 
 
+_PARTS = "kind STRING, version INT, until INT, digest STRING, path STRING, body STRING"
+
+
+def _parts(df: DataFrame, obj: str, kind: str, **columns: Column) -> DataFrame:
+    """Rows of one kind in the common form of what an inventory is made of."""
+    kinds = dict(x.split(" ") for x in _PARTS.split(", "))
+    given = {n: columns.get(n, F.lit(None)).cast(t.lower()) for n, t in kinds.items() if n != "kind"}
+    return df.select(obj, F.struct(F.lit(kind).alias("kind"), *[c.alias(n) for n, c in given.items()]).alias("part"))
+
+
+def _document(obj: str, parts: list[dict], algorithm: str) -> tuple[str | None, str | None]:
+    """(head, inventory) of one object: its add and remove events are folded once, in the order of versions."""
+    text = lambda x: json.dumps(x, ensure_ascii=False)
+    versions = sorted((p["version"], p["body"]) for p in parts if p["kind"] == "version")
+    if not versions:
+        return None, None
+    events = sorted((at, change, p["digest"], p["path"]) for p in parts if p["kind"] == "state" for at, change in ((p["version"], 1), (p["until"], 0)) if at is not None)
+    live: dict[str, list[str]] = {}
+    shown: dict[str, str] = {}  # the text of each digest's paths, made anew only where it changes
+    state, i, out = "", 0, []
+    for version, body in versions:
+        changed = set()
+        while i < len(events) and events[i][0] <= version:
+            _, add, digest, path = events[i]
+            paths = live.setdefault(digest, [])
+            if add:
+                insort(paths, path)
+            else:
+                del paths[bisect_left(paths, path)]
+            changed.add(digest)
+            i += 1
+        for digest in changed:
+            if live[digest]:
+                shown[digest] = f"{text(digest)}:[{','.join(map(text, live[digest]))}]"
+            else:
+                del live[digest]
+                shown.pop(digest, None)
+        if changed:
+            state = ",".join(shown[d] for d in sorted(shown))
+        out.append(f'"v{version}":{body[:-1]}{"," if len(body) > 2 else ""}"state":{{{state}}}}}')
+    stored = ",".join(f"{text(d)}:[{text(p)}]" for d, p in sorted((p["digest"], p["path"]) for p in parts if p["kind"] == "manifest"))
+    head = f"v{versions[-1][0]}"
+    fields = {"id": obj, "type": M.INVENTORY_TYPE, "digestAlgorithm": algorithm, "head": head, "contentDirectory": "content"}
+    start = ",".join(f"{text(k)}:{text(v)}" for k, v in fields.items())
+    return head, f'{{{start},"fixity":{{}},"manifest":{{{stored}}},"versions":{{{",".join(out)}}}}}'
+
+
 def inventory_json(
     manifest: DataFrame, intervals: DataFrame, versions: DataFrame, algorithm: str, obj: str = "object_id"
 ) -> DataFrame:
     """(object, head, inventory): the inventory document of every target object.
 
-    ``versions(obj, version, created, message, user_name, user_address)``. The document repeats the whole state
-    per version by definition of its format; its size is bounded by the one source record behind the object.
+    ``versions(obj, version, created, message, user_name, user_address)``. What an object's document is made of comes together in one row, whose size the one source record
+    behind the object bounds; its state is swept over the versions, so no version is joined with the intervals. The document itself repeats the whole state
+    per version by definition of its format.
     """
-    state = (
-        versions.select(obj, "version")
-        .join(intervals, obj)
-        .where((F.col("from_version") <= F.col("version")) & (F.col("to_version").isNull() | (F.col("to_version") > F.col("version"))))
-        .groupBy(obj, "version", "digest")
-        .agg(F.sort_array(F.collect_list("path")).alias("paths"))
-        .groupBy(obj, "version")
-        .agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("digest", "paths")))).alias("state"))
-    )
-    per_version = versions.join(state, [obj, "version"], "left").select(
-        obj,
-        "version",
-        F.struct(
-            F.col("created"),
-            F.col("message"),
-            F.struct(F.col("user_name").alias("name"), F.col("user_address").alias("address")).alias("user"),
-            F.coalesce("state", F.expr("cast(map() as map<string, array<string>>)")).alias("state"),
-        ).alias("body"),
-    )
-    history = per_version.groupBy(obj).agg(
-        F.max("version").alias("_head"),
-        F.transform(
-            F.array_sort(F.collect_list(F.struct("version", "body")), lambda a, b: a["version"] - b["version"]),
-            lambda e: F.struct(F.concat(F.lit("v"), e["version"].cast("string")).alias("key"), e["body"].alias("value")),
-        ).alias("_versions"),
-    )
-    stored = manifest.groupBy(obj).agg(
-        F.map_from_entries(
-            F.sort_array(F.collect_list(F.struct(F.col("digest"), F.array("content_path").alias("paths"))))
-        ).alias("_manifest")
-    )
-    document = F.to_json(
-        F.struct(
-            F.col(obj).alias("id"),
-            F.lit(M.INVENTORY_TYPE).alias("type"),
-            F.lit(algorithm).alias("digestAlgorithm"),
-            F.concat(F.lit("v"), F.col("_head").cast("string")).alias("head"),
-            F.lit("content").alias("contentDirectory"),
-            F.expr("cast(map() as map<string, map<string, array<string>>>)").alias("fixity"),
-            F.coalesce("_manifest", F.expr("cast(map() as map<string, array<string>>)")).alias("manifest"),
-            F.map_from_entries("_versions").alias("versions"),
-        )
-    )
-    return history.join(stored, obj, "left").select(
-        obj, F.concat(F.lit("v"), F.col("_head").cast("string")).alias("head"), document.alias("inventory")
+    body = F.to_json(F.struct("created", "message", F.struct(F.col("user_name").alias("name"), F.col("user_address").alias("address")).alias("user")))
+    rows = (
+        _parts(versions, obj, "version", version=F.col("version"), body=body)
+        .unionByName(_parts(intervals, obj, "state", version=F.col("from_version"), until=F.col("to_version"), digest=F.col("digest"), path=F.col("path")))
+        .unionByName(_parts(manifest, obj, "manifest", digest=F.col("digest"), path=F.col("content_path")))
     )
+    schema = T.StructType([versions.schema[obj], T.StructField("head", T.StringType()), T.StructField("inventory", T.StringType())])
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                key = batch.column(0)[i].as_py()
+                head, inventory = _document(key, batch.column(1)[i].as_py(), algorithm)
+                if head is not None:
+                    yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, 1), pa.array([head]), pa.array([inventory])], names=schema.names)
+
+    return rows.groupBy(obj).agg(F.collect_list("part").alias("parts")).mapInArrow(run, schema)

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+from operator import and_
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from muniment.operators import spread
+from muniment.session import stage
 
 
 def run_report(writes: DataFrame, rejects: DataFrame, by: list[str] | None = None) -> DataFrame:
@@ -38,14 +42,52 @@ def run_report(writes: DataFrame, rejects: DataFrame, by: list[str] | None = Non
     )
 
 
+#: Ranks are first told to within one part in so many.
+ACCURACY = 10_000
+
+
 def latency_percentiles(
     df: DataFrame, by: list[str], value: str, points: list[float], slice_by: Column | None
 ) -> DataFrame:
     """Exact nearest-rank percentiles per group, one row per group and point.
 
-    Works on the histogram of distinct values, so a heavy group is reduced before it is moved and its
-    cumulative counts are computed slice by slice.
+    Selection in two passes: sketches, merged per group, give each point an interval of values that its rank lies in; then the rows below the interval are
+    counted, and only those inside are told apart by value. Both are combined before the shuffle, and no window runs over more than the values inside. Should an interval miss its
+    rank, the groups concerned are taken by ``percentiles_by_histogram``, sliced by ``slice_by``.
     """
+    known = df.where(F.col(value).isNotNull())
+    margin = 2 / ACCURACY
+    asked = [q for p in points for q in (max(0.0, p - margin), min(1.0, p + margin))]
+    borders = known.groupBy(*by).agg(F.count(F.lit(1)).alias("_total"), F.percentile_approx(value, asked, ACCURACY).alias("_at"))
+    each = F.array(*[
+        F.struct(F.lit(p).alias("point"), F.greatest(F.ceil(F.lit(p) * F.col("_total")), F.lit(1)).alias("rank"), F.col("_at")[2 * i].alias("low"), F.col("_at")[2 * i + 1].alias("high"))
+        for i, p in enumerate(points)
+    ])
+    borders = stage(borders.select(*by, "_total", each.alias("_points")), "percentile-borders")
+    keyed = [F.col(c).eqNullSafe(F.col(f"_b_{c}")) for c in by]
+    renamed = borders.select(*[F.col(c).alias(f"_b_{c}") for c in by], "_total", "_points")
+    joined = known.select(*by, value).join(renamed, reduce(and_, keyed)) if by else known.select(value).join(renamed)
+    # A row counts for a point if it does not lie above its interval; below it, its value does not matter.
+    met = joined.select(*by, value, "_total", F.explode(F.filter("_points", lambda p: F.col(value) <= p["high"])).alias("_p"))
+    inside = F.when(F.col(value) >= F.col("_p.low"), F.col(value))
+    counts = met.groupBy(*by, "_total", F.col("_p.point").alias("point"), F.col("_p.rank").alias("_rank"), inside.alias("percentile")).agg(F.count(F.lit(1)).alias("_n"))
+    order = Window.partitionBy(*by, "point").orderBy(F.col("percentile").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
+    summed = counts.withColumn("_upto", F.sum("_n").over(order))
+    hit = F.col("percentile").isNotNull() & (F.col("_upto") >= F.col("_rank")) & (F.col("_upto") - F.col("_n") < F.col("_rank"))
+    found = stage(summed.where(hit).select(*by, "point", "percentile", F.col("_total").alias("n")), "percentiles")
+    if found.count() == len(points) * borders.count():
+        return found
+    whole = found.groupBy(*by).count().where(F.col("count") == len(points)).drop("count")
+    same = [F.col(f"_l.{c}").eqNullSafe(F.col(f"_r.{c}")) for c in by] or [F.lit(True)]
+    ready = found.alias("_l").join(whole.alias("_r"), reduce(and_, same), "left_semi")
+    left = known.alias("_l").join(whole.alias("_r"), reduce(and_, same), "left_anti")
+    return ready.unionByName(percentiles_by_histogram(left, by, value, points, slice_by))
+
+
+def percentiles_by_histogram(
+    df: DataFrame, by: list[str], value: str, points: list[float], slice_by: Column | None
+) -> DataFrame:
+    """The same from the histogram of all distinct values, cumulated slice by slice."""
     histogram = df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias("_n"))
     summed = spread.running_sum(histogram, by, [value], "_n", slice_by, "_upto", "_total")
     wanted = F.explode(F.array(*[F.lit(p) for p in points]))
