@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import re
 from collections import Counter
 
 import awkward
@@ -224,3 +225,38 @@ def test_names_are_given_by_content():
         assert count.sum() == len(t) - 39
     shared = set(name[0]) & set(name[1]) & set(name[2])
     assert len(shared) > 100 and all(name[0][w] == name[1][w] == name[2][w] for w in shared)
+
+
+def shared_passages(texts, n_words=51, least=400):
+    """(documents that share n_words words with another place, byte for byte; those among them where the shared bytes are ``least`` or more)."""
+    places, spans = {}, []
+    for d, t in enumerate(texts):
+        ends = [(m.start(), m.end()) for m in re.finditer(rb"[^\x20\x09-\x0D]+", t)]
+        for i in range(len(ends) - n_words + 1):
+            key = hash(t[ends[i][0] : ends[i + n_words - 1][1]])
+            places.setdefault(key, []).append((d, ends[i][0], ends[i + n_words - 1][1]))
+    share, long = set(), set()
+    for group in places.values():
+        if len(group) > 1:
+            share |= {d for d, _, _ in group}
+            # The same bytes go on to both sides as far as the texts agree with another place.
+            d0, a0, b0 = group[0]
+            for d, a, b in group[1:]:
+                x, y = 0, 0
+                while a0 - x > 0 and a - x > 0 and texts[d0][a0 - x - 1] == texts[d][a - x - 1]:
+                    x += 1
+                while b0 + y < len(texts[d0]) and b + y < len(texts[d]) and texts[d0][b0 + y] == texts[d][b + y]:
+                    y += 1
+                if b - a + x + y >= least:
+                    long |= {d0, d}
+    return share, long
+
+
+def test_passages_of_400_bytes_are_all_caught(spark):
+    """Documents that share over 50 words lose bytes wherever what they share has 400 bytes; the others keep all, as the contract says."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = sorted((r.doc_id, (r.text or "").encode()) for r in docs.collect())
+    removed = {r.doc_id: r.n_removed for r in suffixes.substring_dedup(docs).collect()}
+    share, long = shared_passages([t for _, t in rows])
+    caught = {i for i in range(len(rows)) if removed[rows[i][0]] > 0}
+    assert long <= caught and long <= share and len(long) > 20
