@@ -451,7 +451,10 @@ def main_text(pages: DataFrame, keep: tuple[str, ...] = ("page_id", "url"), html
     """The columns ``keep``, the main text of each page, its code points and its blocks. One bounded sample, then map only."""
     html = F.col(f"`{html_col}`").cast("string")
     named = pages.select(html.alias("h")).where(F.lower("h").rlike("<(article|main)[\\s>]"))
-    rows = named.orderBy(F.xxhash64("h")).limit(sample).collect()
+    # Hashes first: only the pages of the least ones are sent on, each text once.
+    named = named.select(F.xxhash64("h").alias("x"), "h")
+    least = [r.x for r in named.select("x").distinct().orderBy("x").limit(sample).collect()]
+    rows = named.where(F.col("x") <= max(least)).groupBy("x").agg(F.min("h").alias("h")).orderBy("x").collect() if least else []
     model = train([r.h for r in rows])
 
     def setup():
