@@ -81,13 +81,17 @@ class RecordReader:
         self.marks = (len(rows.properties["name"]), len(rows.datastreams["ds_id"]), len(rows.versions["label"]))
         p = self.parser = expat.ParserCreate("utf-8", " ")
         p.buffer_text = True
+        if hasattr(p, "SetReparseDeferralEnabled"):
+            p.SetReparseDeferralEnabled(False)  # a tag is told as soon as it is whole, so its bytes are still held
         p.StartElementHandler, p.EndElementHandler, p.CharacterDataHandler = self._start, self._end, self._text
         p.CommentHandler = p.StartCdataSectionHandler = lambda *_: self._other()
         p.ProcessingInstructionHandler = lambda *_: self._other(True)
 
     def feed(self, chunk: bytes, last: bool = False) -> None:
         """Parse errors are raised as ``expat.ExpatError``."""
-        keep = self.body_at - self.base if self.state == "inline" else len(self.held)
+        # Bytes still needed: those of an open body, else those of a tag that may go on in this chunk.
+        last_tag = self.held.rfind(b"<")
+        keep = self.body_at - self.base if self.state == "inline" else last_tag if last_tag >= 0 else len(self.held)
         self.held, self.base = self.held[keep:] + chunk, self.base + keep
         self.parser.Parse(chunk, last)
 

@@ -192,3 +192,63 @@ def test_content_index_reads_large_files_in_chunks(spark, tmp_path):
     again = content.content_index(spark, str(tmp_path / "gone"), "akubra", ["md5"], str(tmp_path / "index"))
     assert again.count() == 3
     assert content.scan_content(spark, str(root), "akubra").where(F.col("internal_id").isNotNull()).count() == 2
+
+
+@pytest.mark.parametrize("change, problem", [
+    (('<foxml:datastream ID="DS1"', '<foxml:contentDigest TYPE="MD5" DIGEST="x"/><foxml:datastream ID="DS1"'), "element out of place: contentDigest in digitalObject"),
+    (('<foxml:datastreamVersion ID="DS1.0"', '<foxml:contentLocation/><foxml:datastreamVersion ID="DS1.0"'), "element out of place: contentLocation in datastream"),
+    (("</foxml:xmlContent>\n</foxml:datastreamVersion>\n<foxml:datastreamVersion ID=\"DS1.0\"", "</foxml:xmlContent><foxml:datastream ID='n'/>\n</foxml:datastreamVersion>\n<foxml:datastreamVersion ID=\"DS1.0\""), "element out of place: datastream in datastreamVersion"),
+    (("</foxml:digitalObject>", '<foxml:datastreamVersion ID="x"/></foxml:digitalObject>'), "element out of place: datastreamVersion in digitalObject"),
+    (("</foxml:digitalObject>", '<other:datastream xmlns:other="urn:o"/></foxml:digitalObject>'), "element out of place: datastream in digitalObject"),
+    (("<foxml:objectProperties>", "<!-- c --><foxml:objectProperties>"), "comment or instruction"),
+    (("</foxml:objectProperties>", "<!-- c --></foxml:objectProperties>"), None),
+    (("<two/>", "<two><!-- c --><foxml:datastream>text</foxml:datastream><?pi x?></two>"), None),
+    (("<?xml", "<?xml"), None),
+])
+def test_places_of_elements(spark, change, problem):
+    got = shred.structure_report(shred.parse_records(X.frame(spark, sample().replace(*change)))).collect()
+    assert [r.structure_problem.startswith(problem) for r in got] == ([True] if problem else [])
+
+
+def test_reader_gives_the_same_rows_for_any_chunks():
+    from muniment.functions import recordreader
+
+    text = sample().replace("<two/>", "<two>é ü <![CDATA[</x>]]></two>").encode()
+    want = recordreader.Rows()
+    recordreader.read_record(want, text)
+    for size in (1, 7, 64):
+        rows = recordreader.Rows()
+        reader = recordreader.RecordReader(rows)
+        for at in range(0, len(text), size):
+            reader.feed(text[at : at + size])
+        reader.feed(b"", True)
+        reader.close()
+        assert [a.to_pylist() for a in rows.arrays()] == [a.to_pylist() for a in want.arrays()]
+    assert want.versions["inline_xml"][1] == "\n<two>é ü <![CDATA[</x>]]></two>\n" and want.objects["problem"] == [None]
+
+
+def test_large_and_empty_records_are_rejects(spark, tmp_path):
+    (tmp_path / "good").write_text(sample())
+    (tmp_path / "empty").write_text("")
+    (tmp_path / "large").write_text(sample() + " " * 5000)
+    parsed = shred.parse_records(records.scan_records(spark, str(tmp_path), limit=len(sample().encode()) + 100))
+    problems = {r.path.rsplit("/")[-1]: r.problem for r in parsed.collect()}
+    assert problems["good"] is None and problems["empty"] == "malformed record" and problems["large"].startswith("record too large")
+    assert shred.unreadable(parsed).count() == 2
+
+
+def test_listing_goes_on_from_folders_left_over(spark, tmp_path, monkeypatch):
+    from muniment.sources import tree
+
+    monkeypatch.setattr(tree, "AT_ONCE", 2)
+    want = set()
+    for i in range(30):
+        folder = tmp_path / f"a{i % 3}" / f"_b{i % 5}" / f".c{i % 2}"
+        folder.mkdir(parents=True, exist_ok=True)
+        (folder / f"f {i}%").write_bytes(b"x" * (i % 4))
+        want.add((f"f {i}%", i % 4))
+    got = tree.list_tree(spark, str(tmp_path)).collect()
+    assert {(r.path.rsplit("/")[-1], r.length) for r in got} == want and len(got) == 30
+    (tmp_path / "nothing").mkdir()
+    assert tree.list_tree(spark, str(tmp_path / "nothing")).count() == 0
+    assert content.digest_content(spark, str(tmp_path / "nothing"), ["md5"]).count() == 0
