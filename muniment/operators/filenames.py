@@ -9,7 +9,7 @@ from muniment.functions import ids, mime
 from muniment.operators import spread
 
 
-def name_events(rels: DataFrame, names: DataFrame, obj: str, slice_by: Column | None = None) -> DataFrame:
+def name_events(rels: DataFrame, names: DataFrame, obj: str, slice_by: Column | str | None = None) -> DataFrame:
     """Set and clear events of download names.
 
     ``rels(obj, version, pos)`` are the relationship versions of an object; ``names(obj, version, pos, ds_id,
@@ -33,7 +33,7 @@ def name_events(rels: DataFrame, names: DataFrame, obj: str, slice_by: Column |
 
 def filename_history(
     content: DataFrame, rels: DataFrame, names: DataFrame, obj: str, add_extensions: bool = False,
-    slice_by: Column | None = None, filename_compat: bool = True,
+    slice_by: Column | str | None = None, filename_compat: bool = True,
 ) -> DataFrame:
     """One row per (object, datastream, version) at which the filename is written anew.
 
@@ -51,17 +51,13 @@ def filename_history(
         obj, "ds_id", "version", "pos", "kind",
         F.lit(None).cast("string").alias("label"), F.lit(None).cast("string").alias("mime_type"), "download_name",
     )
-    # A relationship version acts on names in reading order but writes at the end of its version.
+    # A relationship version acts on names in reading order but writes at the end of its version: it sees all content of it.
     events = contents.unionByName(renames).withColumn("phase", (F.col("kind") != "content").cast("int"))
     is_content = F.col("kind") == "content"
+    own = F.when(is_content, F.struct("label", "mime_type"))
     events = spread.carry_forward(
-        events, keys, ["version", "pos", "phase"],
-        {"_name": F.when(~is_content, F.struct("download_name"))}, slice_by,
-    )
-    events = spread.carry_forward(
-        events, keys, ["version", "phase", "pos"],
-        {"_content": F.when(is_content, F.struct("label", "mime_type"))}, slice_by,
-    )
+        events, keys, ["version", "pos", "phase"], {"_name": F.when(~is_content, F.struct("download_name"))}, slice_by, {"_read": own}
+    ).withColumn("_content", F.coalesce(own, "_read"))
     extension = mime.mime_extension(F.col("_content.mime_type")) if add_extensions else None
     resolved = ids.resolve_filename(F.col("ds_id"), F.col("_content.label"), F.col("_name.download_name"), extension)
     named = (F.col("kind") == "set") & ids.not_blank(F.col("download_name"))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from muniment.operators import spread
 
 
-def version_history(df: DataFrame, key: str | list[str], created: str, slice_by: Column | None = None) -> DataFrame:
+def version_history(df: DataFrame, key: str | list[str], created: str, slice_by: Column | str | None = None) -> DataFrame:
     """One row per object version: distinct created strings in string order, 0-based, with first/last flags."""
     keys = [key] if isinstance(key, str) else key
     dates = df.select(*keys, created).distinct()
@@ -28,7 +28,7 @@ def changed_per_version(
     created: str,
     ds: str,
     position: str,
-    slice_by: Column | None = None,
+    slice_by: Column | str | None = None,
     carry: list[str] | None = None,
 ) -> DataFrame:
     """One row per changed datastream version of each object version.
@@ -56,7 +56,7 @@ def ds_extent(df: DataFrame, keys: list[str], order: list[str], pick: list[str])
     return df.groupBy(*keys).agg(*aggs)
 
 
-def rank_ds_versions(df: DataFrame, keys: list[str], order: list[str], slice_by: Column | None = None) -> DataFrame:
+def rank_ds_versions(df: DataFrame, keys: list[str], order: list[str], slice_by: Column | str | None = None) -> DataFrame:
     """Every datastream version flagged as first / last of its datastream in time order."""
     at = F.struct(*order)
     marked = spread.attach_extreme(df, keys, {"_first": ("min", at), "_last": ("max", at)}, slice_by)
@@ -68,7 +68,7 @@ def rank_ds_versions(df: DataFrame, keys: list[str], order: list[str], slice_by:
 
 
 def with_create_date(
-    df: DataFrame, keys: list[str], order: list[str], created: str, slice_by: Column | None = None
+    df: DataFrame, keys: list[str], order: list[str], created: str, slice_by: Column | str | None = None
 ) -> DataFrame:
     """Every datastream version with the created value of its datastream's first version."""
     columns = [*order, *([created] if created not in order else [])]
@@ -77,7 +77,7 @@ def with_create_date(
 
 
 def asof_state(
-    df: DataFrame, keys: list[str], order: list[str], values: dict[str, Column], slice_by: Column | None = None
+    df: DataFrame, keys: list[str], order: list[str], values: dict[str, Column], slice_by: Column | str | None = None
 ) -> DataFrame:
     """Carry each value forward on its own: complete state at every version."""
     return spread.carry_forward(df, keys, order, values, slice_by)
@@ -120,7 +120,7 @@ def target_objects(
     resource_id: Column,
     created: str,
     on_object: Column,
-    slice_by: Column | None = None,
+    slice_by: Column | str | None = None,
 ) -> DataFrame:
     """Versions per target object.
 
