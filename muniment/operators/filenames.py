@@ -15,20 +15,27 @@ def name_events(rels: DataFrame, names: DataFrame, obj: str, slice_by: Column |
     ``rels(obj, version, pos)`` are the relationship versions of an object; ``names(obj, version, pos, ds_id,
     download_name)`` what each of them names. A name is cleared by the next relationship version of the
     object that does not repeat it.
+
+    What one relationship version names is a list, bounded by its document; the next one's names travel with
+    its place, so names are set and cleared from one row and no join back is needed.
     """
     at = ["version", "pos"]
-    following = rels.select(obj, *at).distinct().withColumn("_at", F.struct(*at))
-    following = spread.next_value(following, [obj], at, "_at", slice_by, "_next").drop("_at")
-    named = names.select(obj, *at, "ds_id", "download_name")
-    expired = (
-        named.join(following, [obj, *at])
-        .where(F.col("_next").isNotNull())
-        .select(obj, F.col("_next.version").alias("version"), F.col("_next.pos").alias("pos"), "ds_id")
-        .join(named.select(obj, *at, "ds_id"), [obj, *at, "ds_id"], "left_anti")
-    )
-    return named.withColumn("kind", F.lit("set")).unionByName(
-        expired.withColumn("download_name", F.lit(None).cast("string")).withColumn("kind", F.lit("clear"))
+    named = F.struct("ds_id", "download_name")
+    listed = (
+        rels.select(obj, *at, F.lit(None).cast(names.select(named.alias("n")).schema["n"].dataType).alias("_named"))
+        .unionByName(names.select(obj, *at, named.alias("_named")))
+        .groupBy(obj, *at)
+        .agg(F.collect_list("_named").alias("_names"))
+        .withColumn("_ids", F.col("_names.ds_id"))
+        .withColumn("_here", F.struct(*at, "_ids"))
     )
+    pairs = spread.next_value(listed, [obj], at, "_here", slice_by, "_next").drop("_here")
+    sets = F.transform("_names", lambda n: F.struct(
+        F.col("version"), F.col("pos"), n["ds_id"].alias("ds_id"), n["download_name"].alias("download_name"), F.lit("set").alias("kind")))
+    cleared = F.transform(F.array_except("_ids", "_next._ids"), lambda i: F.struct(
+        F.col("_next.version").alias("version"), F.col("_next.pos").alias("pos"), i.alias("ds_id"),
+        F.lit(None).cast("string").alias("download_name"), F.lit("clear").alias("kind")))
+    return pairs.select(obj, F.inline(F.concat(sets, F.coalesce(cleared, F.array()))))
 
 
 def filename_history(

@@ -57,6 +57,15 @@ def asof_state(spark: SparkSession, d: str) -> DataFrame:
     ).select("user_id", "event_id", "purchase_k", "signup_value")
 
 
+def asof_crowded(spark: SparkSession, d: str) -> DataFrame:
+    """Four heavy groups, each crowded into a few days: slices by measured row counts."""
+    rows = events(spark, d).select("event_type", "event_id", "ts", "user_id", "k")
+    return history.asof_state(
+        rows, ["event_type"], ["ts", "event_id"],
+        {"low_k": F.when(F.col("k") < 10, F.col("k")), "even_user": F.when(F.col("user_id") % 2 == 0, F.col("user_id"))}, spread.MEASURED,
+    ).select("event_type", "event_id", "low_k", "even_user")
+
+
 def head_only(spark: SparkSession, d: str) -> DataFrame:
     rows = events(spark, d).select("user_id", "event_type", "event_id", "created", "k")
     return history.head_only(rows, "user_id", ["event_type"], ["created", "event_id"], "created")
@@ -239,7 +248,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         version_history, changed_per_version, first_last_versions, rank_ds_versions, create_date, was_changed,
-        asof_state, head_only, snapshot_at, target_objects, apply_deletes, object_state, resolve_content,
+        asof_state, asof_crowded, head_only, snapshot_at, target_objects, apply_deletes, object_state, resolve_content,
         resolve_by_digest, filter_pids, pending, limit_objects, scan_positions, resume_after, accept_all,
         select_objects, conflicts, without_existing, rename_properties, filename_history, resources_to_write,
         memento_dates,
@@ -302,6 +311,10 @@ SELECT user_id, event_id,
   last_value(CASE WHEN event_type = 'purchase' THEN {_K} END IGNORE NULLS) OVER w AS purchase_k,
   last_value(CASE WHEN event_type = 'signup' THEN value END IGNORE NULLS) OVER w AS signup_value
 FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""",
+    "asof_crowded": f"""
+SELECT event_type, event_id, last_value(CASE WHEN {_K} < 10 THEN {_K} END IGNORE NULLS) OVER w AS low_k,
+  last_value(CASE WHEN user_id % 2 = 0 THEN user_id END IGNORE NULLS) OVER w AS even_user
+FROM events WINDOW w AS (PARTITION BY event_type ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""",
     "head_only": f"""
 SELECT user_id, event_type, event_id, created, k, version_date FROM (
   SELECT user_id, event_type, event_id, {_EV} AS created, {_K} AS k, min({_EV}) OVER (PARTITION BY user_id) AS version_date,
