@@ -47,52 +47,52 @@ _PREFERRED = {
 #: Media type -> file extension: the first one of the standard table, which this machine's settings don't change, or the preferred one.
 EXTENSIONS = {t: e[0] for t, e in mimetypes.MimeTypes().types_map_inv[True].items()} | _PREFERRED
 
-# Fixed values: (offset, bytes in hex, media type); of those that fit, the longest decides. The types inside
-# containers (zip, RIFF, ISO media) are told by bytes further in.
+# Fixed values: (offset, bytes, media type); of those that fit, the longest decides. The types inside
+# containers (RIFF, ISO media, zip files that begin with their type) are told by bytes further in; those of office
+# documents by the names in their directory (see ``containers``).
 SIGNATURES = [
-    (0, "25504446", "application/pdf"),
-    (0, "89504E470D0A1A0A", "image/png"),
-    (0, "FFD8FF", "image/jpeg"),
-    (0, "47494638", "image/gif"),
-    (0, "49492A00", "image/tiff"),
-    (0, "4D4D002A", "image/tiff"),
-    (0, "424D", "image/bmp"),
-    (0, "38425053", "image/vnd.adobe.photoshop"),
-    (0, "0000000C6A5020200D0A870A", "image/jp2"),
-    (8, "57454250", "image/webp"),
-    (8, "57415645", "audio/vnd.wave"),
-    (8, "41564920", "video/x-msvideo"),
-    (0, "494433", "audio/mpeg"),
-    (0, "4F676753", "application/ogg"),
-    (0, "664C6143", "audio/x-flac"),
-    (0, "4D546864", "audio/midi"),
-    (4, "6674797069736F", "video/mp4"),
-    (4, "667479706D7034", "video/mp4"),
-    (4, "6674797071742020", "video/quicktime"),
-    (0, "1A45DFA3", "video/x-matroska"),
-    (0, "000001BA", "video/mpeg"),
-    (0, "504B0304", "application/zip"),
-    (30, "6D696D65747970656170706C69636174696F6E2F657075622B7A6970", "application/epub+zip"),
-    (30, "6D696D65747970656170706C69636174696F6E2F766E642E6F617369732E6F70656E646F63756D656E742E74657874", "application/vnd.oasis.opendocument.text"),
-    (30, "6D696D65747970656170706C69636174696F6E2F766E642E6F617369732E6F70656E646F63756D656E742E7370726561647368656574", "application/vnd.oasis.opendocument.spreadsheet"),
-    (30, "6D696D65747970656170706C69636174696F6E2F766E642E6F617369732E6F70656E646F63756D656E742E70726573656E746174696F6E", "application/vnd.oasis.opendocument.presentation"),
-    (30, "5B436F6E74656E745F54797065735D2E786D6C", "application/vnd.openxmlformats-officedocument"),
-    (0, "D0CF11E0A1B11AE1", "application/x-ole-storage"),
-    (0, "1F8B", "application/gzip"),
-    (0, "425A68", "application/x-bzip2"),
-    (0, "FD377A585A00", "application/x-xz"),
-    (0, "377ABCAF271C", "application/x-7z-compressed"),
-    (0, "526172211A07", "application/x-rar-compressed"),
-    (257, "7573746172", "application/x-tar"),
-    (0, "25215053", "application/postscript"),
-    (0, "7B5C727466", "application/rtf"),
-    (0, "3C3F786D6C", "application/xml"),
-    (0, "3C21444F43545950452068746D6C", "text/html"),
-    (0, "3C21646F63747970652068746D6C", "text/html"),
-    (0, "3C68746D6C", "text/html"),
+    (0, b"%PDF", "application/pdf"),
+    (0, b"\x89PNG\r\n\x1a\n", "image/png"),
+    (0, b"\xff\xd8\xff", "image/jpeg"),
+    (0, b"GIF8", "image/gif"),
+    (0, b"II*\x00", "image/tiff"),
+    (0, b"MM\x00*", "image/tiff"),
+    (0, b"BM", "image/bmp"),
+    (0, b"8BPS", "image/vnd.adobe.photoshop"),
+    (0, b"\x00\x00\x00\x0cjP  \r\n\x87\n", "image/jp2"),
+    (8, b"WEBP", "image/webp"),
+    (8, b"WAVE", "audio/vnd.wave"),
+    (8, b"AVI ", "video/x-msvideo"),
+    (0, b"ID3", "audio/mpeg"),
+    (0, b"OggS", "application/ogg"),
+    (0, b"fLaC", "audio/x-flac"),
+    (0, b"MThd", "audio/midi"),
+    (4, b"ftypiso", "video/mp4"),
+    (4, b"ftypmp4", "video/mp4"),
+    (4, b"ftypqt  ", "video/quicktime"),
+    (0, b"\x1aE\xdf\xa3", "video/x-matroska"),
+    (0, b"\x00\x00\x01\xba", "video/mpeg"),
+    (0, b"PK\x03\x04", "application/zip"),
+    (30, b"mimetypeapplication/epub+zip", "application/epub+zip"),
+    (30, b"mimetypeapplication/vnd.oasis.opendocument.text", "application/vnd.oasis.opendocument.text"),
+    (30, b"mimetypeapplication/vnd.oasis.opendocument.spreadsheet", "application/vnd.oasis.opendocument.spreadsheet"),
+    (30, b"mimetypeapplication/vnd.oasis.opendocument.presentation", "application/vnd.oasis.opendocument.presentation"),
+    (0, b"\xd0\xcf\x11\xe0\xa1\xb1\x1a\xe1", "application/x-ole-storage"),
+    (0, b"\x1f\x8b", "application/gzip"),
+    (0, b"BZh", "application/x-bzip2"),
+    (0, b"\xfd7zXZ\x00", "application/x-xz"),
+    (0, b"7z\xbc\xaf'\x1c", "application/x-7z-compressed"),
+    (0, b"Rar!\x1a\x07", "application/x-rar-compressed"),
+    (257, b"ustar", "application/x-tar"),
+    (0, b"%!PS", "application/postscript"),
+    (0, b"{\\rtf", "application/rtf"),
+    (0, b"<?xml", "application/xml"),
+    (0, b"<!DOCTYPE html", "text/html"),
+    (0, b"<!doctype html", "text/html"),
+    (0, b"<html", "text/html"),
 ]
 #: Bytes of a content that its type is told by.
-MAGIC_BYTES = max(offset + len(magic) // 2 for offset, magic, _ in SIGNATURES)
+MAGIC_BYTES = max(offset + len(magic) for offset, magic, _ in SIGNATURES)
 
 # Name ending -> media type, tried when the bytes say nothing.
 BY_NAME = {
@@ -115,13 +115,12 @@ def mime_extension(mime: Column) -> Column:
     return F.coalesce(_lookup(bare, EXTENSIONS), F.lit(""))
 
 
-def detect_mime(declared: Column, head: Column, name: Column) -> Column:
-    """Declared type, else the type of the leading bytes, else of the name's ending."""
-    hexed = F.hex(head)
+def detect_mime(declared: Column, head: Column, name: Column, inside: Column | None = None) -> Column:
+    """Declared type, else the type told ``inside`` a container, else that of the leading bytes, else of the name's ending."""
     found = None
     for offset, magic, mime in sorted(SIGNATURES, key=lambda s: -len(s[1])):
-        fits = F.substring(hexed, 2 * offset + 1, len(magic)) == magic
+        fits = F.substring(head, offset + 1, len(magic)) == F.lit(magic)
         found = F.when(fits, F.lit(mime)) if found is None else found.when(fits, F.lit(mime))
     ending = F.when(name.contains("."), F.lower(F.substring_index(name, ".", -1)))
-    detected = F.coalesce(found, _lookup(ending, BY_NAME), F.lit(UNKNOWN))
+    detected = F.coalesce(*([] if inside is None else [inside]), found, _lookup(ending, BY_NAME), F.lit(UNKNOWN))
     return F.when(declared.isNotNull() & (declared != ""), declared).otherwise(detected)

@@ -148,12 +148,13 @@ def _with_content(opts: RunOptions, facts: DataFrame, index: DataFrame | None, a
     internal = F.col("content_kind") == "internal"
     if index is None:
         resolved = facts.withColumn("resolution", F.when(internal, "unresolved"))
-        for name, kind in (("content_path", "string"), ("length", "bigint"), ("head", "binary")):
+        for name, kind in (("content_path", "string"), ("length", "bigint"), ("head", "binary"), ("inside", "string")):
             resolved = resolved.withColumn(name, F.lit(None).cast(kind))
         stored_digest = stored_actual = F.lit(None).cast("string")
     else:
         wanted = facts.withColumn("internal_id", F.when(internal, F.col("content_ref")))
-        slim = index.select("internal_id", "path", "length", "head", *algorithms)
+        inside = F.col("inside") if "inside" in index.columns else F.lit(None).cast("string")
+        slim = index.select("internal_id", "path", "length", "head", inside.alias("inside"), *algorithms)
         rest = wanted.where(~internal).drop("internal_id")
         # Only internal references travel to the index; all other versions keep their place.
         joined = resolve.resolve_content(
@@ -166,10 +167,10 @@ def _with_content(opts: RunOptions, facts: DataFrame, index: DataFrame | None, a
         .withColumn("target_digest", F.when(internal, stored_digest).otherwise(F.col("own_digest")))
         .withColumn("bytes", F.when(internal, F.col("length")).otherwise(F.col("own_bytes")))
         .withColumn("declared_mime", F.col("mime_type"))
-        .withColumn("mime_type", mime.detect_mime(F.col("mime_type"), F.coalesce("own_head", "head"), F.col("ds_id")))
+        .withColumn("mime_type", mime.detect_mime(F.col("mime_type"), F.coalesce("own_head", "head"), F.col("ds_id"), F.col("inside")))
         .withColumn("content_status", validate.content_status(not opts.disable_checksum_validation))
     )
-    return out.drop("length", "head", "own_bytes", "own_head", "own_digest", "own_actual", *(algorithms if index is not None else []))
+    return out.drop("length", "head", "inside", "own_bytes", "own_head", "own_digest", "own_actual", *(algorithms if index is not None else []))
 
 
 def _documents(whole: DataFrame, versions: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from muniment import model as M
-from muniment.functions import ids
+from muniment.functions import containers, ids, mime
 from muniment.model import RunOptions
 from muniment.operators import shred, triples
 from muniment.plans import render as R
@@ -15,6 +15,9 @@ from muniment.session import fresh_path
 from muniment.sources import content, records, sinks, tree
 
 T1 = "2020-01-01T00:00:00.000Z"
+_PART_ENTRY = {
+    "ECONOMY": "word/document.xml", "PROMO": "xl/workbook.xml", "STANDARD": "ppt/presentation.xml", "MEDIUM": "META-INF/MANIFEST.MF",
+}
 
 
 def _supplier_pid():
@@ -39,7 +42,7 @@ def scan_records(spark: SparkSession, d: str) -> DataFrame:
 
 
 def write_files(rows: DataFrame, name: str) -> str:
-    """``rows(file, value)`` as a tree with one file per row, written by tasks; a file that is written again is the same."""
+    """``rows(file, value)`` as a tree with one file per row, its value a text or bytes, written by tasks; a file that is written again is the same."""
     root = fresh_path(rows.sparkSession, name)
 
     def run(batches):
@@ -52,10 +55,11 @@ def write_files(rows: DataFrame, name: str) -> str:
                 if filesystem.get_file_info(path.rpartition("/")[0]).type != fs.FileType.Directory:
                     filesystem.create_dir(path.rpartition("/")[0], recursive=True)
                 with filesystem.open_output_stream(path) as out:
-                    out.write((value or "").encode())
+                    out.write(value if isinstance(value, bytes) else (value or "").encode())
             yield batch
 
-    rows.select("file", "value").mapInArrow(run, "file STRING, value STRING").count()
+    files = rows.select("file", "value")
+    files.mapInArrow(run, files.schema).count()
     return root
 
 
@@ -71,6 +75,34 @@ def scan_content(spark: SparkSession, d: str) -> DataFrame:
     return found.join(listed, "path").select("internal_id", "length", F.decode("head", "UTF-8").alias("head"), "md5", "sha256")
 
 
+def container_types(spark: SparkSession, d: str) -> DataFrame:
+    """Every part's name inside a container of its type (documents, sheets, slides, books, archives): the type is told by the container's directory."""
+    entry = F.create_map(*[F.lit(x) for pair in _PART_ENTRY.items() for x in pair])
+    rows = table(spark, d, "part").select(
+        F.col("p_partkey").cast("string").alias("file"), F.coalesce(F.try_element_at(entry, "p_type"), F.lit("notes.txt")).alias("entry"), "p_name")
+
+    def zipped(batches):
+        import io
+        import zipfile
+
+        import pyarrow as pa
+
+        for batch in batches:
+            made = []
+            for entry, text in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+                held = io.BytesIO()
+                with zipfile.ZipFile(held, "w") as archive:
+                    archive.writestr("[Content_Types].xml", "<Types/>")
+                    archive.writestr(entry, text or "")
+                made.append(held.getvalue())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(made, pa.binary())], names=["file", "value"])
+
+    root = write_files(rows.mapInArrow(zipped, "file STRING, value BINARY"), "containers")
+    found = content.digest_content(spark, root, [])
+    name = ids.file_name(F.col("path"))
+    return found.select(name.cast("bigint").alias("p_partkey"), mime.detect_mime(F.lit(None).cast("string"), F.col("head"), name, F.col("inside")).alias("mime"))
+
+
 def scan_all_names(spark: SparkSession, d: str) -> DataFrame:
     """Files in plain folders, and in folders whose names begin with ``_`` or ``.``, all read back; every seventh is empty."""
     key = F.col("s_suppkey")
@@ -140,7 +172,7 @@ def written_ntriples(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {
-    f.__name__: f for f in (scan_records, scan_all_names, encoded_records, scan_content, pid_list_source, mapping_source, written_resources, written_ntriples)
+    f.__name__: f for f in (scan_records, scan_all_names, encoded_records, scan_content, container_types, pid_list_source, mapping_source, written_resources, written_ntriples)
 }
 
 _S = "'<info:fedora/supplier:' || s_suppkey || '> '"
@@ -159,6 +191,9 @@ SELECT 'doc:' || doc_id AS pid, lang, regexp_replace(text, '[^A-Za-z\u00c0-\u00f
 WITH c AS (SELECT 'part%3A' || p_partkey AS id, CASE WHEN p_partkey % 10 = 0 THEN '' ELSE p_name END AS body FROM part
   UNION ALL SELECT '_s' || s_suppkey, s_name FROM supplier)
 SELECT id AS internal_id, CAST(strlen(body) AS BIGINT) AS length, substr(body, 1, 64) AS head, md5(body) AS md5, sha256(body) AS sha256 FROM c""",
+    "container_types": "SELECT p_partkey, CASE p_type "
+    + " ".join(f"WHEN '{kind}' THEN '{containers.IN_ZIP[entry]}'" for kind, entry in _PART_ENTRY.items())
+    + " ELSE 'application/zip' END AS mime FROM part",
     "pid_list_source": "SELECT DISTINCT 'customer:' || c_custkey AS pid FROM customer",
     "mapping_source": "SELECT 'part=' || p_partkey AS source, p_name AS target FROM part",
     "written_resources": """

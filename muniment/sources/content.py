@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from muniment.functions import ids, mime
+from muniment.functions import containers, ids, mime
 from muniment.functions import values as V
 from muniment.session import stage
 from muniment.sources import tree
@@ -37,11 +37,14 @@ def bad_names(index: DataFrame) -> DataFrame:
 
 
 def digest_content(spark: SparkSession, root: str, algorithms: list[str], chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
-    """(path, length, head, one hex column per algorithm): each file read once in chunks by a task, whatever its size, its bytes never moved on."""
+    """(path, length, head, inside, one hex column per algorithm): each file read once in chunks by a task, whatever its size, its bytes never moved on.
+
+    ``inside`` is the media type that a container's directory tells; it is null where only Spark's own file source can open the tree.
+    """
     if not tree.reads(tree.qualified(spark, root)):
         files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
         digests = [V.INDEX_DIGESTS[a](F.col("content")).alias(a) for a in algorithms]
-        return files.select("path", "length", F.substring(F.col("content"), 1, mime.MAGIC_BYTES).alias("head"), *digests)
+        return files.select("path", "length", F.substring(F.col("content"), 1, mime.MAGIC_BYTES).alias("head"), F.lit(None).cast("string").alias("inside"), *digests)
 
     def digest(path: str, length: int) -> tuple:
         hashes, head = [hashlib.new(a) for a in algorithms], b""
@@ -51,9 +54,13 @@ def digest_content(spark: SparkSession, root: str, algorithms: list[str], chunk_
                     head += bytes(chunk[: mime.MAGIC_BYTES - len(head)])
                 for h in hashes:
                     h.update(chunk)
-        return (head, *[h.hexdigest() for h in hashes])
+        inside = None
+        if head.startswith((containers.ZIP, containers.COMPOUND)):
+            with tree.open_random(path) as file:
+                inside = containers.media_type(file, length, head)
+        return (head, inside, *[h.hexdigest() for h in hashes])
 
-    added = ", ".join(["head BINARY", *[f"{a} STRING" for a in algorithms]])
+    added = ", ".join(["head BINARY", "inside STRING", *[f"{a} STRING" for a in algorithms]])
     return tree.map_files(tree.list_tree(spark, root), digest, added, ["path", "length"])
 
 
@@ -65,7 +72,7 @@ def content_index(
         marker = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(index_dir, "_SUCCESS")
         if marker.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(marker):
             stored = spark.read.parquet(index_dir)
-            if set(algorithms) <= set(stored.columns):
+            if {"inside", *algorithms} <= set(stored.columns):
                 return stored
     name = ids.file_name(F.col("path"))
     internal = ID_OF_NAME[id_of_name](name) if isinstance(id_of_name, str) else id_of_name

@@ -42,6 +42,12 @@ def open_file(path: str):
     return filesystem.open_input_stream(name)
 
 
+def open_random(path: str):
+    """A file that is read by position."""
+    filesystem, name = opened(path)
+    return filesystem.open_input_file(name)
+
+
 def entries(folder: str) -> Iterable[tuple[bool, str, int | None, int | None]]:
     """(is a folder, path, bytes, milliseconds of its last change) of what a folder holds."""
     from pyarrow import fs
