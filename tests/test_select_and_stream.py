@@ -69,3 +69,26 @@ def test_stream_takes_new_files_once(spark, tmp_path):
     assert names(out["versions"]) == ["s:1", "s:2", "s:3"]
     out = ingest.ingest_available(ingest.stream_records(spark, str(tmp_path / "in")), sink, checkpoint)
     assert out["versions"].count() == 3
+
+
+def test_stream_encodings_and_repeated_ids(spark, tmp_path):
+    sink, checkpoint = fresh_path(spark, "sink"), fresh_path(spark, "check")
+
+    def put(name, pid, encoding="UTF-8", label="x"):
+        text = X.record(pid, [X.ds("DS", [X.version("DS.0", X.t(1), X.inline(f"<a>{label}</a>"))])]).split("?>", 1)[-1]
+        (tmp_path / name).write_bytes(f'<?xml version="1.0" encoding="{encoding}"?>{text}'.encode(encoding))
+
+    def run():
+        return ingest.ingest_available(ingest.stream_records(spark, str(tmp_path)), sink, checkpoint)
+
+    put("a", "s:1", "UTF-16", "h\u00e9"), put("b", "s:2", "ISO-8859-1", "\u00fc"), put("c", "s:2")
+    (tmp_path / "bad").write_bytes(b'<?xml version="1.0"?><a>\xff</a>')
+    out = run()
+    bodies = {r.pid: r.inline_xml for r in out["versions"].collect()}
+    assert set(bodies) == {"s:1", "s:2"} and "h\u00e9" in bodies["s:1"] and "\u00fc" in bodies["s:2"]
+    assert [r.pid for r in out["rejects"].collect()] == ["s:2"]
+    put("d", "s:1"), put("e", "s:3")
+    out = run()
+    assert sorted((r.pid, r.path[-2:]) for r in out["rejects"].collect()) == [("s:1", "/d"), ("s:2", "/c")]
+    assert sorted(r.pid for r in out["parsed"].collect() if r.pid) == ["s:1", "s:2", "s:3"]
+    assert {r.pid: r.inline_xml for r in out["versions"].collect()}.items() > bodies.items()
