@@ -11,7 +11,7 @@ from muniment.model import RunOptions
 from muniment.operators import shred, triples
 from muniment.plans import render as R
 from muniment.plans.tables import table
-from muniment.session import fresh_path
+from muniment.session import fresh_path, spread_rows, stage
 from muniment.sources import content, records, sinks, tree
 
 T1 = "2020-01-01T00:00:00.000Z"
@@ -24,11 +24,16 @@ def _supplier_pid():
     return F.concat(F.lit("supplier:"), F.col("s_suppkey").cast("string"))
 
 
-def _one_file_per_row(rows: DataFrame, name: str) -> str:
-    """``rows(id, value)`` as a directory tree with one text file per id."""
-    root = fresh_path(rows.sparkSession, name)
-    rows.write.partitionBy("id").text(root)
-    return root
+#: Folders that files are dealt into, and files that one task writes.
+FOLDERS, FILES_AT_ONCE = 256, 2000
+
+
+def _one_file_per_id(rows: DataFrame, name: str) -> str:
+    """``rows(id, value)`` as a directory tree with one text file per id, a line for each of its rows."""
+    lines = F.sort_array(F.collect_list(F.coalesce("value", F.lit(""))))
+    files = rows.groupBy("id").agg(F.concat(F.array_join(lines, "\n"), F.lit("\n")).alias("value"))
+    folder = F.pmod(F.xxhash64("id"), F.lit(FOLDERS)).cast("string")
+    return write_files(files.select(F.concat(folder, F.lit("/id="), F.coalesce(F.col("id").cast("string"), F.lit("null"))).alias("file"), "value"), name)
 
 
 def scan_records(spark: SparkSession, d: str) -> DataFrame:
@@ -36,30 +41,37 @@ def scan_records(spark: SparkSession, d: str) -> DataFrame:
         _supplier_pid(), [(M.STATE_PROPERTY, F.lit("Active"))],
         [R.datastream("NAME", "X", "A", [R.version("NAME.0", T1, R.inline(F.concat(F.lit("<n>"), R.escape(F.col("s_name")), F.lit("</n>"))))])],
     )
-    root = _one_file_per_row(table(spark, d, "supplier").select(F.col("s_suppkey").alias("id"), xml.alias("value")), "record-files")
+    root = _one_file_per_id(table(spark, d, "supplier").select(F.col("s_suppkey").alias("id"), xml.alias("value")), "record-files")
     parsed = shred.parse_records(records.scan_records(spark, root))
     return shred.shred_versions(parsed).select("pid", "ds_id", "version_id", "inline_xml")
 
 
 def write_files(rows: DataFrame, name: str) -> str:
-    """``rows(file, value)`` as a tree with one file per row, its value a text or bytes, written by tasks; a file that is written again is the same."""
+    """``rows(file, value)`` as a tree with one file per row, its value a text or bytes, written by tasks; a file that is written again is the same.
+
+    Making a file takes a turn to the file system, so small rows are dealt to tasks by their number.
+    """
     root = fresh_path(rows.sparkSession, name)
+    kept = stage(rows.select("file", "value"), name + "-rows")
 
     def run(batches):
         from pyarrow import fs
 
+        made = set()
         for batch in batches:
             filesystem, base = tree.opened(root)
             for file, value in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 path = f"{base}/{file}"
-                if filesystem.get_file_info(path.rpartition("/")[0]).type != fs.FileType.Directory:
-                    filesystem.create_dir(path.rpartition("/")[0], recursive=True)
+                folder = path.rpartition("/")[0]
+                if folder not in made:
+                    if filesystem.get_file_info(folder).type != fs.FileType.Directory:
+                        filesystem.create_dir(folder, recursive=True)
+                    made.add(folder)
                 with filesystem.open_output_stream(path) as out:
                     out.write(value if isinstance(value, bytes) else (value or "").encode())
             yield batch
 
-    files = rows.select("file", "value")
-    files.mapInArrow(run, files.schema).count()
+    spread_rows(kept, FILES_AT_ONCE).mapInArrow(run, kept.schema).count()
     return root
 
 
