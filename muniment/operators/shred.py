@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 from muniment import model as M
 from muniment.functions import recordreader
 from muniment.functions import values as V
+from muniment.session import small_batches
 
 #: Bytes of records whose rows are handed over at once.
 PARSED_BYTES = 16 << 20
@@ -53,7 +54,7 @@ def parse_records(raw: DataFrame) -> DataFrame:
                     recordreader.read_record(rows, data.as_py(), problem)
                 yield pa.RecordBatch.from_arrays([*some.columns[2:], *rows.arrays()], names=schema.names)
 
-    return inner.mapInArrow(run, schema)
+    return small_batches(inner).mapInArrow(run, schema)
 
 
 def readable(parsed: DataFrame) -> DataFrame:

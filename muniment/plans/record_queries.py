@@ -13,6 +13,10 @@ from muniment.plans import render as R
 from muniment.plans.tables import documents, events, orders, table
 from muniment.session import spread_rows, stage
 
+#: Compact rows that one task renders and parses: a row of a hundred bytes becomes a record of two thousand.
+AT_ONCE = 50_000
+
+
 def _word():
     return (
         F.when(F.col("o_orderstatus") == "F", "Deleted").when(F.col("o_orderstatus") == "P", "Inactive").otherwise("Active")
@@ -21,7 +25,7 @@ def _word():
 
 def order_records(spark: SparkSession, d: str) -> DataFrame:
     """One record per order: five properties, an inline, a managed and an external datastream."""
-    rows = spread_rows(orders(spark, d))
+    rows = spread_rows(orders(spark, d), AT_ONCE)
     key = F.col("o_orderkey").cast("string")
     pid = F.concat(F.lit("order:"), key)
     price = F.col("o_totalprice").cast("decimal(18,2)").cast("string")
@@ -60,7 +64,7 @@ def _order_parsed(spark, d) -> DataFrame:
 
 
 def shred_objects(spark: SparkSession, d: str) -> DataFrame:
-    return shred.shred_objects(stage(_order_parsed(spark, d), "parsed"))
+    return shred.shred_objects(stage(_order_parsed(spark, d).select("pid", "fedora_uri", "path", "problem"), "parsed"))
 
 
 def shred_properties(spark: SparkSession, d: str) -> DataFrame:
@@ -196,7 +200,7 @@ def _member_rdf() -> F.Column:
 
 
 def rdf_triples(spark: SparkSession, d: str) -> DataFrame:
-    rows = table(spark, d, "customer").select("c_custkey", _member_rdf().alias("inline_xml"))
+    rows = spread_rows(table(spark, d, "customer"), AT_ONCE).select("c_custkey", _member_rdf().alias("inline_xml"))
     return triples.extract_rdf(rows)
 
 
@@ -225,7 +229,7 @@ def split_rels_int(spark: SparkSession, d: str) -> DataFrame:
         (F.concat(part, F.lit("/FRONT")), [R.edge("downloadFilename", "info:fedora/fedora-system:def/model#", value=F.col("p_name"))]),
         (F.concat(part, F.lit("/BACK")), [R.edge("brand", "urn:rel#", value=F.col("p_brand")), R.edge("kind", "urn:rel#", value=F.col("p_type"))]),
     ])
-    rows = table(spark, d, "part").select("p_partkey", doc.alias("inline_xml"))
+    rows = spread_rows(table(spark, d, "part"), AT_ONCE).select("p_partkey", doc.alias("inline_xml"))
     return triples.split_rels_int(triples.extract_rdf(rows)).select("p_partkey", "resource_id", "p", "o")
 
 
@@ -236,7 +240,7 @@ def download_names(spark: SparkSession, d: str) -> DataFrame:
         R.edge("downloadFilename", space, value=F.col("p_name")), R.edge("downloadFilename", space, value=F.col("p_brand")),
         R.edge("other", "urn:rel#", value=F.col("p_type")),
     ])])
-    rows = table(spark, d, "part").select("p_partkey", doc.alias("inline_xml"))
+    rows = spread_rows(table(spark, d, "part"), AT_ONCE).select("p_partkey", doc.alias("inline_xml"))
     return triples.download_names(triples.extract_rdf(rows), ["p_partkey"])
 
 
