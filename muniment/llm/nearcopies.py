@@ -1,7 +1,8 @@
 """Near copies by exact similarity of word shingles: SimHash fingerprints and minima of hashes find candidates, Jaccard decides.
 
-A text is the set of its shingles (``size`` words, A-Z in lower case). Texts with equal sets are one node from the start. At a similarity of 0.8 SimHash fingerprints of 64 bits lie some ten bits
-apart, too far for keys that are cut from them; so candidates share a band, the least hashes of the set under ``ROWS`` of ``BANDS`` * ``ROWS`` functions, and of
+A text is the set of its shingles (``size`` words, A-Z in lower case). Texts with equal sets are one node from the start. Candidates are texts whose SimHash fingerprints the ring search of
+``simhash`` links: ``NEAR`` bits or fewer, over its chains of segments. At a similarity of 0.8 fingerprints of 64 bits lie some ten bits
+apart, too far for keys that are cut from them; so texts that share a band are candidates as well: the least hashes of the set under ``ROWS`` of ``BANDS`` * ``ROWS`` functions, and of
 these the fingerprints prune pairs that differ in more than ``FAR`` bits, the sizes those that cannot be similar enough, and four bits of each of 64 least hashes those that
 differ in more than ``UNLIKE``. So texts that only share a common passage are not compared. Two texts of similarity 0.8 share no band once in 20,000 pairs. Candidates tied together make groups; in each group texts are compared exactly, block by block, and only a spanning forest
 of the links is given out.
@@ -23,9 +24,11 @@ from pyspark.sql import functions as F
 
 from muniment.llm.common import map_whole_rows, raw_texts
 from muniment.llm.graph import components
-from muniment.llm.simhash import SEED, fingerprint
+from muniment.llm.simhash import SEED, fingerprint, links
 from muniment.session import stage
 
+#: Bits by which fingerprints differ at most that the ring search links.
+NEAR = 4
 BANDS, ROWS = 25, 5
 #: Bits by which fingerprints of candidates may differ.
 FAR = 28
@@ -170,6 +173,15 @@ def _blocked(rows: DataFrame, key: str, blocks: DataFrame, keep: list[str]) -> D
     return dealt.select(key, F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), *keep)
 
 
+def near_prints(sets: DataFrame, distance: int) -> DataFrame:
+    """Links (a, b) between nodes whose fingerprints are equal or that the ring search links, from rows (node, print)."""
+    first = stage(sets.groupBy("print").agg(F.min("node").alias("first")), "prints")
+    equal = sets.join(first, "print").where("node != first").select(F.col("node").alias("a"), F.col("first").alias("b"))
+    side = lambda c: first.select(F.col("print").alias(c), F.col("first").alias(f"n_{c}"))
+    found = links(first.select("print"), distance).distinct().join(side("a"), "a").join(side("b"), "b")
+    return equal.unionByName(found.select(F.col("n_a").alias("a"), F.col("n_b").alias("b")))
+
+
 def similar_roots(rows: DataFrame, size: int, least: float) -> DataFrame:
     """(set_key, set_print, set_n, root, component) of each distinct set, from rows (row, id, t, print, n, set, bands)."""
     sets = rows.groupBy("set", "print", "n").agg(F.min("id").alias("least"), F.min("row").alias("row"), F.min("bands").alias("bands"), *[F.min(F.col("words")[k]).alias(f"w{k}") for k in range(4)])
@@ -183,7 +195,7 @@ def similar_roots(rows: DataFrame, size: int, least: float) -> DataFrame:
     else:
         dealt = _blocked(banded, "band", hot, ["node", *sketch])
     dealt = dealt.repartition("band", "x", "y").sortWithinPartitions("band", "x", "y")
-    tied = components(dealt.mapInArrow(_candidates(least), "a long, b long"))
+    tied = components(near_prints(sets.select("node", "print"), NEAR).unionByName(dealt.mapInArrow(_candidates(least), "a long, b long")))
     # Texts of candidates only, one for each set.
     members = tied.withColumnRenamed("root", "group").join(sets.select("node", "row", *sketch), "node").join(rows.select("row", "t"), "row")
     members = stage(members.select("group", "node", "t", *sketch), "candidates")

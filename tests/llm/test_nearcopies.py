@@ -89,3 +89,28 @@ def test_a_common_passage_ties_nothing(spark):
     n, every = nearcopies.np.array([len(s) for s in sets]), nearcopies.np.arange(600)
     assert sum(int(nearcopies.likely(i, every, prints, n, words, 0.8).sum()) - 1 for i in range(600)) < 10
     assert nearcopies.keep_one_similar(awkward.frame(spark, texts)).count() == 600
+
+
+def test_fingerprints_make_candidates(spark, monkeypatch):
+    """Without the bands the ring search alone still finds the similar texts whose fingerprints differ in few bits; similarity decides."""
+    monkeypatch.setattr(nearcopies, "_candidates", lambda least: lambda batches: iter(()))
+    texts = near_texts(5, n=40)
+    sets = [set(nearcopies.shingles(t.encode(), 5).tolist()) for t in texts]
+    prints = [nearcopies.fingerprint(t.encode(), 5) for t in texts]
+    root = list(range(len(texts)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    tied = 0
+    for i in range(len(texts)):
+        for j in range(i):
+            near = ((prints[i] ^ prints[j]) & (1 << 64) - 1).bit_count() <= nearcopies.NEAR
+            if sets[i] == sets[j] or near and len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
+                tied += sets[i] != sets[j]
+                root[max(find(i), find(j))] = min(find(i), find(j))
+    kept = {r.doc_id for r in nearcopies.keep_one_similar(awkward.frame(spark, texts)).collect()}
+    assert tied and kept <= {find(i) for i in range(len(texts))}
+    assert kept >= set(plain_groups(texts))
