@@ -12,7 +12,7 @@ from muniment.plans import migrate
 from muniment.plans import render as R
 from muniment.plans.source_queries import write_files
 from muniment.plans.tables import documents, table
-from muniment.session import fresh_path, spread_rows
+from muniment.session import fresh_path, spread_rows, stage
 from muniment.sources import sinks
 
 RUN_TS = "2024-06-01T00:00:00.000Z"
@@ -59,9 +59,14 @@ def document_records(spark: SparkSession, d: str) -> DataFrame:
     return rows.select(F.concat(F.lit("store/"), pid).alias("path"), xml.alias("xml"), F.length(xml).cast("bigint").alias("length"))
 
 
-def _run(spark: SparkSession, d: str, **options) -> dict[str, DataFrame]:
+def _run(spark: SparkSession, d: str, raw: DataFrame | None = None, **options) -> dict[str, DataFrame]:
     opts = RunOptions(source_profile="exported", run_ts=RUN_TS, continue_on_error=True, digest_algorithm="sha256", **options)
-    return migrate.migrate(spark, opts, raw=document_records(spark, d))
+    return migrate.migrate(spark, opts, raw=document_records(spark, d) if raw is None else raw)
+
+
+def _stored_records(spark: SparkSession, d: str) -> DataFrame:
+    """The records of several runs, rendered and written once, as they would lie in a store: each run scans them for ids and then for their texts."""
+    return stage(document_records(spark, d), "records")
 
 
 def _shown(resources: DataFrame) -> DataFrame:
@@ -114,12 +119,12 @@ def migrated_resume(spark: SparkSession, d: str) -> DataFrame:
 
 def migrated_resume_twice(spark: SparkSession, d: str) -> DataFrame:
     """Three runs into one target, each from where the one before stopped: the ledger's positions are those of the whole scan."""
-    raw = document_records(spark, d)
+    raw = _stored_records(spark, d)
     n = raw.count()
     target = fresh_path(spark, "target")
     ledger, last = f"{target}/ledger", (0, select.FIRST_RUN)
     for k, upto in enumerate((n // 3, 2 * n // 3, n)):
-        tables = _run(spark, d, target_dir=target, ledger_dir=ledger, limit=upto, resume=k > 0, resume_position=last[0], resume_last_id=last[1])
+        tables = _run(spark, d, raw, target_dir=target, ledger_dir=ledger, limit=upto, resume=k > 0, resume_position=last[0], resume_last_id=last[1])
         sinks.write_outputs(tables, RunOptions(target_dir=target, ledger_dir=ledger), run_id=f"{k:03d}")
         if upto < n:
             placed = select.with_positions(raw.select("path"), ["path"]).where(F.col("position") == upto - 1).first()
@@ -134,9 +139,9 @@ def _done_and_failed(tables: dict[str, DataFrame]) -> DataFrame:
 
 def rerun_conflicts(spark: SparkSession, d: str) -> DataFrame:
     """Two runs into one target, under ids that look like numbers: the second fails every object that the first has stored, and stores nothing."""
-    target = fresh_path(spark, "target")
+    raw, target = _stored_records(spark, d), fresh_path(spark, "target")
     for name in ("007", "1e3"):
-        tables = _run(spark, d, target_dir=target)
+        tables = _run(spark, d, raw, target_dir=target)
         sinks.write_outputs(tables, RunOptions(target_dir=target, ledger_dir=f"{target}/ledger"), run_id=name)
     stored = sinks.published(spark, f"{target}/data/ocfl-root", "resources").groupBy("object_id").agg(F.countDistinct("run").alias("runs"))
     stored = stored.select(F.regexp_replace("object_id", "^info:fedora/", "").alias("pid"), "runs")
@@ -145,10 +150,10 @@ def rerun_conflicts(spark: SparkSession, d: str) -> DataFrame:
 
 def resume_without_ledger(spark: SparkSession, d: str) -> DataFrame:
     """A run is published but dies before its ledger: the next one, told to resume, takes only what the target does not hold."""
-    target = fresh_path(spark, "target")
-    first = _run(spark, d, target_dir=target, limit=40)
+    raw, target = _stored_records(spark, d), fresh_path(spark, "target")
+    first = _run(spark, d, raw, target_dir=target, limit=40)
     sinks.write_outputs(first, RunOptions(target_dir=target, ledger_dir=f"{target}/lost"))
-    again = _run(spark, d, target_dir=target, ledger_dir=f"{target}/ledger", resume=True)
+    again = _run(spark, d, raw, target_dir=target, ledger_dir=f"{target}/ledger", resume=True)
     return _done_and_failed(again)
 
 
