@@ -20,7 +20,7 @@ from muniment.functions import values as V
 from muniment.session import small_batches
 
 #: Bytes of records whose rows are handed over at once.
-PARSED_BYTES = 16 << 20
+PARSED_BYTES = 4 << 20
 
 
 def record_pid(xml: Column) -> Column:

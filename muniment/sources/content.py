@@ -5,7 +5,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterable
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -105,18 +105,19 @@ def read_texts(df: DataFrame, path: str, out: str) -> DataFrame:
     travel, and each is opened by the task that parses it.
     """
     schema = df.withColumn(out, F.lit(None).cast("string")).schema
+    place = df.columns.index(path)
 
-    def run(batches: Iterable[pd.DataFrame]):
-        for pdf in batches:
+    def run(batches: Iterable[pa.RecordBatch]):
+        for batch in batches:
             texts = []
-            for p in pdf[path]:
+            for p in batch.column(place).to_pylist():
                 if p is None:
                     texts.append(None)
                     continue
                 with tree.open_file(p) as stream:
                     texts.append(_text_of(stream.read()))
-            yield pdf.assign(**{out: texts})
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=schema.names)
 
     # A list of paths is tiny next to the files it names: spread it by number, or it ends up in one task.
     tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartition(tasks).mapInPandas(run, schema)
+    return df.repartition(tasks).mapInArrow(run, schema)

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import gc
 import os
 
 from pyspark.sql import functions as F
 
+from muniment.functions import recordreader, xmltext
 from muniment.model import RunOptions
+from muniment.operators import triples
 from muniment.plans import migration_queries as Q
 from muniment.sources import sinks
 
@@ -54,3 +57,35 @@ def test_records_of_several_runs_are_rendered_once(spark, monkeypatch):
     monkeypatch.setattr(Q.sinks, "write_outputs", lambda *a, **k: None)
     assert {tuple(r) for r in Q.resume_without_ledger(spark, "d").collect()} == {("a", "done"), ("b", "failed")}
     assert len(rendered) == 1 and len(given) == 2 and given[0] is given[1] and given[0].count() == 3
+
+
+def test_documents_reach_python_a_few_at_once(spark, monkeypatch):
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "10000")
+    text = '<d xmlns:dc="http://purl.org/dc/elements/1.1/"><dc:title>t</dc:title><dc:title/></d>'
+    made = triples.extract_dc(spark.range(5).select(F.when(F.col("id") == 3, "<broken").when(F.col("id") < 4, text).alias("inline_xml"), "id", F.lit(None).cast("bigint").alias("n")))
+    rows = sorted((r.id, r.pos, r.value, r.n) for r in made.where("parse_error IS NULL").collect())
+    assert int(spark.conf.get(key)) <= 1000
+    spark.conf.set(key, before)
+    assert rows == [(i, p, v, None) for i in range(3) for p, v in ((0, "t"), (1, ""))]
+    assert made.where("parse_error LIKE 'Failed to parse DC XML: %' AND value IS NULL").count() == 1
+    # Prefixes are looked up for markup inside of literals only, and a document is else read once.
+    rdf = '<r:RDF xmlns:r="{0}"><r:Description r:about="u:a"><p xmlns="u:"{1}>{2}</p></r:Description></r:RDF>'
+    marked = rdf.format(xmltext.RDF, ' r:parseType="Literal"', '<q:b xmlns:q="u:q">x</q:b>')
+    assert xmltext.rdf_rows(marked)[0][2] == '<q:b xmlns:q="u:q">x</q:b>'
+    monkeypatch.setattr(xmltext.ET, "iterparse", lambda *a: 1 / 0)
+    assert xmltext.rdf_rows(rdf.format(xmltext.RDF, "", "x"))[0][:3] == ("u:a", "u:p", "x")
+
+
+def test_a_record_that_was_read_is_freed_at_once():
+    rows = recordreader.Rows()
+    gc.collect()
+    gc.disable()
+    try:
+        for data, problem in ((b"<digitalObject PID='a'/>", None), (b"<broken", None), (None, "no text")):
+            recordreader.read_record(rows, data, problem)
+        left = sum(isinstance(o, recordreader.RecordReader) for o in gc.get_objects())
+    finally:
+        gc.enable()
+    assert left == 0 and rows.objects["pid"] == ["a", None, None] and rows.objects["problem"] == [None, "malformed record", "no text"]
