@@ -22,7 +22,7 @@ import zlib
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
+from itertools import accumulate, chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -59,6 +59,19 @@ def vocabulary_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+class _Numbers(dict):
+    """Numbers of words; one not met before gets the next number and is noted, so a text's words are looked up once."""
+
+    def __init__(self, words: dict[bytes, int]):
+        super().__init__(words)
+        self.new: list[bytes] = []
+
+    def __missing__(self, word: bytes) -> int:
+        n = self[word] = len(self)
+        self.new.append(word)
+        return n
+
+
 class WordIds:
     """Token ids of whole texts by ``tokenizers``, each blank-free part encoded once.
 
@@ -74,49 +87,68 @@ class WordIds:
         self.clear()
 
     def clear(self) -> None:
-        self.index, self.first, self.pool = {_END: 0}, array("q", [0, 1]), array("I", [self.end])
-
-    def _learn(self, word: bytes, ids: list[int]) -> None:
-        self.index[word] = len(self.first) - 1
-        self.pool.extend(ids)
-        self.first.append(len(self.pool))
-
-    def _plain(self, word: bytes) -> bool:
-        """Learn a word of Latin letters, or one with a full stop or comma behind them: one word of the vocabulary's pattern, so the library's model needs no other step."""
-        text = word.decode("utf-8", "replace")
-        stem, behind = (text[:-1], text[-1]) if text[-1] in ".," else (text, "")
-        if not stem.isalpha() or (not stem.isascii() and max(stem) >= "\u0180"):
-            return False
-        if stem.isascii():
-            stem = written = stem.lower()
+        self.index, self.first, self.pool = _Numbers({_END: 0}), array("q", [0, 1]), array("I", [self.end])
+
+    def _plain(self, word: bytes, learned: int, fresh: list[list[int] | None]) -> list[int] | None:
+        """Ids of a word of Latin letters, or one with a full stop or comma behind them: one word of the vocabulary's pattern, so the library's model needs no other step.
+
+        ``fresh`` has the ids of words numbered from ``learned`` on, as far as they are known.
+        """
+        stem, behind = (word[:-1], "." if word[-1] == 46 else ",") if word[-1] in b".," else (word, "")
+        if stem.isalpha():
+            stem = stem.lower()
+            written = stem.decode("ascii")
+        elif stem.isascii():
+            return None
         else:
-            stem = "".join(c.lower() for c in unicodedata.normalize("NFC", stem))
-            if not stem.isalpha():
-                return False
-            written = "".join(map(self.signs.__getitem__, stem.encode()))
-        at = self.index.get(stem.encode())
-        ids = [t.id for t in self.model.tokenize(written)] if at is None else self.pool[self.first[at] : self.first[at + 1]].tolist()
-        self._learn(word, ids + [t.id for t in self.model.tokenize(behind)] if behind else ids)
-        return True
+            text = stem.decode("utf-8", "replace")
+            if not text.isalpha() or max(text) >= "\u0180":
+                return None
+            # None of these letters is lower-cased by what stands beside it.
+            text = unicodedata.normalize("NFC", text).lower()
+            if not text.isalpha():
+                return None
+            stem = text.encode()
+            written = stem.decode("latin-1").translate(self.signs)
+        at = self.index.get(stem, -1)
+        ids = None
+        if 0 <= at < learned:
+            ids = self.pool[self.first[at] : self.first[at + 1]].tolist()
+        elif 0 <= at - learned < len(fresh):
+            ids = fresh[at - learned]
+        if ids is None:
+            ids = [t.id for t in self.model.tokenize(written)]
+        return ids + [t.id for t in self.model.tokenize(behind)] if behind else ids
+
+    def _learn(self) -> None:
+        """Ids of the words that were met for the first time, in the order of their numbers."""
+        learned, fresh = len(self.first) - 1, []
+        for word in self.index.new:
+            fresh.append(self._plain(word, learned, fresh))
+        odd = [i for i, ids in enumerate(fresh) if ids is None]
+        for some in (odd[i : i + 4096] for i in range(0, len(odd), 4096)):
+            words = [self.index.new[i].decode("utf-8", "replace") for i in some]
+            for i, e in zip(some, self.tokenizer.encode_batch_fast(words, add_special_tokens=False)):
+                fresh[i] = e.ids
+        self.first.extend(islice(accumulate(map(len, fresh), initial=len(self.pool)), 1, None))
+        self.pool.extend(chain.from_iterable(fresh))
+        self.index.new.clear()
 
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, each with the end id behind it, and the borders of the texts."""
         words = [[*t.split(), _END] for t in texts]
+        borders = np.cumsum([0, *map(len, words)])
         flat = list(chain.from_iterable(words))
-        new = list(set(flat) - self.index.keys())
-        if len(self.index) + len(new) > WORDS_KEPT:
-            self.clear()
-            new = list(set(flat) - self.index.keys())
-        odd = [w for w in new if not self._plain(w)]
-        for some in (odd[i : i + 4096] for i in range(0, len(odd), 4096)):
-            for w, e in zip(some, self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in some], add_special_tokens=False)):
-                self._learn(w, e.ids)
         at = np.fromiter(map(self.index.__getitem__, flat), np.int64, len(flat))
+        if len(self.index) > WORDS_KEPT and len(self.index.new) < len(self.index) - 1:
+            self.clear()
+            at = np.fromiter(map(self.index.__getitem__, flat), np.int64, len(flat))
+        if self.index.new:
+            self._learn()
         first, pool = np.frombuffer(self.first, np.int64), np.frombuffer(self.pool, np.uint32)
         sizes = first[at + 1] - first[at]
         ends = np.cumsum(sizes)
         ids = pool[np.arange(ends[-1] if len(ends) else 0) + np.repeat(first[at] - (ends - sizes), sizes)]
-        borders = np.cumsum([0, *map(len, words)])
         return ids, np.concatenate([[0], ends])[borders]
 
 

@@ -117,3 +117,20 @@ def test_empty_table_and_capacity(spark):
     assert packing.pack(awkward.empty(spark)).count() == 0
     with pytest.raises(ValueError, match="power of two"):
         packing.pack(awkward.empty(spark), capacity=100)
+
+
+def test_words_are_numbered_as_they_are_met(spark, monkeypatch):
+    from tokenizers import Tokenizer
+
+    path = packing.vocabulary_path(packing.VOCABULARY)
+    encoder, whole = packing.WordIds(path, 1), Tokenizer.from_file(path)
+    texts = ["Word, word. word x1, x1 Word", "naïve, Naïve. NAÏVE İstanbul, ſo ΌΣΟΣ, Ǆ. été. É", "", "word. , . ,, 1. Œuvre, œuvre �"]
+    for kept in (packing.WORDS_KEPT, 4):  # with room for all words, and starting anew with every text
+        monkeypatch.setattr(packing, "WORDS_KEPT", kept)
+        for _ in range(2):
+            for t in texts:
+                ids, borders = encoder.encode([t.encode(), b"and more", t.encode()])
+                want = [[*whole.encode(x, add_special_tokens=False).ids, 1] for x in (t, "and more", t)]
+                assert [ids[a:b].tolist() for a, b in zip(borders, borders[1:])] == want
+                # What was met is learnt by now, each word under one number.
+                assert encoder.index.new == [] and sorted(encoder.index.values()) == list(range(len(encoder.first) - 1))
