@@ -95,14 +95,17 @@ VERSION_ROOM = 1 << 31
 def shred_versions(parsed: DataFrame, host: str = M.DEFAULT_HOST, keep: list[str] | None = None) -> DataFrame:
     """One row per datastream version with its content classified."""
     of_datastreams = _unnest(parsed, ["pid", *(keep or [])], F.col("datastreams"), "_dp", "_d")
+    # A version's row has the texts of that version only, not those of its whole datastream.
+    kept = ["pid", *(keep or []), "_dp", "ds_id", "control_group", "state"]
+    of_datastreams = of_datastreams.select(*kept[:-3], "_d.ds_id", "_d.control_group", "_d.state", F.col("_d.versions").alias("_versions"))
     rows = (
-        _unnest(of_datastreams, ["*"], F.col("_d.versions"), "_vp", "_v")
+        _unnest(of_datastreams, kept, F.col("_versions"), "_vp", "_v")
         .select(
             "pid",
             *(keep or []),
-            "_d.ds_id",
-            "_d.control_group",
-            "_d.state",
+            "ds_id",
+            "control_group",
+            "state",
             "_v.version_id",
             "_v.label",
             "_v.created",

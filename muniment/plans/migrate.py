@@ -420,27 +420,19 @@ def _record_writes(opts: RunOptions, objects: DataFrame, versions: DataFrame) ->
     )
 
 
-def _tombstones(opts: RunOptions, writes: DataFrame, objects: DataFrame, run_ts: str) -> DataFrame:
-    """One row per resource to delete, with the headers it had last."""
-    latest = writes.groupBy("path", "resource_id").agg(F.max_by(F.struct(*[c for c in _WRITE if c not in ("path", "resource_id")]), "version_date").alias("_w"))
-    latest = latest.select("path", "resource_id", "_w.*").join(objects.select("path", "object_state"), "path")
-    gone = lifecycle.object_doomed(F.col("object_state"), opts.delete_inactive) | (
-        (F.col("kind") != "container") & lifecycle.datastream_doomed(F.col("ds_state"), opts.delete_inactive)
-    )
+def _marked(opts: RunOptions, gone: DataFrame, run_ts: str) -> DataFrame:
+    """Rows that delete a resource: what it was last, with its headers marked."""
     now = F.to_timestamp(F.lit(run_ts))
     marked = headers.with_header(
         F.col("headers"), deleted=F.lit(True), **({} if opts.plain else {"last_modified_date": now, "memento_date": now})
     )
     return (
-        latest.where(gone)
-        .withColumn("headers", marked)
+        gone.withColumn("headers", marked)
         .withColumn("deleted", F.lit(True))
         .withColumn("header_only", F.lit(False))
-        .withColumn("version_date", F.lit(run_ts))
         .withColumn("bytes", F.lit(None).cast("bigint"))
         .withColumn("digest", F.lit(None).cast("string"))
         .withColumn("nt", F.lit(None).cast("string"))
-        .select(*_WRITE)
     )
 
 
@@ -458,26 +450,37 @@ def derive_writes(opts: RunOptions, facts: Facts, renames: DataFrame, bad: DataF
             None if facts.dc is None else facts.dc.join(bad, "path", "left_anti"),
         )
         parts += [_description_writes(opts, kept, contents), _container_writes(opts, kept, objects, versions)]
-    live = stage(_union(parts), "live-writes")
-    return number_versions(opts, live, _tombstones(opts, live, objects, run_ts))
+    return number_versions(opts, _union(parts), objects, run_ts)
+
 
+def number_versions(opts: RunOptions, live: DataFrame, objects: DataFrame, run_ts: str) -> DataFrame:
+    """Writes and deletions, numbered by version of their target object.
 
-def number_versions(opts: RunOptions, live: DataFrame, tombstones: DataFrame) -> DataFrame:
+    Whole writes move once, to their object: there they are numbered and the last one of each resource is told. They are written with these marks; deletions are read off the marked rows.
+    """
+    # A record path that comes twice deletes twice, as it writes its container twice.
+    doomed = lifecycle.object_doomed(F.col("object_state"), opts.delete_inactive)
+    states = objects.groupBy("path").agg(F.count(F.lit(1)).alias("_objects"), F.count_if(doomed).alias("_doomed"))
+    # The one path of a source object parts rows like its one archival target does.
+    target = ["object_id"] if opts.atomic else ["path", "object_id"]
+    resource = Window.partitionBy(*dict.fromkeys([*target, "path", "resource_id"])).orderBy(F.desc("version_date"))
+    rows = live.join(states, "path", "left").withColumn("_last", F.row_number().over(resource) == 1)
     if opts.head_only:
-        resource = Window.partitionBy("object_id", "resource_id").orderBy(F.desc("version_date"))
-        heads = live.withColumn("_first", F.min("version_date").over(Window.partitionBy("object_id"))).withColumn(
-            "_n", F.row_number().over(resource)
-        )
-        heads = heads.where(F.col("_n") == 1).withColumn("version_date", F.col("_first")).withColumn("header_only", F.lit(False)).drop("_n", "_first")
-        dates = live.groupBy("object_id").agg(F.min("version_date").alias("_first"))
-        gone = tombstones.join(dates, "object_id").withColumn("version_date", F.col("_first")).drop("_first")
-        if opts.plain:
-            return heads.withColumn("version", F.lit(1)).unionByName(gone.withColumn("version", F.lit(2)))
-        kept = heads.join(gone.select("object_id", "resource_id"), ["object_id", "resource_id"], "left_anti")
-        return kept.unionByName(gone).withColumn("version", F.lit(1))
-    both = live.withColumn("_late", F.lit(0)).unionByName(tombstones.withColumn("_late", F.lit(1)))
-    w = Window.partitionBy("object_id").orderBy("_late", "version_date")
-    return both.withColumn("version", F.dense_rank().over(w)).drop("_late")
+        rows = rows.withColumn("_first", F.min("version_date").over(Window.partitionBy(*target))).where("_last")
+        rows = rows.withColumn("version_date", F.col("_first")).withColumn("header_only", F.lit(False)).withColumn("version", F.lit(1))
+        rows = rows.withColumn("_end", F.lit(2 if opts.plain else 1))
+    else:
+        rows = rows.withColumn("version", F.dense_rank().over(Window.partitionBy(*target).orderBy("version_date")))
+        rows = rows.withColumn("_end", F.max("version").over(Window.partitionBy(*target)) + 1)
+    own = (F.col("kind") != "container") & lifecycle.datastream_doomed(F.col("ds_state"), opts.delete_inactive)
+    times = F.coalesce(F.when(F.col("_last"), F.when(own, F.col("_objects")).otherwise(F.col("_doomed"))), F.lit(0))
+    rows = stage(rows.select(*_WRITE, "version", "_end", times.cast("int").alias("_times")), "writes")
+    gone = rows.where("_times > 0").withColumn("_k", F.explode(F.sequence(F.lit(1), "_times"))).withColumn("version", F.col("_end"))
+    if not opts.head_only:
+        gone = gone.withColumn("version_date", F.lit(run_ts))
+    if opts.head_only and not opts.plain:
+        rows = rows.where("_times = 0")
+    return rows.select(*_WRITE, "version").unionByName(_marked(opts, gone, run_ts).select(*_WRITE, "version"))
 
 
 def build_outputs(opts: RunOptions, writes: DataFrame, found: DataFrame, done: DataFrame) -> dict[str, DataFrame]:
@@ -527,7 +530,7 @@ def migrate(
     if not opts.continue_on_error:
         rejects.partition_rejects(facts.objects, found, False)
     bad = found.where(F.col("path").isNotNull()).select("path").distinct()
-    writes = stage(derive_writes(opts, facts, renames, bad, run_ts), "writes")
+    writes = derive_writes(opts, facts, renames, bad, run_ts)
     objects = facts.objects.join(bad, "path", "left_anti")
     done = objects.select("path", "pid")
     # Absolute positions in the order of the whole scan serve later resume points.

@@ -256,3 +256,27 @@ def test_options():
     ):
         with pytest.raises(ValueError):
             replace(BASE, **bad)
+
+
+@pytest.mark.parametrize("options", [dict(), dict(head_only=True), dict(migration_type=M.PLAIN_OCFL, head_only=True), dict(migration_type=M.PLAIN_OCFL, resource_type=M.ATOMIC)])
+def test_whole_writes_are_stored_once_and_deletions_read_off_them(spark, monkeypatch, options):
+    from muniment.plans import migrate as module
+
+    stored, real = [], module.stage
+    monkeypatch.setattr(module, "stage", lambda df, name, *a, **k: (stored.append(name) if "headers" in df.columns else None) or real(df, name, *a, **k))
+    texts = [simple("ex:kept"), simple("ex:ds-gone", ds_state="D"), simple("ex:gone", state="Deleted"), rename_record("ex:renamed")]
+    raw = spark.createDataFrame([(f"store/{i}", x, len(x)) for i, x in enumerate(texts)], "path string, xml string, length bigint")
+    rows = migrate(spark, replace(BASE, **options), raw=raw)["resources"].collect()
+    assert stored == ["writes"]
+    plain, atomic, head = "migration_type" in options, "resource_type" in options, "head_only" in options
+    last = {}
+    for r in rows:
+        key = (r.object_id, r.resource_id)
+        assert not r.deleted or (r.headers.deleted and (r.bytes, r.digest, r.nt) == (None, None, None))
+        last[key] = max(last.get(key, (0, False)), (r.version, r.deleted))
+    gone = {k[1].removeprefix("info:fedora/") for k, (_, deleted) in last.items() if deleted}
+    assert gone == {f"ex:ds-gone/DS{x}" for x in ("", "/fcr:metadata")} | {f"ex:gone{x}" for x in ("", "/DS", "/DS/fcr:metadata")}
+    versions = {(r.object_id.removeprefix("info:fedora/"), r.resource_id.removeprefix("info:fedora/")): sorted(x.version for x in rows if (x.object_id, x.resource_id) == (r.object_id, r.resource_id)) for r in rows}
+    assert versions[("ex:gone", "ex:gone")] == ([1] if head and not plain else [1, 2])
+    ds = versions[("ex:renamed/DS" if atomic else "ex:renamed", "ex:renamed/DS")]
+    assert ds == ([1] if head else [1, 3] if atomic else [1, 2, 3, 4])
