@@ -71,6 +71,13 @@ class CoverTree:
         self.vectors = parts["vectors"].astype(np.float64)
         self.top = float(parts["norm"][0])
         self.sizes = self.last - self.first
+        self.under_root = self._split(0) if len(self.rows) else None
+
+    def _split(self, at: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """A node's children: which are single members, which are not, and the numbers of either."""
+        nodes = np.arange(self.child[at], self.child[at] + self.children[at])
+        alone = self.sizes[nodes] == 1
+        return np.flatnonzero(alone), np.flatnonzero(~alone), self.first[nodes[alone]], nodes[~alone]
 
     @staticmethod
     def build(vectors: np.ndarray, ids: np.ndarray, rows: np.ndarray, labels: np.ndarray) -> CoverTree:
@@ -136,28 +143,29 @@ class CoverTree:
                 inside = np.arange(self.first[at], self.last[at])
                 self._offer(anchor, inside, self.vectors[inside] @ q, k, whole)
                 continue
-            nodes = np.arange(self.child[at], self.child[at] + self.children[at])
-            scores = start if at == 0 else self.vectors[self.centre[nodes]] @ q
-            alone = self.sizes[nodes] == 1
-            self._offer(anchor, self.first[nodes[alone]], scores[alone], k, whole)
-            many = ~alone
-            many &= (self.masks[nodes] & anchor.bit) != 0 if anchor.same else ~(self.single[nodes] & (self.labels[self.first[nodes]] == anchor.label))
-            nodes, scores = nodes[many], scores[many]
+            alone, many, members, nodes = self._split(at) if at else self.under_root
+            scores = self.vectors[self.centre[self.child[at] : self.child[at] + self.children[at]]] @ q if at else start
+            self._offer(anchor, members, scores[alone], k, whole)
+            open_ = (self.masks[nodes] & anchor.bit) != 0 if anchor.same else ~(self.single[nodes] & (self.labels[self.first[nodes]] == anchor.label))
+            nodes, scores = nodes[open_], scores[many[open_]]
             if not len(nodes):
                 continue
             turn = np.arccos(np.clip(scores / reach, -1, 1)) if reach else np.zeros(len(nodes))
             width = self.angle[nodes] + _ANGLE
             upper = reach * np.cos(np.maximum(turn - width, 0)) * (1 + 1e-9) + reach * 1e-9
             lower = reach * np.cos(np.minimum(turn + width, np.pi)) * (1 + 1e-9) - reach * 1e-9
-            for node, u, w in zip(nodes.tolist(), upper.tolist(), lower.tolist()):
+            some = (upper >= anchor.least()) & (lower <= anchor.most)
+            for node, u, w in zip(nodes[some].tolist(), upper[some].tolist(), lower[some].tolist()):
                 if anchor.wanted(u, w):
                     heapq.heappush(heap, (-u, node))
 
     def _offer(self, anchor: Anchor, members: np.ndarray, scores: np.ndarray, k: int, whole: bool) -> None:
+        if whole:  # scores first: few rows lie in a window
+            inside = np.flatnonzero((scores >= anchor.least()) & (scores <= anchor.most))
+            members, scores = members[inside], scores[inside]
         same = self.labels[members] == anchor.label
         keep = same & (self.rows[members] != anchor.row) if anchor.same else ~same
         if whole:
-            keep &= (scores >= anchor.least()) & (scores <= anchor.most)
             members, scores = members[keep], scores[keep].astype(np.int64)
         else:  # sums beyond 2**53: scored in whole numbers of any size
             members = members[keep]
@@ -307,7 +315,8 @@ def mine_negatives(
         chunk = F.pmod(F.xxhash64("row"), F.lit(max(1, -(-n_anchors // chunk_rows)))).alias("chunk")
         chunks = searched.select(chunk, "row", "label", "v", "scores").groupBy("chunk").applyInArrow(lambda key, table: _chunk_row(key, table, dim), "chunk long, anchors binary")
         each = chunks.select("anchors", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(max(n_blocks, 1) - 1).cast("long"))).alias("block"))
-        pairs = each.join(trees, "block").select("tree", "anchors")
+        # Repeated per block, the anchors are far more than the rows they are estimated by: never to be broadcast through the driver.
+        pairs = each.hint("merge").join(trees, "block").select("tree", "anchors")
         return pairs.mapInArrow(lambda batches: _search_pairs(same, k, low, high, batches), "anchor long, nth long, score long, id long, row long")
 
     searched = rows.where("is_anchor").select("row", "id", "label", "v")

@@ -105,3 +105,12 @@ def test_tree_covers_and_skips():
     scores = x @ x[7]
     same = np.flatnonzero((n % 10 == 7) & (n != 7))
     assert anchor.best[0][2].tolist() == same[np.lexsort((same, -scores[same]))][:3].tolist()
+
+
+def test_anchors_are_not_broadcast(spark):
+    """Anchors repeated for every block grow with the square of the table: they meet the trees by shuffle however small they are estimated to be."""
+    frame = spark.createDataFrame([(i * 5, v, label) for i, (_, v, label) in enumerate(made(11, 200))], "vec_id long, embedding array<double>, label int")
+    found = negatives.mine_negatives(frame, anchors=frame.vec_id % 25 == 0, block_rows=32, chunk_rows=3)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin [block#" in plan
+    assert "BroadcastHashJoin [block#" not in plan
