@@ -5,8 +5,11 @@ from __future__ import annotations
 import json
 from bisect import bisect_left, insort
 from collections.abc import Iterable
+from json.encoder import encode_basestring
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -61,6 +64,9 @@ def fixity_block(writes: DataFrame, obj: str = "object_id") -> DataFrame:
     )
 
 
+#: Parts that are Python objects at once, and characters of documents that are handed over at once; an object with more makes a slice of its own.
+PARTS_AT_ONCE, TEXT_AT_ONCE = 1 << 14, 4 << 20
+
 _PARTS = "kind STRING, version INT, until INT, digest STRING, path STRING, body STRING"
 
 
@@ -71,13 +77,19 @@ def _parts(df: DataFrame, obj: str, kind: str, **columns: Column) -> DataFrame:
     return df.select(obj, F.struct(F.lit(kind).alias("kind"), *[c.alias(n) for n, c in given.items()]).alias("part"))
 
 
-def _document(obj: str, parts: list[dict], algorithm: str) -> tuple[str | None, str | None]:
-    """(head, inventory) of one object: its add and remove events are folded once, in the order of versions."""
-    text = lambda x: json.dumps(x, ensure_ascii=False)
-    versions = sorted((p["version"], p["body"]) for p in parts if p["kind"] == "version")
+def _text(x: object) -> str:
+    """A value as JSON; strings, which nearly all are, without the set-up of an encoder."""
+    return encode_basestring(x) if isinstance(x, str) else json.dumps(x, ensure_ascii=False)
+
+
+def _document(obj: str, parts: list[tuple], algorithm: str) -> tuple[str | None, str | None]:
+    """(head, inventory) of one object, whose parts are in the order of ``_PARTS``: its add and remove events are folded once, in the order of versions."""
+    text = _text
+    versions = sorted((version, body) for kind, version, _, _, _, body in parts if kind == "version")
     if not versions:
         return None, None
-    events = sorted((at, change, p["digest"], p["path"]) for p in parts if p["kind"] == "state" for at, change in ((p["version"], 1), (p["until"], 0)) if at is not None)
+    events = sorted(
+        (at, change, digest, path) for kind, version, until, digest, path, _ in parts if kind == "state" for at, change in ((version, 1), (until, 0)) if at is not None)
     live: dict[str, list[str]] = {}
     shown: dict[str, str] = {}  # the text of each digest's paths, made anew only where it changes
     state, i, out = "", 0, []
@@ -101,13 +113,36 @@ def _document(obj: str, parts: list[dict], algorithm: str) -> tuple[str | None,
         if changed:
             state = ",".join(shown[d] for d in sorted(shown))
         out.append(f'"v{version}":{body[:-1]}{"," if len(body) > 2 else ""}"state":{{{state}}}}}')
-    stored = ",".join(f"{text(d)}:[{text(p)}]" for d, p in sorted((p["digest"], p["path"]) for p in parts if p["kind"] == "manifest"))
+    stored = ",".join(f"{text(d)}:[{text(p)}]" for d, p in sorted((digest, path) for kind, _, _, digest, path, _ in parts if kind == "manifest"))
     head = f"v{versions[-1][0]}"
     fields = {"id": obj, "type": M.INVENTORY_TYPE, "digestAlgorithm": algorithm, "head": head, "contentDirectory": "content"}
     start = ",".join(f"{text(k)}:{text(v)}" for k, v in fields.items())
     return head, f'{{{start},"fixity":{{}},"manifest":{{{stored}}},"versions":{{{",".join(out)}}}}}'
 
 
+def _documents(batches: Iterable[pa.RecordBatch], names: list[str], algorithm: str) -> Iterable[pa.RecordBatch]:
+    """(object, head, inventory) of (object, parts): many documents to a batch, as a batch costs the same whatever it holds."""
+    for batch in batches:
+        keys, lists = batch.columns
+        kinds = (keys.type, pa.string(), pa.string())
+        ends = np.cumsum(pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+        cuts = [0, *(np.flatnonzero(np.diff(ends // PARTS_AT_ONCE)) + 1).tolist(), batch.num_rows]
+        for first, last in zip(cuts, cuts[1:]):
+            parts = list(zip(*[c.to_pylist() for c in lists.slice(first, last - first).flatten().flatten()]))
+            at, made, size = 0, [], 0
+            for key, n in zip(keys.slice(first, last - first).to_pylist(), np.diff(ends[first:last], prepend=ends[first - 1] if first else 0).tolist()):
+                head, inventory = _document(key, parts[at : at + n], algorithm)
+                at += n
+                if head is not None:
+                    made.append((key, head, inventory))
+                    size += len(inventory)
+                if size > TEXT_AT_ONCE:
+                    yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*made), kinds)], names=names)
+                    made, size = [], 0
+            if made:
+                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*made), kinds)], names=names)
+
+
 def inventory_json(
     manifest: DataFrame, intervals: DataFrame, versions: DataFrame, algorithm: str, obj: str = "object_id"
 ) -> DataFrame:
@@ -125,12 +160,4 @@ def inventory_json(
     )
     schema = T.StructType([versions.schema[obj], T.StructField("head", T.StringType()), T.StructField("inventory", T.StringType())])
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                key = batch.column(0)[i].as_py()
-                head, inventory = _document(key, batch.column(1)[i].as_py(), algorithm)
-                if head is not None:
-                    yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, 1), pa.array([head]), pa.array([inventory])], names=schema.names)
-
-    return rows.groupBy(obj).agg(F.collect_list("part").alias("parts")).mapInArrow(run, schema)
+    return rows.groupBy(obj).agg(F.collect_list("part").alias("parts")).mapInArrow(lambda batches: _documents(batches, schema.names, algorithm), schema)
